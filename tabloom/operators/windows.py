@@ -362,7 +362,9 @@ def _combine(df: DataFrame, e: Function, i: int, rows: int) -> Column:
 
     if e.kind == "avg":
         target = type_of(df, F.avg(_value(df, e.column)[0]))
-        return F.try_divide(running(""), running("n")).try_cast(target)
+        # The total in the type of a single sum leaves the division enough decimals.
+        total = running("").try_cast(type_of(df, _sum_for_avg(df, e)))
+        return F.try_divide(total, running("n")).try_cast(target)
     if e.kind == "count":
         return running("")
     return running("").try_cast(type_of(df, _running(df, e)))
