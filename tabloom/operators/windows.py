@@ -208,28 +208,28 @@ def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
             position, F.col(position) + F.when(probe < F.col(key), step).otherwise(0)
         )
         step >>= 1
-    at = F.get(found, F.col(position))
-    before = F.get(found, F.col(position) - 1)
-    tied = F.coalesce((at["cuts"] > 0) & (at["key"] == F.col(key)), F.lit(False))
+    at, before = "__tabloom_at", "__tabloom_before"
+    tagged = tagged.withColumn(at, F.get(found, F.col(position)))
+    tied = F.coalesce((F.col(at)["cuts"] > 0) & (F.col(at)["key"] == F.col(key)), F.lit(False))
     bucket = F.col(position) * 2 + tied.cast("int")
     if parts:
-        def same(bound: Column) -> Column:
-            test = bound.isNotNull()
+        def same(bound: str) -> Column:
+            test = F.col(bound).isNotNull()
             for i in range(len(parts)):
-                test = test & bound["key"][f"k{i}"].eqNullSafe(F.col(key)[f"k{i}"])
+                test = test & F.col(bound)["key"][f"k{i}"].eqNullSafe(F.col(key)[f"k{i}"])
             return test
 
+        tagged = tagged.withColumn(before, F.get(found, F.col(position) - 1))
         bucket = F.when(same(at) | same(before), bucket).otherwise(-1)
     # The partition number also keeps Spark from pushing filters on the range number
     # below the search, where each halving would be written out twice.
-    salt = F.when(tied, F.pmod(F.spark_partition_id(), at["cuts"])).otherwise(0)
-    return tagged.withColumns({BUCKET: bucket, SALT: salt}).drop(key, position)
+    salt = F.when(tied, F.pmod(F.spark_partition_id(), F.col(at)["cuts"])).otherwise(0)
+    return tagged.withColumns({BUCKET: bucket, SALT: salt}).drop(key, position, at, before)
 
 
 def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
     out_columns = df.columns
     numbered = any(e.kind == "row_number" or e.kind in OFFSETS for e in entries)
-    shifts = [e for e in entries if e.kind in OFFSETS]
     tagged = _tag(df, parts, orders, bounds)
     if numbered:
         # Equal sort keys in a fixed order, so that two readings number alike.
@@ -264,8 +264,10 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
         joined = joined.withColumn(
             "__tabloom_row", F.col("__tabloom_rn") + F.coalesce("__c_rows_salt", F.lit(0))
         )
-    if shifts:
-        joined = _attach_rims(joined, shifts, parts, bounds)
+    for offset in sorted({e.offset for e in entries if e.kind in OFFSETS}):
+        names = sorted({e.column for e in entries if e.kind in OFFSETS and e.offset == offset})
+        rims = _rims(tagged, df, carry, parts, orders, descending, offset, names)
+        joined = _attach_rims(joined, rims, parts, offset, bounds)
     made = {}
     for i, e in enumerate(entries):
         made[e.new_column] = _combine(df, e, i, bounds.rows)
@@ -374,32 +376,40 @@ def _side(offset: int) -> str:
     return f"{'back' if offset < 0 else 'ahead'}{abs(offset)}"
 
 
-def _attach_rims(joined, shifts, parts, bounds: Bounds) -> DataFrame:
-    """Find the partners of ``lag``/``lead`` that lie in another range.
+def _rims(tagged, df, carry, parts, orders, descending, offset, names) -> DataFrame:
+    """The last rows of each range for ``lag``, the first ones for ``lead``.
 
-    A partner is within ``reach`` rows of the rim of its range, so the look-up table
-    holds at most ``2 * reach`` rows per range and cut.
+    A partner in another range is within ``abs(offset)`` rows of its rim. The limit on
+    the row number lets Spark drop all other rows before the shuffle.
     """
-    reach = max(abs(e.offset) for e in shifts)
+    backwards = offset < 0
+    directed = _directed([column(df, o) for o in orders], descending != backwards)
+    by_hash = F.col(HASH).desc() if backwards else F.col(HASH).asc()
+    here = W.partitionBy(*[column(df, p) for p in parts], BUCKET, SALT)
+    near = tagged.where(F.col(BUCKET) >= 0).withColumn(
+        "__e_rn", F.row_number().over(here.orderBy(*directed, by_hash))
+    ).where(F.col("__e_rn") <= abs(offset))
+    near = _attach(near, carry, parts)
+    inside = F.col("__c_size") - F.col("__e_rn") + 1 if backwards else F.col("__e_rn")
+    return near.select(
+        *[column(near, p).alias(f"__e_p{i}") for i, p in enumerate(parts)],
+        (F.coalesce("__c_rows_salt", F.lit(0)) + inside).alias("__e_row"),
+        *[column(near, c).alias(f"__rim_{_side(offset)}_{c}") for c in names],
+    )
+
+
+def _attach_rims(joined, rims, parts, offset: int, bounds: Bounds) -> DataFrame:
+    """Look up the partners of ``lag``/``lead`` that lie in another range."""
     rn, size, row = F.col("__tabloom_rn"), F.col("__c_size"), F.col("__tabloom_row")
-    in_range = F.col(BUCKET) >= 0
-    rims = joined.where(in_range & ((rn <= reach) | (rn > size - reach)))
     ranges = 2 * len(bounds.keys) + 1 + sum(bounds.cuts)
-    small = 2 * reach * ranges <= BROADCAST_RIM
-    for offset in sorted({e.offset for e in shifts}):
-        side = _side(offset)
-        outside = in_range & ((rn + offset < 1) | (rn + offset > size))
-        names = sorted({e.column for e in shifts if e.offset == offset})
-        table = rims.select(
-            *[column(rims, p).alias(f"__e_p{i}") for i, p in enumerate(parts)],
-            row.alias("__e_row"), *[column(rims, c).alias(f"__rim_{side}_{c}") for c in names],
-        )
-        # Rows that need no partner get distinct numbers nothing can match, so that
-        # a shuffled join spreads them.
-        match = F.when(outside, row + offset).otherwise(-row) == F.col("__e_row")
-        for i, p in enumerate(parts):
-            match = match & column(joined, p).eqNullSafe(F.col(f"__e_p{i}"))
-        joined = joined.join(F.broadcast(table) if small else table, match, "left").drop(
-            "__e_row", *[f"__e_p{i}" for i in range(len(parts))]
-        ).withColumn(f"__outside_{side}", outside)
-    return joined
+    if abs(offset) * ranges <= BROADCAST_RIM:
+        rims = F.broadcast(rims)
+    outside = (F.col(BUCKET) >= 0) & ((rn + offset < 1) | (rn + offset > size))
+    # Rows that need no partner get distinct numbers nothing can match, so that a
+    # shuffled join spreads them.
+    match = F.when(outside, row + offset).otherwise(-row) == F.col("__e_row")
+    for i, p in enumerate(parts):
+        match = match & column(joined, p).eqNullSafe(F.col(f"__e_p{i}"))
+    return joined.join(rims, match, "left").drop(
+        "__e_row", *[f"__e_p{i}" for i in range(len(parts))]
+    ).withColumn(f"__outside_{_side(offset)}", outside)
