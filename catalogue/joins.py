@@ -57,7 +57,7 @@ for how, word in SQL_HOW.items():
         t.filter_rows(kinds(spark, sf), "kind <> 'view'"),
         t.filter_rows(load(spark, sf, "events"), "event_type <> 'click'").select(
             "event_id", "event_type", "value"),
-        how, [{"left_on": "kind", "right_on": "event_type"}]),
+        how, [{"left_on": "kind", "right_on": "event_type"}], hot_rows=1000),
         f"""SELECT * FROM (SELECT event_type AS kind, count(*) AS n FROM events
               WHERE event_type <> 'view' GROUP BY 1)
             {word} JOIN (SELECT event_id, event_type, value FROM events

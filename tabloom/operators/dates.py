@@ -43,6 +43,7 @@ PARTS = {
     "day_of_week": F.dayofweek,
     "week_of_year": F.weekofyear,
 }
+SHIFTS = {"add_to_date": 1, "sub_from_date": -1}
 TEXT_PARTS = {"day_of_year": "D", "day_of_month": "d"}
 
 
@@ -61,20 +62,19 @@ def date_operations(
         if kind in TEXT_PARTS:
             return (i["new_column"], operand_inputs(first),
                     lambda d: F.date_format(_moment(operand(d, *first)), TEXT_PARTS[kind]))
+        choose(SHIFTS | {"date_diff": 0}, kind, "date operation")
         second = (i["value2"], i["v2_type"])
         inputs = operand_inputs(first, second)
         if kind == "date_diff":
             choose(DIFF_SECONDS, i["unit"], "unit")
             return i["new_column"], inputs, lambda d: _difference(d, first, second, i["unit"])
-        if kind in ("add_to_date", "sub_from_date"):
-            sign = 1 if kind == "add_to_date" else -1
-            if second[1] == "value":
-                step = _interval(second[0], i["unit"])
-                return i["new_column"], inputs, lambda d: _shift(d, first, step, sign)
-            choose(DAYS_IN | SECONDS_IN, i["unit"], "unit")
-            return (i["new_column"], inputs, lambda d: _shift_by_column(
-                d, first, operand(d, *second), i["unit"], sign, keep_time, as_timestamp))
-        raise ValueError(f"unknown date operation {kind!r}")
+        sign = SHIFTS[kind]
+        if second[1] == "value":
+            step = _interval(second[0], i["unit"])
+            return i["new_column"], inputs, lambda d: _shift(d, first, step, sign)
+        choose(DAYS_IN | SECONDS_IN, i["unit"], "unit")
+        return (i["new_column"], inputs, lambda d: _shift_by_column(
+            d, first, operand(d, *second), i["unit"], sign, keep_time, as_timestamp))
 
     return add_columns(df, map(item, items))
 

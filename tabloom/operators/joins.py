@@ -21,24 +21,25 @@ from tabloom.functions.params import choose, column, flag, is_text, type_of
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
 
-# A key is frequent when it holds more than this share of a table's rows; at most
-# 1 / HOT_SHARE keys can.
+# A key is frequent when it holds more than this share of a table's rows (at most
+# 1 / HOT_SHARE keys can) and more rows than one task should take.
 HOT_SHARE = 0.02
+HOT_ROWS = 1_000_000
 
 
 def join_tables(
     left: DataFrame, right: DataFrame, how: str, on: Iterable[Mapping[str, str]],
     is_duplicate: Any = False, dataset: str = "", duplicate_col: Iterable[str] = (),
-    hot_keys: str | None = "auto",
+    hot_keys: str | None = "auto", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on ``[{left_on, right_on}]``; both key columns stay in the result.
 
     With ``is_duplicate`` the left columns ``duplicate_col`` are first renamed to
     ``{dataset}_{column}``, and ``left_on`` uses the new name. NULL keys match nothing.
 
-    ``hot_keys="auto"`` looks for frequent keys on the side Spark cannot cut (one
-    pass over its key columns, keeping a fixed number of counters); ``None`` leaves
-    the join to Spark.
+    ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
+    Spark cannot cut (a pass over its key columns with a fixed number of counters);
+    ``None`` leaves the join to Spark.
     """
     kind = choose(HOW, how, "join kind")
     if flag(is_duplicate or False):
@@ -51,8 +52,8 @@ def join_tables(
         raise ValueError("hot_keys must be 'auto' or None")
     look = hot_keys == "auto" and kind != "inner" and not (left.isStreaming or right.isStreaming)
     if look and not any(_mixed(left, a, right, b) for a, b in pairs):
-        hot_left = _frequent_keys(left, left_keys) if kind in ("right", "full") else []
-        hot_right = _frequent_keys(right, right_keys) if kind in ("left", "full") else []
+        hot_left = _frequent_keys(left, left_keys, hot_rows) if kind in ("right", "full") else []
+        hot_right = _frequent_keys(right, right_keys, hot_rows) if kind in ("left", "full") else []
         if hot_left or hot_right:
             return _join_in_parts(left, right, left_keys, right_keys, kind, hot_left, hot_right)
     return _join(left, right, left_keys, right_keys, kind)
@@ -78,8 +79,8 @@ def _mixed(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
     return is_text(type_of(left, column(left, a))) != is_text(type_of(right, column(right, b)))
 
 
-def _frequent_keys(df: DataFrame, keys: list[str]) -> list[tuple]:
-    """Every key above ``HOT_SHARE`` of the rows, and no key that is not in the table."""
+def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]:
+    """Every key above ``HOT_SHARE`` of the rows and above ``hot_rows``."""
     whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
     key = F.struct(*[column(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
     slim = df.where(whole).select(key.alias("key"))
@@ -93,7 +94,8 @@ def _frequent_keys(df: DataFrame, keys: list[str]) -> list[tuple]:
         *[F.count_if(_is_key(df, F.col("key"), c, keys)).alias(f"c{i}")
           for i, c in enumerate(candidates)],
     ).first()
-    return [c for i, c in enumerate(candidates) if counted[f"c{i}"] > HOT_SHARE * counted["rows"]]
+    least = max(HOT_SHARE * counted["rows"], hot_rows)
+    return [c for i, c in enumerate(candidates) if counted[f"c{i}"] > least]
 
 
 def _is_key(df: DataFrame, key: Column, values: tuple, keys: list[str]) -> Column:

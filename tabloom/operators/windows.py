@@ -42,7 +42,8 @@ RUNNING = ("sum", "avg", "count")
 KINDS = {name: name for name in (*RANKS, *OFFSETS, *RUNNING)}
 
 SMALL = 1_000_000          # rows one task may take without cutting
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 500_000
+RANGES_PER_CORE = 4        # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
 SAMPLE_PER_RANGE = 16
 BROADCAST_RIM = 200_000    # rim rows up to which the look-up table is broadcast
@@ -170,7 +171,7 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     if rows == 0 or (rows <= SMALL and not force):
         return None
     if ranges is None:
-        least = df.sparkSession.sparkContext.defaultParallelism
+        least = RANGES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
         ranges = min(max(rows // ROWS_PER_RANGE, least), MOST_RANGES)
     wanted = ranges * SAMPLE_PER_RANGE
     keys = df.select(_sort_key(df, parts, orders).alias("key"))
