@@ -22,6 +22,7 @@ after the rows were written out once, so that all steps see the same cut.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,7 @@ ROWS_PER_RANGE = 500_000
 RANGES_PER_CORE = 4        # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
 SAMPLE_PER_RANGE = 16
+NARROW_DECIMAL = 11        # digits up to which Spark averages decimals as doubles
 BROADCAST_RIM = 200_000    # rim rows up to which the look-up table is broadcast
 
 BUCKET, SALT, HASH = "__tabloom_bucket", "__tabloom_salt", "__tabloom_hash"
@@ -364,9 +366,15 @@ def _combine(df: DataFrame, e: Function, i: int, rows: int) -> Column:
             F.try_add(past, inside))
 
     if e.kind == "avg":
-        target = type_of(df, F.avg(_value(df, e.column)[0]))
+        col, kind = _value(df, e.column)
+        target = type_of(df, F.avg(col))
         # The total in the type of a single sum leaves the division enough decimals.
         total = running("").try_cast(type_of(df, _sum_for_avg(df, e)))
+        if isinstance(kind, T.DecimalType) and kind.precision <= NARROW_DECIMAL:
+            # Spark averages narrow decimals as unscaled doubles; round as it does.
+            unit = F.lit(float(10**kind.scale))
+            whole = (total * F.lit(Decimal(10**kind.scale))).cast("double")
+            return F.try_divide(F.try_divide(whole, running("n")), unit).try_cast(target)
         return F.try_divide(total, running("n")).try_cast(target)
     if e.kind == "count":
         return running("")
