@@ -55,6 +55,10 @@ AGGREGATES = {
     "any_value": F.any_value,
     "approx_count_distinct": F.approx_count_distinct,
     "count_if": F.count_if,
+    "any": F.bool_or,
+    "try_sum": F.try_sum,
+    "try_avg": F.try_avg,
+    "hll_sketch_agg": F.hll_sketch_agg,
     "bool_and": F.bool_and,
     "every": F.every,
     "bool_or": F.bool_or,
@@ -65,8 +69,16 @@ AGGREGATES = {
 }
 DISTINCT = re.compile(r"\s*distinct\s+(.+)$", re.IGNORECASE | re.DOTALL)
 
-# These hold a whole group in one value, so they need a stated bound per group.
-ARRAY_AGGREGATES = {"collect_list": F.collect_list, "collect_set": F.collect_set}
+# These hold all values of a group at once, so they need a stated bound per group.
+WHOLE_GROUP_AGGREGATES = {
+    "collect_list": F.collect_list,
+    "array_agg": F.array_agg,
+    "collect_set": F.collect_set,
+    "listagg": F.listagg,
+    "string_agg": F.string_agg,
+    "median": F.median,
+    "mode": F.mode,
+}
 
 
 def group_rows(
@@ -76,23 +88,24 @@ def group_rows(
     """Aggregates ``[{agg_func, col, col_name}]`` per combination of ``index``.
 
     ``index`` entries and ``col`` are column names or expressions; ``col`` may also
-    be ``*`` or ``distinct x``. ``collect_list`` and ``collect_set`` return one array
-    per group and are only built when every group has at most ``max_group_rows``
-    rows, which is counted first; a larger group is an error, never cut.
+    be ``*`` or ``distinct x``. Aggregates that hold a whole group at once
+    (``collect_list``, ``median`` and the like) are only built when every group has at
+    most ``max_group_rows`` rows, which is counted first; a larger group is an error,
+    never cut.
     """
     keys = [column_or_expression(df, k) for k in name_list(index)]
     entries = list(agg)
     if not entries:
         raise ValueError("at least one aggregate is needed")
     columns = [_aggregate(df, e).alias(e["col_name"]) for e in entries]
-    if any(e["agg_func"].strip().lower() in ARRAY_AGGREGATES for e in entries):
+    if any(e["agg_func"].strip().lower() in WHOLE_GROUP_AGGREGATES for e in entries):
         _check_group_sizes(df, keys, max_group_rows)
     return df.groupBy(*keys).agg(*columns)
 
 
 def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
     name, text = entry["agg_func"].strip().lower(), str(entry["col"]).strip()
-    known = NUMERIC_AGGREGATES | AGGREGATES | ARRAY_AGGREGATES
+    known = NUMERIC_AGGREGATES | AGGREGATES | WHOLE_GROUP_AGGREGATES
     if name not in known:
         raise ValueError(f"unknown aggregate {name!r}; expected one of {sorted(known)}")
     if text == "*":
@@ -104,7 +117,7 @@ def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
         return _distinct(name, df, distinct.group(1))
     col = column_or_expression(df, text)
     if name not in NUMERIC_AGGREGATES:
-        return (AGGREGATES | ARRAY_AGGREGATES)[name](col)
+        return (AGGREGATES | WHOLE_GROUP_AGGREGATES)[name](col)
     kind = type_of(df, col)
     if is_text(kind):
         col, kind = col.try_cast("double"), T.DoubleType()
@@ -122,7 +135,7 @@ def _distinct(name: str, df: DataFrame, text: str) -> Column:
 
 def _check_group_sizes(df: DataFrame, keys: list[Column], bound: int | None) -> None:
     if bound is None:
-        raise ValueError("collect_list and collect_set need max_group_rows")
+        raise ValueError("aggregates that hold a whole group need max_group_rows")
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     if not sizes.where(F.col("rows") > bound).isEmpty():
         raise ValueError(f"a group has more than {bound} rows")

@@ -11,20 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.functions.params import choose, column, flag, is_text, type_of
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
 
-# A key is frequent when it holds more than this share of a table's rows (at most
-# 1 / HOT_SHARE keys can) and more rows than one task should take.
-HOT_SHARE = 0.02
-HOT_ROWS = 1_000_000
+HOT_ROWS = 1_000_000    # rows of one key that are too many for one task
+SAMPLE_HITS = 16        # rows of such a key which the sample is made to hold
+MOST_KEYS = 5_000       # keys handled apart; less frequent ones stay with the rest
 
 
 def join_tables(
@@ -38,8 +38,8 @@ def join_tables(
     ``{dataset}_{column}``, and ``left_on`` uses the new name. NULL keys match nothing.
 
     ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
-    Spark cannot cut (a pass over its key columns with a fixed number of counters);
-    ``None`` leaves the join to Spark.
+    Spark cannot cut, in one pass over a sample of its key columns. ``None`` leaves
+    the join to Spark. The result is the same either way.
     """
     kind = choose(HOW, how, "join kind")
     if flag(is_duplicate or False):
@@ -51,7 +51,7 @@ def join_tables(
     if hot_keys not in ("auto", None):
         raise ValueError("hot_keys must be 'auto' or None")
     look = hot_keys == "auto" and kind != "inner" and not (left.isStreaming or right.isStreaming)
-    if look and not any(_mixed(left, a, right, b) for a, b in pairs):
+    if look and all(_alike(left, a, right, b) for a, b in pairs):
         hot_left = _frequent_keys(left, left_keys, hot_rows) if kind in ("right", "full") else []
         hot_right = _frequent_keys(right, right_keys, hot_rows) if kind in ("left", "full") else []
         if hot_left or hot_right:
@@ -79,43 +79,23 @@ def _mixed(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
     return is_text(type_of(left, column(left, a))) != is_text(type_of(right, column(right, b)))
 
 
-def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]:
-    """Every key above ``HOT_SHARE`` of the rows and above ``hot_rows``."""
-    whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
-    key = F.struct(*[column(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
-    slim = df.where(whole).select(key.alias("key"))
-    candidates = slim.stat.freqItems(["key"], HOT_SHARE).first()["key_freqItems"]
-    if not candidates:
-        return []
-    # The counters may name rarer keys as well; count the few candidates.
-    candidates = [tuple(c) for c in candidates]
-    counted = slim.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(_is_key(df, F.col("key"), c, keys)).alias(f"c{i}")
-          for i, c in enumerate(candidates)],
-    ).first()
-    least = max(HOT_SHARE * counted["rows"], hot_rows)
-    return [c for i, c in enumerate(candidates) if counted[f"c{i}"] > least]
-
-
-def _is_key(df: DataFrame, key: Column, values: tuple, keys: list[str]) -> Column:
-    return reduce(and_, [
-        key[f"k{i}"] == F.lit(v).cast(type_of(df, column(df, k)))
-        for i, (v, k) in enumerate(zip(values, keys, strict=True))
-    ])
+def _alike(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
+    """Key types between which Spark and Python agree on what is equal."""
+    x, y = type_of(left, column(left, a)), type_of(right, column(right, b))
+    return x == y or (isinstance(x, T.IntegralType) and isinstance(y, T.IntegralType))
 
 
-def _in_keys(df: DataFrame, columns: list[str], values: list[tuple], typed) -> Column:
-    """True for the given keys, false for all others and for NULL."""
-    if not values:
-        return F.lit(False)
-    tests = [
-        reduce(and_, [
-            column(df, c) == F.lit(v).cast(t) for c, v, t in zip(columns, row, typed, strict=True)
-        ])
-        for row in values
-    ]
-    return F.coalesce(reduce(or_, tests), F.lit(False))
+def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]:
+    """Keys with about ``hot_rows`` rows or more; each of them is in the table."""
+    whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
+    slim = df.where(whole).select(*[column(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
+    sample = slim.sample(min(1.0, SAMPLE_HITS / hot_rows))
+    counted = sample.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("n"))
+    often = counted.where(F.col("n") >= SAMPLE_HITS // 2)
+    found = often.orderBy(F.desc("n")).limit(MOST_KEYS).drop("n").collect()
+    keys_found = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in found]
+    # NaN does not equal itself in Python; rows with it stay with the rest.
+    return [k for k in keys_found if k == tuple(v if v == v else None for v in k)]
 
 
 def _join_in_parts(
@@ -128,30 +108,36 @@ def _join_in_parts(
     The mirrored statement holds for keys frequent on the left; a key frequent on
     both sides is an inner join.
     """
-    left_types = [type_of(left, column(left, k)) for k in left_keys]
-    right_types = [type_of(right, column(right, k)) for k in right_keys]
-    both = [k for k in hot_left if k in hot_right]
+    in_right, in_left = set(hot_right), set(hot_left)
+    both = in_right & in_left
     groups = [
-        (both, right_types, "inner"),
-        ([k for k in hot_right if k not in both], right_types,
-         {"left": "inner", "full": "right"}.get(kind)),
-        ([k for k in hot_left if k not in both], left_types,
-         {"right": "inner", "full": "left"}.get(kind)),
+        (both, "inner"),
+        (in_right - both, {"left": "inner", "full": "right"}.get(kind)),
+        (in_left - both, {"right": "inner", "full": "left"}.get(kind)),
     ]
+    kinds = [type_of(left, column(left, k)) for k in left_keys]
+    schema = T.StructType([
+        T.StructField(f"k{i}", T.LongType() if isinstance(k, T.IntegralType) else k)
+        for i, k in enumerate(kinds)
+    ])
 
-    def pick(side: DataFrame, keys: list[str], values, types) -> DataFrame:
-        return side.where(_in_keys(side, keys, values, types))
-
-    def rest(side: DataFrame, keys: list[str]) -> DataFrame:
-        for values, types, _ in groups:
-            side = side.where(~_in_keys(side, keys, values, types))
-        return side
+    def pick(side: DataFrame, keys: list[str], values: set[tuple], how: str) -> DataFrame:
+        """Rows with one of the keys (``left_semi``) or with none (``left_anti``)."""
+        # At most a few thousand keys, see MOST_KEYS.
+        table = F.broadcast(side.sparkSession.createDataFrame(sorted(values, key=repr), schema))
+        match = reduce(and_, [
+            F.col(f"s.`{k}`") == F.col(f"h.k{i}") for i, k in enumerate(keys)
+        ])
+        return side.alias("s").join(table.alias("h"), match, how)
 
-    joined = [_join(rest(left, left_keys), rest(right, right_keys), left_keys, right_keys, kind)]
-    for values, types, part_kind in groups:
+    joined = [_join(
+        pick(left, left_keys, in_left | in_right, "left_anti"),
+        pick(right, right_keys, in_left | in_right, "left_anti"), left_keys, right_keys, kind,
+    )]
+    for values, part_kind in groups:
         if values:
             joined.append(_join(
-                pick(left, left_keys, values, types), pick(right, right_keys, values, types),
-                left_keys, right_keys, part_kind,
+                pick(left, left_keys, values, "left_semi"),
+                pick(right, right_keys, values, "left_semi"), left_keys, right_keys, part_kind,
             ))
     return reduce(DataFrame.union, joined)

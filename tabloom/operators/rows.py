@@ -25,39 +25,20 @@ def filter_rows(df: DataFrame, rules: str = "1 = 0") -> DataFrame:
     return df.where(rules)
 
 
-def row_hash(df: DataFrame) -> Column:
-    """A hash over every column that can be hashed."""
-    hashable = [
-        F.col("`" + f.name.replace("`", "``") + "`")
-        for f in df.schema if not _holds_map(f.dataType)
-    ]
-    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("bigint")
-
-
-def _holds_map(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.VariantType)):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _holds_map(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return any(_holds_map(f.dataType) for f in kind)
-    return False
-
-
 def order_rows(
     df: DataFrame, columns: str | Iterable[str], order: str = "ASC", spread_ties: bool = True
 ) -> DataFrame:
     """Sort by columns or expressions, one direction for all of them.
 
     A range sort sends equal keys to one task, which a very frequent key would
-    overload. ``spread_ties`` appends the row hash and the input partition number
-    to the sort key, so rows with equal keys, and even full copies, are cut into
-    ranges as well. Both are the same again when a lost task is repeated.
+    overload. ``spread_ties`` appends the input partition number to the sort key, so
+    that rows with equal keys, and even full copies of one row, are cut into ranges
+    as well. The number is the same again when a lost task is repeated.
     """
     direction = choose(DIRECTIONS, " ".join(order.upper().split()), "direction")
     keys = [direction(column_or_expression(df, c)) for c in name_list(columns)]
     if spread_ties and not df.isStreaming:
-        keys += [row_hash(df).asc(), F.spark_partition_id().asc()]
+        keys.append(F.spark_partition_id().asc())
     return df.orderBy(*keys)
 
 

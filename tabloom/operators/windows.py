@@ -35,7 +35,6 @@ from tabloom.functions.params import (
     choose, column, has_column, integer, is_text, name_list, type_of,
 )
 from tabloom.operators.groups import NUMERIC_AGGREGATES
-from tabloom.operators.rows import row_hash
 
 RANKS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 OFFSETS = {"lag": -1, "lead": 1}
@@ -44,7 +43,7 @@ KINDS = {name: name for name in (*RANKS, *OFFSETS, *RUNNING)}
 
 SMALL = 1_000_000          # rows one task may take without cutting
 ROWS_PER_RANGE = 500_000
-RANGES_PER_CORE = 4        # several per core even out ranges that hash to one task
+RANGES_PER_CORE = 16       # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
 SAMPLE_PER_RANGE = 16
 NARROW_DECIMAL = 11        # digits up to which Spark averages decimals as doubles
@@ -63,7 +62,7 @@ class Function(NamedTuple):
 def window_columns(
     df: DataFrame, functions: Iterable[Mapping[str, Any]], order_by: str | Iterable[str],
     order: str = "asc", partition: str | Iterable[str] = "", method: str = "auto",
-    ranges: int | None = None,
+    ranges: int | None = None, stage: bool = False,
 ) -> DataFrame:
     """Add ``[{func, column, offset, new_column}]`` over one window.
 
@@ -72,6 +71,9 @@ def window_columns(
     ``split`` for the range form, or ``auto``: the range form where a count and a
     bounded sample of the keys show a window too large for one task. Pick ``plain``
     for a rank that is filtered right away, which Spark can cut early.
+
+    The range form reads ``df`` more than once. Where it may give other rows each time
+    (a limit without order, a random column), ``stage`` writes it out first.
     """
     parts = name_list(partition) if partition else []
     orders = name_list(order_by)
@@ -80,6 +82,8 @@ def window_columns(
     entries = [_entry(f) for f in functions]
     bounds = None
     if method != "plain":
+        if stage:
+            df = materialize(df)
         bounds = _find_bounds(df, parts, orders, method == "split", ranges)
     if bounds is None:
         return _plain(df, entries, parts, orders, descending)
@@ -122,6 +126,15 @@ def _running(df: DataFrame, e: Function) -> Column:
     return NUMERIC_AGGREGATES[e.kind](*_value(df, e.column))
 
 
+def _hash(df: DataFrame, names: list[str]) -> Column:
+    def hashable(name: str) -> Column:
+        col = column(df, name)
+        text = type_of(df, col).simpleString()
+        return col.cast("string") if "map<" in text or "variant" in text else col
+
+    return F.xxhash64(*[hashable(n) for n in names])
+
+
 def _shifted(df: DataFrame, e: Function) -> Column:
     col = column(df, e.column)
     return F.lead(col, e.offset) if e.offset >= 0 else F.lag(col, -e.offset)
@@ -181,7 +194,7 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     sample = keys if rows <= wanted else keys.sample(wanted / rows)
     drawn = sample.agg(F.sort_array(F.collect_list("key")).alias("keys")).first()["keys"]
     step = max(len(drawn) // ranges, 1)
-    picks = [tuple(k) for k in drawn[step - 1::step]]
+    picks = [_hashable(k) for k in drawn[step - 1::step]]
     if parts:
         # Only partitions that reach over several picks are worth cutting.
         heavy: dict[tuple, int] = {}
@@ -198,6 +211,12 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     return Bounds(list(counts), cuts, schema, rows)
 
 
+def _hashable(value: Any) -> Any:
+    if isinstance(value, (list, tuple)):
+        return tuple(_hashable(v) for v in value)
+    return bytes(value) if isinstance(value, bytearray) else value
+
+
 def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
     """Add the range number (-1 for partitions that are not cut) and the cut number."""
     found = bounds.table(df).scalar()
@@ -234,18 +253,19 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
     out_columns = df.columns
     numbered = any(e.kind == "row_number" or e.kind in OFFSETS for e in entries)
     tagged = _tag(df, parts, orders, bounds)
-    if numbered:
-        # Equal sort keys in a fixed order, so that two readings number alike.
-        tagged = tagged.withColumn(HASH, row_hash(df))
-        if any(bounds.cuts):
-            tagged = materialize(tagged)
+    looked_up = sorted({e.column for e in entries if e.kind in OFFSETS})
+    # Rows with equal sort keys in a fixed order of the values looked up, so that two
+    # readings find the same value behind a row number.
+    tagged = tagged.withColumn(HASH, _hash(df, looked_up) if looked_up else F.lit(0))
+    if numbered and any(bounds.cuts):
+        tagged = materialize(tagged)
     carry = _carry(tagged, df, entries, parts, orders, descending)
 
     keys = [column(df, p) for p in parts]
     here = W.partitionBy(*keys, BUCKET, SALT)
     directed = _directed([column(df, o) for o in orders], descending)
     by_key = here.orderBy(*directed)
-    by_row = here.orderBy(*directed, F.col(HASH).asc())
+    by_row = here.orderBy(*directed, F.col(HASH).asc()) if looked_up else by_key
     local = {}
     if numbered:
         local["__tabloom_rn"] = F.row_number().over(by_row)

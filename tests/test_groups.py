@@ -39,6 +39,7 @@ def test_key_expression(df):
 
 def test_arrays_need_a_bound(df):
     assert sorted(grouped(df, "g", ("collect_list", "i"), max_group_rows=3)["a"][0]) == [1, 1]
+    assert grouped(df, "g", ("median", "i"), ("mode", "i"), max_group_rows=3)["a"] == (1.0, 1)
     with pytest.raises(ValueError, match="max_group_rows"):
         grouped(df, "g", ("collect_list", "i"))
     with pytest.raises(ValueError, match="more than 2"):
