@@ -125,3 +125,10 @@ def choose(table: Mapping[str, Any], key: Any, what: str) -> Any:
     if key not in table:
         raise ValueError(f"unknown {what} {key!r}; expected one of {sorted(table)}")
     return table[key]
+
+
+def hashable(value: Any) -> Any:
+    """A collected value in a form that Python can count and compare."""
+    if isinstance(value, (list, tuple)):
+        return tuple(hashable(v) for v in value)
+    return bytes(value) if isinstance(value, bytearray) else value

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.params import choose, column, flag, is_text, type_of
+from tabloom.functions.checkpoints import materialize
+from tabloom.functions.params import choose, column, flag, hashable, is_text, type_of
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
 
@@ -30,7 +31,7 @@ MOST_KEYS = 5_000       # keys handled apart; less frequent ones stay with the r
 def join_tables(
     left: DataFrame, right: DataFrame, how: str, on: Iterable[Mapping[str, str]],
     is_duplicate: Any = False, dataset: str = "", duplicate_col: Iterable[str] = (),
-    hot_keys: str | None = "auto", hot_rows: int = HOT_ROWS,
+    hot_keys: str | None = "auto", hot_rows: int = HOT_ROWS, stage: bool = False,
 ) -> DataFrame:
     """Join on ``[{left_on, right_on}]``; both key columns stay in the result.
 
@@ -39,7 +40,9 @@ def join_tables(
 
     ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
     Spark cannot cut, in one pass over a sample of its key columns. ``None`` leaves
-    the join to Spark. The result is the same either way.
+    the join to Spark. The result is the same either way. Looking and joining read the
+    tables more than once; where one may give other rows each time (a limit without
+    order, a random column), ``stage`` writes both out first.
     """
     kind = choose(HOW, how, "join kind")
     if flag(is_duplicate or False):
@@ -50,6 +53,8 @@ def join_tables(
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     if hot_keys not in ("auto", None):
         raise ValueError("hot_keys must be 'auto' or None")
+    if stage:
+        left, right = materialize(left), materialize(right)
     look = hot_keys == "auto" and kind != "inner" and not (left.isStreaming or right.isStreaming)
     if look and all(_alike(left, a, right, b) for a, b in pairs):
         hot_left = _frequent_keys(left, left_keys, hot_rows) if kind in ("right", "full") else []
@@ -93,9 +98,8 @@ def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]
     counted = sample.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("n"))
     often = counted.where(F.col("n") >= SAMPLE_HITS // 2)
     found = often.orderBy(F.desc("n")).limit(MOST_KEYS).drop("n").collect()
-    keys_found = [tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in found]
     # NaN does not equal itself in Python; rows with it stay with the rest.
-    return [k for k in keys_found if k == tuple(v if v == v else None for v in k)]
+    return [k for k in map(hashable, found) if all(v == v for v in k)]
 
 
 def _join_in_parts(

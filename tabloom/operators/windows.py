@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tabloom.functions.checkpoints import materialize
 from tabloom.functions.params import (
-    choose, column, has_column, integer, is_text, name_list, type_of,
+    choose, column, has_column, hashable, integer, is_text, name_list, type_of,
 )
 from tabloom.operators.groups import NUMERIC_AGGREGATES
 
@@ -127,12 +127,12 @@ def _running(df: DataFrame, e: Function) -> Column:
 
 
 def _hash(df: DataFrame, names: list[str]) -> Column:
-    def hashable(name: str) -> Column:
+    def plain(name: str) -> Column:
         col = column(df, name)
         text = type_of(df, col).simpleString()
         return col.cast("string") if "map<" in text or "variant" in text else col
 
-    return F.xxhash64(*[hashable(n) for n in names])
+    return F.xxhash64(*[plain(n) for n in names])
 
 
 def _shifted(df: DataFrame, e: Function) -> Column:
@@ -166,13 +166,19 @@ class Bounds(NamedTuple):
     schema: T.StructType
     rows: int
 
-    def table(self, df: DataFrame) -> DataFrame:
-        entry = T.StructType([
-            T.StructField("key", self.schema), T.StructField("cuts", T.IntegerType())
-        ])
-        schema = T.StructType([T.StructField("bounds", T.ArrayType(entry))])
-        rows = [([(k, c) for k, c in zip(self.keys, self.cuts, strict=True)],)]
-        return df.sparkSession.createDataFrame(rows, schema)
+    def single(self) -> bool:
+        """One sort column and no NULL bound: plain values compare faster than structs."""
+        return len(self.schema) == 1 and all(k[0] is not None for k in self.keys)
+
+    def arrays(self, df: DataFrame) -> tuple[Column, Column]:
+        """Keys and cuts as two constants of the plan."""
+        kind = self.schema[0].dataType if self.single() else self.schema
+        keys = [k[0] for k in self.keys] if self.single() else self.keys
+        table = df.sparkSession.createDataFrame([(keys, self.cuts)], T.StructType([
+            T.StructField("keys", T.ArrayType(kind)),
+            T.StructField("cuts", T.ArrayType(T.IntegerType())),
+        ]))
+        return table.select("keys").scalar(), table.select("cuts").scalar()
 
 
 def _sort_key(df: DataFrame, parts: list[str], orders: list[str]) -> Column:
@@ -194,7 +200,7 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     sample = keys if rows <= wanted else keys.sample(wanted / rows)
     drawn = sample.agg(F.sort_array(F.collect_list("key")).alias("keys")).first()["keys"]
     step = max(len(drawn) // ranges, 1)
-    picks = [_hashable(k) for k in drawn[step - 1::step]]
+    picks = [hashable(k) for k in drawn[step - 1::step]]
     if parts:
         # Only partitions that reach over several picks are worth cutting.
         heavy: dict[tuple, int] = {}
@@ -211,42 +217,38 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     return Bounds(list(counts), cuts, schema, rows)
 
 
-def _hashable(value: Any) -> Any:
-    if isinstance(value, (list, tuple)):
-        return tuple(_hashable(v) for v in value)
-    return bytes(value) if isinstance(value, bytearray) else value
-
-
 def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
     """Add the range number (-1 for partitions that are not cut) and the cut number."""
-    found = bounds.table(df).scalar()
+    keys, cuts = bounds.arrays(df)
     key, position = "__tabloom_key", "__tabloom_position"
     step = 1 << (len(bounds.keys).bit_length() - 1)
-    tagged = df.withColumns({key: _sort_key(df, parts, orders), position: F.lit(0)})
+    sort_key = column(df, orders[0]) if bounds.single() else _sort_key(df, parts, orders)
+    tagged = df.withColumns({key: sort_key, position: F.lit(0)})
     while step:
         # Binary search, one halving per projection: counts the bounds below the key.
-        probe = F.get(found, F.col(position) + F.lit(step - 1))["key"]
-        tagged = tagged.withColumn(
-            position, F.col(position) + F.when(probe < F.col(key), step).otherwise(0)
-        )
+        below = F.get(keys, F.col(position) + F.lit(step - 1)) < F.col(key)
+        tagged = tagged.withColumn(position, F.col(position) + F.when(below, step).otherwise(0))
         step >>= 1
-    at, before = "__tabloom_at", "__tabloom_before"
-    tagged = tagged.withColumn(at, F.get(found, F.col(position)))
-    tied = F.coalesce((F.col(at)["cuts"] > 0) & (F.col(at)["key"] == F.col(key)), F.lit(False))
+    at, at_cuts, before = "__tabloom_at", "__tabloom_cuts", "__tabloom_before"
+    tagged = tagged.withColumns({
+        at: F.get(keys, F.col(position)), at_cuts: F.get(cuts, F.col(position))
+    })
+    tied = F.coalesce((F.col(at_cuts) > 0) & (F.col(at) == F.col(key)), F.lit(False))
     bucket = F.col(position) * 2 + tied.cast("int")
     if parts:
         def same(bound: str) -> Column:
             test = F.col(bound).isNotNull()
             for i in range(len(parts)):
-                test = test & F.col(bound)["key"][f"k{i}"].eqNullSafe(F.col(key)[f"k{i}"])
+                test = test & F.col(bound)[f"k{i}"].eqNullSafe(F.col(key)[f"k{i}"])
             return test
 
-        tagged = tagged.withColumn(before, F.get(found, F.col(position) - 1))
+        tagged = tagged.withColumn(before, F.get(keys, F.col(position) - 1))
         bucket = F.when(same(at) | same(before), bucket).otherwise(-1)
     # The partition number also keeps Spark from pushing filters on the range number
     # below the search, where each halving would be written out twice.
-    salt = F.when(tied, F.pmod(F.spark_partition_id(), F.col(at)["cuts"])).otherwise(0)
-    return tagged.withColumns({BUCKET: bucket, SALT: salt}).drop(key, position, at, before)
+    salt = F.when(tied, F.pmod(F.spark_partition_id(), F.col(at_cuts))).otherwise(0)
+    return tagged.withColumns({BUCKET: bucket, SALT: salt}).drop(
+        key, position, at, at_cuts, before)
 
 
 def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
