@@ -46,10 +46,13 @@ ROWS_PER_RANGE = 500_000
 RANGES_PER_CORE = 16       # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
 SAMPLE_PER_RANGE = 16
+SAMPLE_BYTES = 1 << 28     # size of the sample where keys are text
 NARROW_DECIMAL = 11        # digits up to which Spark averages decimals as doubles
 BROADCAST_RIM = 200_000    # rim rows up to which the look-up table is broadcast
 
-BUCKET, SALT, HASH = "__tabloom_bucket", "__tabloom_salt", "__tabloom_hash"
+PART, BUCKET, SALT = "__tabloom_part", "__tabloom_bucket", "__tabloom_salt"
+HASH = "__tabloom_hash"
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 class Function(NamedTuple):
@@ -159,10 +162,14 @@ def _plain(df, entries, parts, orders, descending) -> DataFrame:
 
 
 class Bounds(NamedTuple):
-    """Sorted sort keys, each with the number of cuts its own rows need (0: none)."""
+    """Sorted sort keys, each with the number of cuts its own rows need (0: none).
+
+    ``parts`` numbers the window partitions the keys belong to.
+    """
 
     keys: list[tuple]
     cuts: list[int]
+    parts: list[int]
     schema: T.StructType
     rows: int
 
@@ -170,15 +177,21 @@ class Bounds(NamedTuple):
         """One sort column and no NULL bound: plain values compare faster than structs."""
         return len(self.schema) == 1 and all(k[0] is not None for k in self.keys)
 
-    def arrays(self, df: DataFrame) -> tuple[Column, Column]:
-        """Keys and cuts as two constants of the plan."""
+    def pieces(self) -> int:
+        """The most ranges and cuts there can be."""
+        return 2 * len(self.keys) + 1 + sum(self.cuts)
+
+    def arrays(self, df: DataFrame) -> list[Column]:
+        """Keys, cuts and partition numbers as constants of the plan."""
         kind = self.schema[0].dataType if self.single() else self.schema
         keys = [k[0] for k in self.keys] if self.single() else self.keys
-        table = df.sparkSession.createDataFrame([(keys, self.cuts)], T.StructType([
-            T.StructField("keys", T.ArrayType(kind)),
-            T.StructField("cuts", T.ArrayType(T.IntegerType())),
-        ]))
-        return table.select("keys").scalar(), table.select("cuts").scalar()
+        table = df.sparkSession.createDataFrame(
+            [(keys, self.cuts, self.parts)], T.StructType([
+                T.StructField("keys", T.ArrayType(kind)),
+                T.StructField("cuts", T.ArrayType(T.IntegerType())),
+                T.StructField("parts", T.ArrayType(T.IntegerType())),
+            ]))
+        return [table.select(name).scalar() for name in table.columns]
 
 
 def _sort_key(df: DataFrame, parts: list[str], orders: list[str]) -> Column:
@@ -188,13 +201,23 @@ def _sort_key(df: DataFrame, parts: list[str], orders: list[str]) -> Column:
 
 def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds | None:
     """Range bounds from a bounded sample, or None where no window is too large."""
-    rows = df.count()
+    texts = [
+        F.octet_length(column(df, c)) for c in [*parts, *orders]
+        if isinstance(type_of(df, column(df, c)), (T.StringType, T.BinaryType))
+    ]
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"w{i}") for i, c in enumerate(texts)]
+    ).first()
+    rows, width = size["rows"], sum(w or 0 for w in size[1:])
     if rows == 0 or (rows <= SMALL and not force):
         return None
     if ranges is None:
         least = RANGES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
         ranges = min(max(rows // ROWS_PER_RANGE, least), MOST_RANGES)
     wanted = ranges * SAMPLE_PER_RANGE
+    if wanted * width > SAMPLE_BYTES:
+        wanted = max(int(SAMPLE_BYTES / width), 2)
+        ranges = min(ranges, max(wanted // 4, 1))
     keys = df.select(_sort_key(df, parts, orders).alias("key"))
     schema = keys.schema[0].dataType
     sample = keys if rows <= wanted else keys.sample(wanted / rows)
@@ -214,12 +237,14 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     if not counts:
         return None
     cuts = [n if n > 1 and step > 1 else 0 for n in counts.values()]
-    return Bounds(list(counts), cuts, schema, rows)
+    numbers: dict[tuple, int] = {}
+    owners = [numbers.setdefault(k[: len(parts)], len(numbers)) for k in counts]
+    return Bounds(list(counts), cuts, owners, schema, rows)
 
 
 def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
-    """Add the range number (-1 for partitions that are not cut) and the cut number."""
-    keys, cuts = bounds.arrays(df)
+    """Add partition number, range number (-1 for partitions not cut) and cut number."""
+    keys, cuts, owners = bounds.arrays(df)
     key, position = "__tabloom_key", "__tabloom_position"
     step = 1 << (len(bounds.keys).bit_length() - 1)
     sort_key = column(df, orders[0]) if bounds.single() else _sort_key(df, parts, orders)
@@ -234,7 +259,7 @@ def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
         at: F.get(keys, F.col(position)), at_cuts: F.get(cuts, F.col(position))
     })
     tied = F.coalesce((F.col(at_cuts) > 0) & (F.col(at) == F.col(key)), F.lit(False))
-    bucket = F.col(position) * 2 + tied.cast("int")
+    part, bucket = F.lit(0), F.col(position) * 2 + tied.cast("int")
     if parts:
         def same(bound: str) -> Column:
             test = F.col(bound).isNotNull()
@@ -243,11 +268,13 @@ def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
             return test
 
         tagged = tagged.withColumn(before, F.get(keys, F.col(position) - 1))
+        part = F.when(same(at), F.get(owners, F.col(position))).when(
+            same(before), F.get(owners, F.col(position) - 1)).otherwise(-1)
         bucket = F.when(same(at) | same(before), bucket).otherwise(-1)
     # The partition number also keeps Spark from pushing filters on the range number
     # below the search, where each halving would be written out twice.
     salt = F.when(tied, F.pmod(F.spark_partition_id(), F.col(at_cuts))).otherwise(0)
-    return tagged.withColumns({BUCKET: bucket, SALT: salt}).drop(
+    return tagged.withColumns({PART: part, BUCKET: bucket, SALT: salt}).drop(
         key, position, at, at_cuts, before)
 
 
@@ -261,7 +288,7 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
     tagged = tagged.withColumn(HASH, _hash(df, looked_up) if looked_up else F.lit(0))
     if numbered and any(bounds.cuts):
         tagged = materialize(tagged)
-    carry = _carry(tagged, df, entries, parts, orders, descending)
+    carry = _carry(tagged, df, entries, orders, descending)
 
     keys = [column(df, p) for p in parts]
     here = W.partitionBy(*keys, BUCKET, SALT)
@@ -284,7 +311,7 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
             local[name + "n"] = F.count(_value(df, e.column)[0]).over(by_key)
         elif e.kind == "count":
             local[name] = _running(df, e).over(by_key)
-    joined = _attach(tagged.withColumns(local), carry, parts)
+    joined = _attach(tagged.withColumns(local), carry)
     if numbered:
         joined = joined.withColumn(
             "__tabloom_row", F.col("__tabloom_rn") + F.coalesce("__c_rows_salt", F.lit(0))
@@ -292,7 +319,7 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
     for offset in sorted({e.offset for e in entries if e.kind in OFFSETS}):
         names = sorted({e.column for e in entries if e.kind in OFFSETS and e.offset == offset})
         rims = _rims(tagged, df, carry, parts, orders, descending, offset, names)
-        joined = _attach_rims(joined, rims, parts, offset, bounds)
+        joined = _attach_rims(joined, rims, offset, bounds)
     made = {}
     for i, e in enumerate(entries):
         made[e.new_column] = _combine(df, e, i, bounds.rows)
@@ -309,7 +336,7 @@ def _sum_for_avg(df: DataFrame, e: Function) -> Column:
     return F.try_sum(col) if isinstance(kind, T.DecimalType) else F.sum(col.cast("double"))
 
 
-def _carry(tagged, df, entries, parts, orders, descending) -> DataFrame:
+def _carry(tagged, df, entries, orders, descending) -> DataFrame:
     """Per range and cut: what lies before it in its partition, and its own totals."""
     totals: dict[str, Column] = {"__t_rows": F.count(F.lit(1))}
     for i, e in enumerate(entries):
@@ -321,16 +348,15 @@ def _carry(tagged, df, entries, parts, orders, descending) -> DataFrame:
         elif e.kind == "avg":
             totals[f"__t_{i}"] = _sum_for_avg(df, e)
             totals[f"__t_{i}n"] = F.count(_value(df, e.column)[0])
-    keys = [column(df, p) for p in parts]
-    grouped = tagged.where(F.col(BUCKET) >= 0).groupBy(*keys, BUCKET, SALT).agg(
+    grouped = tagged.where(F.col(BUCKET) >= 0).groupBy(PART, BUCKET, SALT).agg(
         *[c.alias(n) for n, c in totals.items()]
     )
     # One row per bound and cut: small, whatever the size of the table.
     step = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
-    whole = W.partitionBy(*keys)
+    whole = W.partitionBy(PART)
     before = whole.orderBy(step).rangeBetween(W.unboundedPreceding, -1)
     before_cut = whole.orderBy(step, F.col(SALT).asc()).rowsBetween(W.unboundedPreceding, -1)
-    same = W.partitionBy(*keys, BUCKET)
+    same = W.partitionBy(PART, BUCKET)
     columns = {
         "__c_rows": F.sum("__t_rows").over(before),
         "__c_rows_salt": F.sum("__t_rows").over(before_cut),
@@ -347,19 +373,18 @@ def _carry(tagged, df, entries, parts, orders, descending) -> DataFrame:
             continue
         columns["__c" + name[3:]] = F.sum(name).over(before)
         columns["__s" + name[3:]] = F.sum(name).over(same)
-    made = grouped.withColumns(columns)
-    return made.select(
-        *[column(made, p).alias(f"__p{i}") for i, p in enumerate(parts)],
-        F.col(BUCKET).alias("__c_bucket"), F.col(SALT).alias("__c_salt"), *columns,
+    return grouped.withColumns(columns).select(
+        F.col(PART).alias("__c_part"), F.col(BUCKET).alias("__c_bucket"),
+        F.col(SALT).alias("__c_salt"), *columns,
     )
 
 
-def _attach(rows: DataFrame, carry: DataFrame, parts: list[str]) -> DataFrame:
-    match = (F.col(BUCKET) == F.col("__c_bucket")) & (F.col(SALT) == F.col("__c_salt"))
-    for i, p in enumerate(parts):
-        match = match & column(rows, p).eqNullSafe(F.col(f"__p{i}"))
-    joined = rows.join(F.broadcast(carry), match, "left")
-    return joined.drop("__c_bucket", "__c_salt", *[f"__p{i}" for i in range(len(parts))])
+def _attach(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Join the totals: numbers only, at most ``Bounds.pieces`` rows, so broadcast."""
+    match = (F.col(PART) == F.col("__c_part")) & (F.col(BUCKET) == F.col("__c_bucket")) \
+        & (F.col(SALT) == F.col("__c_salt"))
+    return rows.join(F.broadcast(carry), match, "left").drop(
+        "__c_part", "__c_bucket", "__c_salt")
 
 
 def _combine(df: DataFrame, e: Function, i: int, rows: int) -> Column:
@@ -420,27 +445,26 @@ def _rims(tagged, df, carry, parts, orders, descending, offset, names) -> DataFr
     near = tagged.where(F.col(BUCKET) >= 0).withColumn(
         "__e_rn", F.row_number().over(here.orderBy(*directed, by_hash))
     ).where(F.col("__e_rn") <= abs(offset))
-    near = _attach(near, carry, parts)
+    near = _attach(near, carry)
     inside = F.col("__c_size") - F.col("__e_rn") + 1 if backwards else F.col("__e_rn")
     return near.select(
-        *[column(near, p).alias(f"__e_p{i}") for i, p in enumerate(parts)],
+        F.col(PART).alias("__e_part"),
         (F.coalesce("__c_rows_salt", F.lit(0)) + inside).alias("__e_row"),
         *[column(near, c).alias(f"__rim_{_side(offset)}_{c}") for c in names],
     )
 
 
-def _attach_rims(joined, rims, parts, offset: int, bounds: Bounds) -> DataFrame:
+def _attach_rims(joined, rims, offset: int, bounds: Bounds) -> DataFrame:
     """Look up the partners of ``lag``/``lead`` that lie in another range."""
     rn, size, row = F.col("__tabloom_rn"), F.col("__c_size"), F.col("__tabloom_row")
-    ranges = 2 * len(bounds.keys) + 1 + sum(bounds.cuts)
-    if abs(offset) * ranges <= BROADCAST_RIM:
+    numbers = all(isinstance(f.dataType, FIXED_WIDTH) for f in rims.schema)
+    if numbers and abs(offset) * bounds.pieces() <= BROADCAST_RIM:
         rims = F.broadcast(rims)
     outside = (F.col(BUCKET) >= 0) & ((rn + offset < 1) | (rn + offset > size))
-    # Rows that need no partner get distinct numbers nothing can match, so that a
+    # Rows that need no partner get scattered numbers nothing can match, so that a
     # shuffled join spreads them.
-    match = F.when(outside, row + offset).otherwise(-row) == F.col("__e_row")
-    for i, p in enumerate(parts):
-        match = match & column(joined, p).eqNullSafe(F.col(f"__e_p{i}"))
-    return joined.join(rims, match, "left").drop(
-        "__e_row", *[f"__e_p{i}" for i in range(len(parts))]
-    ).withColumn(f"__outside_{_side(offset)}", outside)
+    nowhere = -1 - F.pmod(F.xxhash64(HASH, row), F.lit(2**62))
+    wanted = F.when(outside, row + offset).otherwise(nowhere)
+    match = (F.col(PART) == F.col("__e_part")) & (wanted == F.col("__e_row"))
+    return joined.join(rims, match, "left").drop("__e_part", "__e_row").withColumn(
+        f"__outside_{_side(offset)}", outside)
