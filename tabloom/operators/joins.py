@@ -23,6 +23,13 @@ from tabloom.functions.params import choose, column, flag, hashable, is_text, ty
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
 
+# The sides whose shuffle partitions Spark leaves whole.
+CANNOT_CUT = {"left": "right", "right": "left", "full": "left right", "inner": ""}
+
+# What a join becomes for keys that are known to occur on one side.
+IN_RIGHT = {"left": "inner", "inner": "inner", "right": "right", "full": "right"}
+IN_LEFT = {"left": "left", "inner": "inner", "right": "inner", "full": "left"}
+
 HOT_ROWS = 1_000_000    # rows of one key that are too many for one task
 SAMPLE_HITS = 16        # rows of such a key which the sample is made to hold
 MOST_KEYS = 5_000       # keys handled apart; less frequent ones stay with the rest
@@ -39,8 +46,10 @@ def join_tables(
     ``{dataset}_{column}``, and ``left_on`` uses the new name. NULL keys match nothing.
 
     ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
-    Spark cannot cut, in one pass over a sample of its key columns. ``None`` leaves
-    the join to Spark. The result is the same either way. Looking and joining read the
+    Spark cannot cut, in one pass over a sample of its key columns; ``"all"`` looks at
+    both sides of any join, for a join whose keys are grouped next (Spark then keeps
+    its partitions whole). ``None`` leaves the join to Spark. The result is the same
+    in each case. Looking and joining read the
     tables more than once; where one may give other rows each time (a limit without
     order, a random column), ``stage`` writes both out first.
     """
@@ -51,14 +60,16 @@ def join_tables(
     if not pairs:
         raise ValueError("at least one key pair is needed")
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
-    if hot_keys not in ("auto", None):
-        raise ValueError("hot_keys must be 'auto' or None")
+    if hot_keys not in ("auto", "all", None):
+        raise ValueError("hot_keys must be 'auto', 'all' or None")
     if stage:
         left, right = materialize(left), materialize(right)
-    look = hot_keys == "auto" and kind != "inner" and not (left.isStreaming or right.isStreaming)
-    if look and all(_alike(left, a, right, b) for a, b in pairs):
-        hot_left = _frequent_keys(left, left_keys, hot_rows) if kind in ("right", "full") else []
-        hot_right = _frequent_keys(right, right_keys, hot_rows) if kind in ("left", "full") else []
+    sides = {"auto": CANNOT_CUT[kind], "all": "left right", None: ""}[hot_keys]
+    if left.isStreaming or right.isStreaming:
+        sides = ""
+    if sides and all(_alike(left, a, right, b) for a, b in pairs):
+        hot_left = _frequent_keys(left, left_keys, hot_rows) if "left" in sides else []
+        hot_right = _frequent_keys(right, right_keys, hot_rows) if "right" in sides else []
         if hot_left or hot_right:
             return _join_in_parts(left, right, left_keys, right_keys, kind, hot_left, hot_right)
     return _join(left, right, left_keys, right_keys, kind)
@@ -116,8 +127,8 @@ def _join_in_parts(
     both = in_right & in_left
     groups = [
         (both, "inner"),
-        (in_right - both, {"left": "inner", "full": "right"}.get(kind)),
-        (in_left - both, {"right": "inner", "full": "left"}.get(kind)),
+        (in_right - both, IN_RIGHT[kind]),
+        (in_left - both, IN_LEFT[kind]),
     ]
     kinds = [type_of(left, column(left, k)) for k in left_keys]
     schema = T.StructType([

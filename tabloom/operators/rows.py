@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabloom.functions.checkpoints import materialize
 from tabloom.functions.params import choose, column_or_expression, is_text, name_list
 
 DIRECTIONS = {
@@ -20,6 +21,9 @@ DIRECTIONS = {
 }
 
 
+ONE_TASK_LIMIT = 1_000_000    # rows one task may take
+
+
 def filter_rows(df: DataFrame, rules: str = "1 = 0") -> DataFrame:
     """Keep rows for which the SQL condition is true."""
     return df.where(rules)
@@ -43,8 +47,28 @@ def order_rows(
 
 
 def limit_rows(df: DataFrame, row_limit: int) -> DataFrame:
-    """The first ``row_limit`` rows; right after ``order_rows`` a top-k."""
-    return df.limit(int(row_limit))
+    """``row_limit`` rows: the first ones after ``order_rows``, else any.
+
+    Spark's limit ends in one task. A limit too large for that writes the rows out
+    once, then takes whole partitions in their order and a piece of the last one.
+    """
+    limit = int(row_limit)
+    if limit <= ONE_TASK_LIMIT or df.isStreaming:
+        return df.limit(limit)
+    part, place = "__tabloom_part", "__tabloom_place"
+    numbered = materialize(df.withColumns({
+        part: F.spark_partition_id(),
+        # The lower 33 bits count the rows of a partition.
+        place: F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)),
+    }).where(F.col(place) < limit))
+    left = limit
+    # One row per partition.
+    for last, rows in sorted(tuple(r) for r in numbered.groupBy(part).count().collect()):
+        if rows >= left:
+            kept = (F.col(part) < last) | ((F.col(part) == last) & (F.col(place) < left))
+            return numbered.where(kept).drop(part, place)
+        left -= rows
+    return numbered.drop(part, place)
 
 
 def top_rows(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tabloom.operators.rows import limit_rows
+
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: str | T.StructType,
@@ -18,7 +20,7 @@ def read_csv(
     """
     df = spark.read.csv(path, schema=schema, header=True, sep=separator, mode="PERMISSIVE")
     if row_limit is not None:
-        df = df.limit(int(row_limit))
+        df = limit_rows(df, row_limit)
     return df.cache() if cache else df
 
 

@@ -63,6 +63,36 @@ def test_frequent_keys(spark, how, hot, monkeypatch):
     cannot_cut = {"left": ("right", "both", "differ"), "right": ("left", "both", "differ"),
                   "outer": ("left", "right", "both", "differ")}[how]
     assert bool(parts) == (hot in cannot_cut)
+    out = t.join_tables(df1, df2, how, ON, hot_keys="all", hot_rows=20)
+    assert collected(out) == brute(left, right, how) and len(parts) == 1 + (hot in cannot_cut)
+
+
+def test_all_sides_of_an_inner_join(spark):
+    """A group-by on the key after the join leaves Spark free to cut the join."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        right = spark.range(0, 60_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("j"),
+            F.md5(F.col("id").cast("string")).alias("w"))
+        left = spark.range(0, 2000).select(F.col("id").alias("k"))
+        agg = [{"agg_func": "max", "col": "w", "col_name": "m"},
+               {"agg_func": "count", "col": "*", "col_name": "n"}]
+        found = {}
+        for hot in ("all", None):
+            out = t.group_rows(t.join_tables(left, right, "inner", ON, hot_keys=hot,
+                                             hot_rows=1000), "k", agg)
+            found[hot] = collected(out)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("skew=true" in plan) == (hot == "all")
+        assert found["all"] == found[None]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_frequent_pairs(spark):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabloom as t
+from tabloom.operators import rows
 
 
 def test_filter(spark):
@@ -53,6 +54,18 @@ def test_limit_and_preview(spark):
     assert [r.id for r in t.top_rows(df, "id", 3, "DESC").collect()] == [99, 98, 97]
 
 
+def test_large_limits_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(rows, "ONE_TASK_LIMIT", 10)
+    df = spark.range(0, 1000, numPartitions=7).withColumn("v", (F.col("id") * 37) % 1000)
+    for n in (11, 142, 143, 500, 999, 1000, 5000):
+        out = t.limit_rows(df, n)
+        assert out.count() == min(n, 1000) and out.columns == ["id", "v"]
+    first = t.limit_rows(t.order_rows(df, "v"), 300)
+    assert sorted(r.v for r in first.collect()) == list(range(300))
+    assert "SinglePartition" not in first._jdf.queryExecution().executedPlan().toString()
+    assert t.limit_rows(df.where("id < 0"), 50).count() == 0
+
+
 def test_append_widens(spark, ansi):
     one = spark.sql("SELECT 1 a, 'x' b, 2 c, CAST(1.5 AS DECIMAL(4,1)) d, 1 e")
     two = spark.sql("SELECT 'y' p, 2 q, 2.5D r, CAST(2.25 AS DECIMAL(4,2)) s, 3000000000 f")
