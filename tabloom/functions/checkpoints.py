@@ -33,5 +33,22 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, removed when the session's JVM ends."""
+    run = f"{shared_folder(spark).rstrip('/')}/tabloom-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back from there.
+
+    Later readings prune columns, see the same rows each time and run nothing that
+    came before.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
