@@ -241,7 +241,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     linked = classes.join(roots, "fp")
     whole = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     known = linked.select("fp", "root").join(whole, "root").select("fp", "component_id")
-    labels = classes.join(known, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id"))
+    # Written out, so that the last join has plain exchanges, which can be cut at copies.
+    labels = stage(classes.join(known, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least").alias("component_id")), "labels")
     return prints.join(labels, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
