@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabloom.functions.checkpoints import scratch_path
+from tabloom.llm.byte_pairs import decode, encode
+from tabloom.llm.packing import pack
 from tabloom.llm.quality import quality_scores
 from tabloom.llm.simhash import near_duplicates
+from tabloom.llm.token_counts import token_counts
+from tabloom.llm.token_files import read_index, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +37,29 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), folder, path("byte_bpe_50k.json"))
+    return read_index(spark, folder)
+
+
+@_query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+@_query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+
+
+@_query
+def op8_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = path("byte_bpe_multi_50k.tiktoken")
+    ids = encode(_table(spark, sf_dir, "documents"), ranks, PATTERN)
+    return decode(ids, ranks, PATTERN).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
