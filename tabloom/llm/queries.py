@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from public_tokenizers import PATTERN, path
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.checkpoints import scratch_path
 from tabloom.llm.byte_pairs import decode, encode
+from tabloom.llm.exact import exact_duplicates, text_digest
+from tabloom.llm.html_text import extract_text
+from tabloom.llm.imatch import edited_likeness
 from tabloom.llm.packing import pack
 from tabloom.llm.quality import quality_scores
 from tabloom.llm.simhash import near_duplicates
@@ -63,3 +67,30 @@ def op8_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(ids, ranks, PATTERN).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(
+        _table(spark, sf_dir, "documents"), "doc_id", "text",
+        text_digest(F.coalesce("text", F.lit(""))).alias("text_sha256"))
+
+
+ORACLE["op7_exact"] = f"""
+WITH folded AS (
+    SELECT doc_id, translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}') AS t
+    FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM folded"""
