@@ -14,6 +14,7 @@ from tabloom.llm.byte_pairs import decode, encode
 from tabloom.llm.exact import exact_duplicates, text_digest
 from tabloom.llm.html_text import extract_text
 from tabloom.llm.imatch import edited_likeness
+from tabloom.llm.language_model import model_scores
 from tabloom.llm.packing import pack
 from tabloom.llm.quality import quality_scores
 from tabloom.llm.simhash import near_duplicates
@@ -94,3 +95,8 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
        count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM folded"""
+
+
+@_query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_scores(_table(spark, sf_dir, "documents"))
