@@ -1,144 +1,90 @@
 """Whole texts to token ids by the tokenizers library, each distinct word encoded once.
 
-A text is cut at spaces where no token can reach across, so that the library's ids of the
-parts, one after the other, are its ids of the whole text. A task remembers the packed ids
-of the parts it has seen; most words of a corpus come again and again. A new part of Latin-1
-characters is cut further, at the tokenizer's own word boundaries, as most such pieces are
-known even where their combination is new.
+Merges never cross words, so the library's ids of the words, one after the other, are its ids
+of the whole text. The words are found for many texts at once (``words``), only the distinct
+ones are handed to the library, and a task remembers the packed ids of those it has seen.
 """
 
 from __future__ import annotations
 
-import gc
 import os
 import re
 from array import array
 from functools import lru_cache
-from typing import NamedTuple
 
 import numpy as np
 
-KEPT = 500_000      # parts, and pieces of parts, whose ids a task remembers
-LONGEST = 64        # characters of a part that is remembered
+from tabloom.llm.words import words_of
 
-# A space that is not followed by a visible character, and one that is.
-AWKWARD = re.compile(r" (?!\S)")
-SAFE = re.compile(r" (?=\S)")
-
-# The letters, numbers and white space of Latin-1, and the two tokenizers'
-# word patterns over them.
-L, N, S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
-CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-BYTE_LEVEL = re.compile(
-    f"{CONTRACTIONS}| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+")
-WORDS = re.compile(f"{CONTRACTIONS}|[{L}]+|[{N}]|[^{S}{L}{N}]+")
-
-
-def space_begins(text: str) -> list[str]:
-    """Cut where a token may begin with the space: before any space that a visible
-    character follows. The cut spaces are left out; all parts but the first have one.
-    """
-    return SAFE.split(text) if AWKWARD.search(text) else text.split(" ")
-
-
-def space_dropped(text: str) -> list[str]:
-    """Cut at all spaces and line ends, for tokenizers that drop white space."""
-    return text.replace("\n", " ").split(" ")
-
-
-class Kind(NamedTuple):
-    cut: object             # a text to its parts
-    lead: str               # what every part but the first begins with
-    words: re.Pattern | None    # the tokenizer's word boundaries in Latin-1 text
-    lower: bool             # whether it lower-cases first
-
-
-KINDS = {
-    "byte_level": Kind(space_begins, " ", BYTE_LEVEL, False),
-    "lower_words": Kind(space_dropped, "", WORDS, True),
-    "whole": Kind(lambda text: [text], "", None, False),
-}
+KEPT = 600_000      # words whose ids a task remembers
+LONGEST = 64        # characters of a word that is remembered
+KINDS = ("byte_level", "lower_words", "whole")
 
 
 class Encoder:
-    """The library's tokenizer of one file, with parts remembered.
+    """The library's tokenizer of one file, with words remembered.
 
-    ``kind`` tells where texts may be cut: ``byte_level`` fits byte-level BPE with the usual
-    word pattern, ``lower_words`` lower-casing BPE whose pattern matches no white space,
-    ``whole`` any tokenizer. Special strings in a text are handled as by the library's default.
+    ``kind`` names the word pattern: ``byte_level`` is the usual one of byte-level BPE,
+    ``lower_words`` that of lower-casing BPE which drops white space, ``whole`` hands whole
+    texts to any tokenizer. Texts with a special string in them always go whole, as do those
+    beyond Latin-1 where letters are lower-cased and composed first.
     """
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         from tokenizers import Tokenizer
 
+        if kind not in KINDS:
+            raise ValueError(f"unknown kind {kind!r}; expected one of {KINDS}")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = KINDS[kind]
+        self.kind = kind
         added = self.tokenizer.get_added_tokens_decoder().values()
-        #: Parts that the library may cut in another way: beyond Latin-1, or with a special string.
-        self.odd = re.compile("|".join(["[^\\x00-\\xff]", *(re.escape(t.content) for t in added)]))
+        odd = [re.escape(t.content) for t in added]
+        if kind == "lower_words":
+            odd.append("[^\\x00-\\xff]")
+        self.odd = re.compile("|".join(odd) or r"(?!)")
         largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
         self.type = np.dtype("<u2" if largest < 2**16 else "<u4")
         self.code = "H" if largest < 2**16 else "I"
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of new parts, by way of known pieces where the boundaries are certain."""
-        if self.kind.words is None:
-            return self._ids(texts)
-        words, odd = self.kind.words.findall, self.odd.search
-        cut = [None if odd(t) else words(t.lower() if self.kind.lower else t) for t in texts]
-        whole = [i for i, c in enumerate(cut) if c is None]
-        new = set().union(*filter(None, cut)) - self.pieces.keys()
-        if len(self.pieces) + len(new) > KEPT:
-            self.pieces.clear()
-            new = set().union(*filter(None, cut))
-        order = list(new)
-        self.pieces.update(zip(order, self._ids(order), strict=True))
-        get = self.pieces.__getitem__
-        out = [b"" if c is None else b"".join(map(get, c)) for c in cut]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        for piece in order:
-            if len(piece) > LONGEST:
-                del self.pieces[piece]
-        return out
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of ``self.type``."""
-        gc.disable()  # very many small objects, no cycles among them
-        try:
-            return self._packed(texts)
-        finally:
-            gc.enable()
-
-    def _packed(self, texts: list[str]) -> list[bytes]:
-        lists = [self.kind.cut(t) for t in texts]
-        heads = self._encode([x[0] for x in lists])
-        tails = [x[1:] for x in lists]
-        new = set().union(*tails) - self.parts.keys()
-        if len(self.parts) + len(new) > KEPT:
-            self.parts.clear()
-            new = set().union(*tails)
-        order = list(new)
-        found = self._encode([self.kind.lead + p for p in order])
-        self.parts.update(zip(order, found, strict=True))
-        get = self.parts.__getitem__
-        out = [h + b"".join(map(get, x)) for h, x in zip(heads, tails, strict=True)]
-        for part in order:
-            if len(part) > LONGEST:
-                del self.parts[part]
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, of type ``self.type``."""
+        if self.kind == "whole":
+            return [np.frombuffer(b, self.type) for b in self._whole(texts)]
+        odd = [i for i, t in enumerate(texts) if self.odd.search(t)]
+        plain = list(texts)
+        for i in odd:
+            plain[i] = ""
+        out = self._by_words([t.lower() for t in plain] if self.kind == "lower_words" else plain)
+        for i, b in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
+            out[i] = np.frombuffer(b, self.type)
         return out
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(b, self.type) for b in self.packed(texts)]
+    def _by_words(self, texts: list[str]) -> list[np.ndarray]:
+        words = words_of(texts, self.kind)
+        new = [w for w in words.distinct if w not in self.words]
+        self.words.update(zip(new, self._whole(new), strict=True))
+        packed = list(map(self.words.__getitem__, words.distinct))
+        for word in new:
+            if len(word) > LONGEST:
+                del self.words[word]
+        if len(self.words) > KEPT:
+            self.words.clear()
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.type.itemsize
+        known = np.frombuffer(b"".join(packed), self.type)
+        at = np.cumsum(sizes) - sizes
+        many = sizes[words.place]                       # ids of each word of the texts
+        before = np.cumsum(many) - many
+        ids = known[np.repeat(at[words.place] - before, many) + np.arange(many.sum())]
+        ends = np.cumsum(np.bincount(words.owner, many, len(texts)).astype(np.int64))
+        return np.split(ids, ends[:-1])
 
 
 @lru_cache(maxsize=4)

@@ -1,12 +1,9 @@
 """Token counts by a tokenizer compiled to finite-state transducers.
 
-The word pattern of byte-level BPE becomes a deterministic transducer over character
-classes, whose transitions tell where words begin. A batch of text is dealt into equal
-chunks; every chunk gives the map from each state it may begin in to the state it ends in,
-and a parallel prefix scan composes the maps, which tells each chunk's true first state. All
-chunks then run side by side and emit their word starts. Merges never cross words, so each
-word is one more transition, annotated with the number of tokens it emits; these are compiled
-on first sight, by the library itself, and kept.
+The word pattern of byte-level BPE runs as a transducer over character classes (``words``):
+chunks of text give state maps, which a parallel prefix scan composes. Merges never cross
+words, so each word is one more transition, annotated with the number of tokens it emits;
+these are compiled on first sight, by the library itself, and kept.
 """
 
 from __future__ import annotations
@@ -14,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,129 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import ids_and_bytes, pieces, record_batch
+from tabloom.llm.words import words_of
 
-SLICE = 1 << 22     # bytes of text counted at once
-LANES = 4_096       # chunks that run side by side
+SLICE = 1 << 21     # bytes of text counted at once
 KEPT = 800_000      # words whose count a task remembers
 LONGEST = 64        # characters of a word that is remembered
 
 COUNTED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
-# Character classes: letters that matter after an apostrophe apart from the rest.
-LETTER, STMD, RV, E, EL, NUMBER, SPACE, WHITE, APOSTROPHE, OTHER, END = range(11)
-CLASSES = 11
-LETTERS = (LETTER, STMD, RV, E, EL)
-
-# States, by the word that is open: none, letters, numbers, other marks; one space, several
-# white characters with a space last, one white character, several with no space last;
-# an apostrophe; an apostrophe and r or v, or l.
-(NONE, LETS, NUMS, MARKS, SPACE1, SPACES, WHITE1, WHITES, QUOTE, QUOTE_RV, QUOTE_L) = range(11)
-STATES = 11
-HERE, BEFORE = 1, 2     # what a transition emits: a word begins here, one character before
-
-
-def _opened(kind: int) -> int:
-    if kind in LETTERS:
-        return LETS
-    return {NUMBER: NUMS, SPACE: SPACE1, WHITE: WHITE1, APOSTROPHE: QUOTE, OTHER: MARKS,
-            END: NONE}[kind]
-
-
-def _step(state: int, kind: int) -> tuple[int, int]:
-    """The next state, and what is emitted."""
-    fresh = _opened(kind), HERE
-    joined = {NUMBER: NUMS, OTHER: MARKS, APOSTROPHE: MARKS}.get(kind, LETS)
-    blank = kind in (SPACE, WHITE)
-    if kind == END:     # nothing may reach across; a pending 'r, 'v or 'l was no contraction
-        return NONE, HERE | (BEFORE if state in (QUOTE_RV, QUOTE_L) else 0)
-    if state == LETS:
-        return (LETS, 0) if kind in LETTERS else fresh
-    if state == NUMS:
-        return (NUMS, 0) if kind == NUMBER else fresh
-    if state == MARKS:
-        return (MARKS, 0) if kind in (OTHER, APOSTROPHE) else fresh
-    if state in (SPACE1, SPACES, WHITE1, WHITES):
-        if blank:
-            return (SPACES if kind == SPACE else WHITES), 0
-        if state == SPACE1:     # the space belongs to the word
-            return joined, 0
-        if state == SPACES:     # only the last of the spaces does
-            return joined, BEFORE
-        return fresh[0], HERE | (BEFORE if state == WHITES else 0)
-    if state == QUOTE:
-        if kind == STMD:
-            return NONE, 0
-        if kind in (RV, EL):
-            return (QUOTE_RV if kind == RV else QUOTE_L), 0
-        return (MARKS, 0) if kind in (OTHER, APOSTROPHE) else fresh
-    if state in (QUOTE_RV, QUOTE_L):
-        if kind == (E if state == QUOTE_RV else EL):
-            return NONE, 0
-        return (LETS, BEFORE) if kind in LETTERS else (fresh[0], HERE | BEFORE)
-    return fresh
-
-
-@lru_cache(maxsize=1)
-def transducer() -> tuple[np.ndarray, np.ndarray]:
-    """Next state and output by ``state * CLASSES + class``."""
-    table = np.array([_step(s, c) for s in range(STATES) for c in range(CLASSES)], np.uint8)
-    return table[:, 0].copy(), table[:, 1].copy()
-
-
-@lru_cache(maxsize=1)
-def classes() -> np.ndarray:
-    """The class of every code point."""
-    out = np.full(0x110000, OTHER, np.uint8)
-    for c in range(0x110000):
-        kind = unicodedata.category(chr(c))[0]
-        if kind in "LN":
-            out[c] = LETTER if kind == "L" else NUMBER
-    # Unicode's white space, and the letters of the contractions.
-    white = [*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
-             0x205F, 0x3000]
-    out[white] = WHITE
-    for chars, kind in ((" ", SPACE), ("stmd", STMD), ("rv", RV), ("e", E), ("l", EL),
-                        ("'", APOSTROPHE)):
-        out[[ord(c) for c in chars]] = kind
-    return out
-
-
-def composed(maps: np.ndarray) -> np.ndarray:
-    """Inclusive prefix scan of state maps: row k is the maps 0 to k one after the other."""
-    maps, reach = maps.copy(), 1
-    while reach < len(maps):
-        maps[reach:] = np.take_along_axis(maps[reach:], maps[:-reach].astype(np.intp), axis=1)
-        reach *= 2
-    return maps
-
-
-def word_starts(kinds: np.ndarray, lanes: int = LANES) -> np.ndarray:
-    """Where words begin in a text given as classes, ends included as words of their own."""
-    go, emit = transducer()
-    n = len(kinds)
-    steps = max(1, -(-n // lanes))
-    lanes = max(1, -(-n // steps))
-    grid = np.full(lanes * steps, END, np.uint8)
-    grid[:n] = kinds
-    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    # Every chunk from every state at once.
-    state = np.repeat(np.arange(STATES, dtype=np.intp)[:, None], lanes, axis=1)
-    for row in grid:
-        state = go[state * CLASSES + row]
-        state = state.astype(np.intp)
-    after = composed(np.ascontiguousarray(state.T).astype(np.uint8))[:, NONE]
-    now = np.concatenate([[NONE], after[:-1]]).astype(np.intp)
-    out = np.empty((steps, lanes), np.uint8)
-    for t, row in enumerate(grid):
-        at = now * CLASSES + row
-        out[t] = emit[at]
-        now = go[at].astype(np.intp)
-    marks = out.T.reshape(-1)[:n]
-    begins = marks & HERE
-    begins[:-1] |= (marks[1:] & BEFORE) >> 1
-    return np.nonzero(begins)[0]
-
-
 class Counter:
     """Token counts of texts for one byte-level BPE file of the tokenizers library."""
 
@@ -167,35 +48,23 @@ class Counter:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.words: dict[str, int] = {}
 
-    def _compile(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.words.update(zip(words, map(len, found), strict=True))
-
     def count(self, texts: list[str]) -> np.ndarray:
         """The number of tokens of each text; a special string in it is one token."""
         parts = [self.special.split(t) if self.special and self.special.search(t) else [t]
                  for t in texts]
-        flat = [p for x in parts for p in x]
-        whole = "\0".join([*flat, ""])
-        ends = np.cumsum([len(p) + 1 for p in flat]) - 1
-        kinds = classes()[np.frombuffer(whole.encode("utf-32-le"), np.uint32)]
-        kinds[ends] = END
-        starts = word_starts(kinds)
-        stops = np.append(starts[1:], len(whole))
-        real = kinds[starts] != END
-        starts, stops = starts[real], stops[real]
-        words = [whole[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
-        new = set(words) - self.words.keys()
-        if len(self.words) + len(new) > KEPT:
-            self.words.clear()
-            new = set(words)
-        self._compile(list(new))
-        emitted = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
+        words = words_of([p for x in parts for p in x], "byte_level")
+        new = [w for w in words.distinct if w not in self.words]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.words.update(zip(new, map(len, found), strict=True))
+        emitted = np.fromiter(map(self.words.__getitem__, words.distinct), np.int64,
+                              len(words.distinct))
         for word in new:
             if len(word) > LONGEST:
                 del self.words[word]
-        owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
-        total = np.bincount(owner[np.searchsorted(ends, starts)], emitted, len(texts))
+        if len(self.words) > KEPT:
+            self.words.clear()
+        total = np.bincount(owner[words.owner], emitted[words.place], len(texts))
         return total.astype(np.int64) + np.array([len(x) - 1 for x in parts], np.int64)
 
 

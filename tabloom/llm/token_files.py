@@ -83,10 +83,10 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: str, kind: str = "b
         for batch in batches:
             for some in pieces(batch, SLICE):
                 files = files or _Files(folder, part, ("ids", "docs", "lengths"))
-                found = known.packed([t.as_buffer().to_pybytes().decode("utf-8", "replace")
-                                      for t in some.column("text")])
-                sizes = np.array([len(x) for x in found], "<u8") // known.type.itemsize + 1
-                files.write("ids", b"".join(x + end for x in found))
+                found = known.ids([t.as_buffer().to_pybytes().decode("utf-8", "replace")
+                                   for t in some.column("text")])
+                sizes = np.array([len(x) for x in found], "<u8") + 1
+                files.write("ids", b"".join(x.tobytes() + end for x in found))
                 files.write("lengths", sizes.tobytes())
                 files.write("docs", some.column("doc_id").fill_null(NO_ID).to_numpy()
                             .astype("<i8").tobytes())
@@ -117,7 +117,7 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: str, kind: str = "b
     base = np.cumsum(found.column("tokens").to_numpy()) - found.column("tokens").to_numpy()
     parts = found.append_column("base", pa.array(base, pa.int64()))
     table = spark.createDataFrame(parts, "part int, docs long, tokens long, width int, base long")
-    table.repartition("part").mapInArrow(offsets, table.schema).write.mode("overwrite").parquet(
+    table.repartition(max(1, found.num_rows)).mapInArrow(offsets, table.schema).write.mode("overwrite").parquet(
         f"{folder}/parts")
     return spark.read.schema(table.schema).parquet(f"{folder}/parts")
 
@@ -172,7 +172,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
                         "ids_crc32": sums[cut]}, INDEX)
 
     parts = spark.read.parquet(f"{folder}/parts")
-    return parts.repartition("part").mapInArrow(
+    return parts.repartition(max(1, parts.count())).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -193,4 +193,4 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                         "ids": [ids(at[k], at[k + 1]).astype(np.int32)]}, schema)
 
     parts = spark.read.parquet(f"{folder}/parts")
-    return parts.repartition("part").mapInArrow(run, "doc_id long, ids array<int>")
+    return parts.repartition(max(1, parts.count())).mapInArrow(run, "doc_id long, ids array<int>")
