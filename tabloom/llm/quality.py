@@ -12,15 +12,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ids_and_bytes, named, pieces, record_batch, remainder, whole_text
+from tabloom.llm.common import named, pieces, record_batch, remainder, whole_text
 
 DIMENSIONS = 1 << 18    # hashed features; the last weight is the bias
 SAMPLE = 10_000         # labelled documents to learn from, at most
@@ -32,7 +31,6 @@ WORDS_KEPT = 400_000    # words whose hash a task remembers
 # Bytes beyond ASCII count as letters.
 WORD = re.compile(rb"[\w\x80-\xff]+|[^\w\s\x80-\xff]+")
 TRAINED = pa.schema([("index", pa.int32()), ("weight", pa.float64())])
-SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 
 
 def _shape(word: bytes) -> int:
@@ -167,28 +165,33 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return rows.select("text", F.col("__label").alias("label")).limit(2 * sample)
 
 
-def score(df: DataFrame, weights: np.ndarray, held_out: Column, id_col: str = "doc_id",
-          text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``held_out`` and ``score`` (0 to 1) of every row; null counts as empty.
+def score_column(spark: SparkSession, text: Column, weights: np.ndarray) -> Column:
+    """The score (0 to 1) of a text column; null counts as empty.
 
     A text without any word has the score of the bias alone.
     """
-    model = df.sparkSession.sparkContext.broadcast(weights)
+    model = spark.sparkContext.broadcast(weights)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = model.value
-        for batch in batches:
-            for part in pieces(batch, SLICE):
-                texts = [t.as_buffer().to_pybytes() for t in part.column("text")]
-                doc, which, value = features(texts)
-                total = np.bincount(doc, w[which] * value, len(texts)) + w[-1]
-                yield record_batch({
-                    "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
-                    "score": 1 / (1 + np.exp(-np.clip(total, -35, 35)))}, SCORED)
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        w, out = model.value, []
+        for part in pieces(pa.RecordBatch.from_arrays([texts], ["text"]), SLICE):
+            some = [t.as_buffer().to_pybytes() for t in part.column("text")]
+            doc, which, value = features(some)
+            total = np.bincount(doc, w[which] * value, len(some)) + w[-1]
+            out.append(1 / (1 + np.exp(-np.clip(total, -35, 35))))
+        return pa.array(np.concatenate(out) if out else np.empty(0))
+
+    return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
-    slim = ids_and_bytes(df, id_col, text_col, held_out.alias("held_out"))
-    return slim.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
-        run, "doc_id long, held_out boolean, score double")
+
+def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            label_col: str = "quality", divisor: int = 4, fold: int = 2,
+            sample: int = SAMPLE) -> np.ndarray:
+    """Weights from labelled rows whose crc32 of the id modulo ``divisor`` is not ``fold``."""
+    rows = training_rows(docs, labels, id_col, text_col, label_col,
+                         remainder(id_col, divisor) != fold, sample)
+    return train(rows, "text", "label")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
@@ -200,8 +203,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     Null and empty texts are scored by the bias; repeated rows are scored each; a null id
     is never learned from. Further columns are not read. An empty table gives no rows.
     """
-    rows = training_rows(docs, labels, id_col, text_col, label_col,
-                         remainder(id_col, divisor) != fold, sample)
-    weights = train(rows, "text", "label")
-    scored = score(docs, weights, remainder(id_col, divisor) == fold, id_col, text_col)
+    weights = learned(docs, labels, id_col, text_col, label_col, divisor, fold, sample)
+    scored = docs.select(
+        named(id_col).alias("doc_id"), (remainder(id_col, divisor) == fold).alias("held_out"),
+        score_column(docs.sparkSession, named(text_col), weights).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -12,6 +12,11 @@ is left as soon as all its distances exceed the radius.
 
 Copies share one fingerprint and are counted once, and each block of a bucket gives the
 edges of a spanning forest, never all its pairs.
+
+A radius of a few bits only finds texts that hardly differ: at a similarity of 0.8 (of sets of
+five-word shingles) about ten bits do, too many for bands. ``similar_documents`` therefore takes
+its buckets from minima of shingle hashes, compares within them by the same bit-sliced counting
+at a wide radius, and decides by the share of equal minima.
 """
 
 from __future__ import annotations
@@ -22,11 +27,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.checkpoints import stage
-from tabloom.llm.common import ids_and_bytes, record_batch
+from tabloom.llm.common import named, record_batch
 from tabloom.llm.graph import components
 
 BITS = 64
@@ -36,45 +41,49 @@ BUCKET = 2_048          # fingerprints of a bucket that are compared without dea
 LANES = 1_024           # fingerprints that are compared at once, at least
 ALL = np.uint64(2**64 - 1)
 
-PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def simhash(text: bytes, width: int = 3) -> int:
-    """The SimHash of UTF-8 text: A-Z lower-cased, shingles of ``width`` words.
-
-    Bit k is 1 if it is set in over half of the shingles' XXH64 (seed 42), repeats
-    included. Fewer words than ``width`` are one shingle; no word at all gives 0.
-    """
+def shingle_hashes(text: bytes, width: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of all shingles, in blocks; fewer words than ``width`` are one shingle."""
     words = text.lower().split()  # of bytes: A-Z, and space and 9 to 13
-    if not words:
-        return 0
-    n = max(1, len(words) - width + 1)
-    ones = np.zeros(BITS, np.int64)
     digest, seam = xxhash.xxh64_intdigest, b" ".join
+    n = max(1, len(words) - width + 1) if words else 0
     for start in range(0, n, SHINGLES_AT_ONCE):
         part = words[start:min(n, start + SHINGLES_AT_ONCE) + width - 1]
         shingles = map(seam, zip(*(part[i:] for i in range(width)), strict=False)) \
             if len(part) >= width else [seam(part)]
-        hashes = np.array([digest(s, SEED) for s in shingles], np.uint64)
+        yield np.array([digest(s, SEED) for s in shingles], np.uint64)
+
+
+def _majority(blocks: list[np.ndarray] | Iterator[np.ndarray]) -> int:
+    """The bits set in over half of the hashes."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in blocks:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 width: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row."""
+def simhash(text: bytes, width: int = 3) -> int:
+    """The SimHash of UTF-8 text: A-Z lower-cased, shingles of ``width`` words.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = [simhash(t.as_buffer().to_pybytes(), width) for t in batch.column("text")]
-            yield record_batch({
-                "doc_id": batch.column("doc_id"),
-                "fp": np.array(prints, np.uint64).view(np.int64)}, PRINTS)
+    Bit k is 1 if it is set in over half of the shingles' XXH64 (seed 42), repeats
+    included. Fewer words than ``width`` are one shingle; no word at all gives 0.
+    """
+    return _majority(shingle_hashes(text, width))
+
+
+def fingerprint_column(text: Column, width: int = 3) -> Column:
+    """The fingerprint of a text column, its 64 bits as a signed long; null counts as empty."""
 
-    slim = ids_and_bytes(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        prints = [simhash(t.as_buffer().to_pybytes(), width) for t in texts]
+        return pa.array(np.array(prints, np.uint64).view(np.int64))
+
+    return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def _mask(bits: list[int]) -> int:
@@ -219,30 +228,163 @@ def _compare(radius: int, lanes: int):
     return run
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
-                    radius: int = 2, bucket: int = BUCKET, lanes: int = LANES) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` for every row.
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    *more: Column, width: int = 3, radius: int = 2, bucket: int = BUCKET,
+                    lanes: int = LANES) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, ``kept`` and ``more``
+    columns for every row.
 
     ``component_id`` is the smallest id that can be reached over links, the row's own
-    included. Null and empty texts have fingerprint 0 and are linked like any other.
-    Repeated rows are all returned. A null id is never the smallest; a component without
-    any other id has a null ``component_id``. An empty table gives no rows; further
-    columns are not read.
+    included; one row of each component is ``kept``, one with that id. Null and empty texts
+    have fingerprint 0 and are linked like any other. Repeated rows are all returned. A null
+    id is never the smallest; a component without any other id has a null ``component_id``.
+    An empty table gives no rows. Other columns are only read for ``more``.
     """
-    prints = stage(fingerprints(df, id_col, text_col, width), "prints")
-    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    parts = max(df.sparkSession.sparkContext.defaultParallelism,
-                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = df.select(named(id_col).cast("long").alias("doc_id"),
+                      fingerprint_column(named(text_col), width).alias("fp"), *more)
+    prints = stage(texts.withColumn("__row", F.monotonically_increasing_id()), "prints")
+    classes = stage(_classes(prints, "fp"), "classes")
     found = (_buckets(classes.select("fp"), radius, bucket)
-             .repartition(parts, "mask", "value").sortWithinPartitions("mask", "value")
+             .repartition(_parts(df), "mask", "value").sortWithinPartitions("mask", "value")
              .select("mask", "value", "fp")
              .mapInArrow(_compare(radius, lanes), "a long, b long"))
-    roots = stage(components(found), "roots").withColumnRenamed("node", "fp")
-    linked = classes.join(roots, "fp")
-    whole = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = linked.select("fp", "root").join(whole, "root").select("fp", "component_id")
+    labelled = _labelled(prints, classes, found, "fp")
+    rest = [c for c in prints.columns if c not in ("doc_id", "fp", "__row")]
+    return labelled.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
+        "kept", *[named(c) for c in rest])
+
+
+def _parts(df: DataFrame) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism,
+               int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _classes(prints: DataFrame, key: str, *same: str) -> DataFrame:
+    """One row for all rows of a key, with the first of them; columns ``same`` are equal there."""
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    return prints.groupBy(key).agg(F.min(first).alias("first"),
+                                   *[F.any_value(c).alias(c) for c in same])
+
+
+def _labelled(prints: DataFrame, classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``prints`` with ``component_id`` and ``kept``, from edges between keys."""
+    roots = stage(components(edges), "roots").withColumnRenamed("node", key)
+    linked = classes.select(key, "first").join(roots, key)
+    whole = linked.groupBy("root").agg(F.min("first").alias("least"))
+    known = linked.select(key, "root").join(whole, "root").select(key, "least")
     # Written out, so that the last join has plain exchanges, which can be cut at copies.
-    labels = stage(classes.join(known, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")), "labels")
-    return prints.join(labels, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    labels = stage(classes.select(key, "first").join(known, key, "left").select(
+        key, F.coalesce("least", "first").alias("__least")), "labels")
+    return prints.join(labels, key).withColumns({
+        "component_id": F.col("__least.doc_id"),
+        "kept": F.col("__row") == F.col("__least.__row")})
+
+
+MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
+ROWS = 4                # minima of a bucket's key
+BANDS = 12              # keys of a text: at a similarity of 0.8, one in 500 pairs shares none
+WIDE = 20               # bits by which near duplicates may differ
+SKETCHED = "struct<fp: bigint, keys: array<bigint>, sketch: binary>"
+
+
+def _sketch(text: bytes, width: int, a: np.ndarray, b: np.ndarray) -> tuple[int, list, bytes]:
+    blocks, low = [], np.full(MINIMA, 2**32 - 1, np.uint32)
+    for hashes in shingle_hashes(text, width):
+        blocks.append(hashes)
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
+        for start in range(0, len(short), 2048):
+            part = short[start:start + 2048]
+            np.minimum(low, (a[:, None] * part + b[:, None]).min(axis=1), out=low)
+    # The lowest value of many is near zero in its high bits; mix them before a byte is taken.
+    mixed = (low * np.uint32(0x9E3779B1)) >> np.uint32(24)
+    keys = [xxhash.xxh64_intdigest(low[i * ROWS:(i + 1) * ROWS].tobytes(), i) for i in range(BANDS)]
+    return _majority(blocks), keys, mixed.astype(np.uint8).tobytes()
+
+
+def _sketches(text: Column, width: int) -> Column:
+    rng = np.random.default_rng(SEED)
+    a = rng.integers(0, 2**31, MINIMA, np.uint32) * np.uint32(2) + np.uint32(1)
+    b = rng.integers(0, 2**32, MINIMA, np.uint32)
+
+    @F.arrow_udf(SKETCHED)
+    def run(texts: pa.Array) -> pa.Array:
+        found = [_sketch(t.as_buffer().to_pybytes(), width, a, b) for t in texts]
+        keys = np.array([x[1] for x in found], np.uint64).reshape(-1, BANDS).view(np.int64)
+        return pa.StructArray.from_arrays([
+            pa.array(np.array([x[0] for x in found], np.uint64).view(np.int64)),
+            pa.array(list(keys), pa.list_(pa.int64())),
+            pa.array([x[2] for x in found], pa.binary())], names=["fp", "keys", "sketch"])
+
+    return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+def _alike(similarity: float, lanes: int):
+    """Edges between rows ``key, id, fp, sketch`` (sorted by key) of near duplicates."""
+    def edges(ids: np.ndarray, prints: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
+        ids, first = np.unique(ids, return_index=True)
+        prints, sketches = prints[first], sketches[first]
+        i, j = close_pairs(prints, WIDE)
+        keep = np.empty(len(i), bool)
+        for k in range(0, len(i), 1 << 16):
+            same = sketches[i[k:k + (1 << 16)]] == sketches[j[k:k + (1 << 16)]]
+            keep[k:k + (1 << 16)] = same.mean(axis=1) >= similarity
+        root = forest(len(ids), i[keep], j[keep])
+        child = np.nonzero(root != np.arange(len(ids)))[0]
+        return record_batch({"a": ids[child], "b": ids[root[child]]}, EDGES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, held = [], 0
+        for batch in batches:
+            rest.append(pa.Table.from_batches([batch]))
+            held += batch.num_rows
+            if held >= lanes:
+                rows = pa.concat_tables(rest)
+                keys = rows.column("key").to_numpy()
+                ends = np.nonzero(keys[1:] != keys[:-1])[0] + 1
+                begin = 0
+                for end in ends:
+                    if end - begin >= lanes:
+                        yield of(rows.slice(begin, end - begin))
+                        begin = end
+                rest, held = [rows.slice(begin)], len(keys) - begin
+        if held:
+            yield of(pa.concat_tables(rest))
+
+    def of(rows: pa.Table) -> pa.RecordBatch:
+        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8)
+        return edges(rows.column("id").to_numpy(), rows.column("fp").to_numpy().view(np.uint64),
+                     sketches.reshape(-1, MINIMA))
+
+    return run
+
+
+def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      *more: Column, width: int = 5, similarity: float = 0.8,
+                      slack: float = 0.03, lanes: int = LANES) -> DataFrame:
+    """Like ``near_duplicates``, for texts whose sets of shingles have a similarity (shared by
+    all) of ``similarity`` or more: ``doc_id, fingerprint, component_id, kept`` and ``more``.
+
+    Similarity is estimated from 128 minima; ``slack`` below the limit still counts, so that few
+    pairs just above it are lost. Texts without words are alike. Nulls, repeated rows, null ids
+    and empty tables as in ``near_duplicates``.
+    """
+    texts = df.select(named(id_col).cast("long").alias("doc_id"),
+                      _sketches(named(text_col), width).alias("__s"), *more)
+    prints = stage(texts.select(
+        "*", F.xxhash64("__s.fp", "__s.sketch").alias("__id"),
+        F.monotonically_increasing_id().alias("__row")), "prints")
+    slim = prints.select("doc_id", "__id", "__row", "__s.fp", "__s.keys", "__s.sketch")
+    classes = stage(_classes(slim, "__id", "fp", "keys", "sketch"), "classes")
+    keyed = classes.select(F.col("__id").alias("id"), F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").count().where("count > 1").select("key")
+    rows = (keyed.join(shared, "key").distinct()
+            .join(classes.select(F.col("__id").alias("id"), "fp", "sketch"), "id"))
+    found = (rows.select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
+             .sortWithinPartitions("key").mapInArrow(
+                 _alike(similarity - slack, lanes), "a long, b long"))
+    labelled = _labelled(prints, classes, found, "__id")
+    rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row")]
+    return labelled.select(
+        "doc_id", F.lpad(F.lower(F.hex("__s.fp")), 16, "0").alias("fingerprint"), "component_id",
+        "kept", *[named(c) for c in rest])
