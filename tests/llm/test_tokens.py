@@ -1,0 +1,162 @@
+"""Token ids, counts, files and packing against the libraries themselves."""
+
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from public_tokenizers import PATTERN, path
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from llm_helpers import edges, nothing  # noqa: F401
+from tabloom.functions.checkpoints import scratch_path
+from tabloom.llm.byte_pairs import decode, encode, encoding, safe_pieces
+from tabloom.llm.encoding import encoder
+from tabloom.llm.packing import pack, plan
+from tabloom.llm.token_counts import counter, token_counts
+from tabloom.llm.token_files import read_index, read_tokens, write_token_files
+from tabloom.llm.words import NONE, STATES, composed, word_starts
+
+BYTES, WORDS = path("byte_bpe_50k.json"), path("word_bpe_49k.json")
+RANKS = path("byte_bpe_multi_50k.tiktoken")
+TEXT = st.text(st.one_of(
+    st.sampled_from(list("abestrvlmd'  \n\t#.1é\x85\xa0\x1cΣİ한")), st.characters(codec="utf-8")),
+    max_size=40)
+
+
+def library(file, texts):
+    found = Tokenizer.from_file(file).encode_batch(texts, add_special_tokens=False)
+    return [e.ids for e in found]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXT, st.sampled_from(["<|endoftext|>", "a <|endoftext|> 'll b"])),
+                min_size=1, max_size=6))
+def test_encoders(texts):
+    for file, kind in ((BYTES, "byte_level"), (WORDS, "lower_words"), (WORDS, "whole")):
+        assert [x.tolist() for x in encoder(file, kind).ids(texts)] == library(file, texts)
+    assert counter(BYTES).count(texts).tolist() == [len(x) for x in library(BYTES, texts)]
+
+
+def test_state_maps_compose():
+    rng = np.random.default_rng(0)
+    maps = rng.integers(0, STATES, (37, STATES)).astype(np.uint8)
+    state, found = NONE, composed(maps)
+    for k, m in enumerate(maps):
+        state = m[state]
+        assert found[k, NONE] == state
+    kinds = rng.integers(0, 10, 5_000).astype(np.uint8)
+    assert (word_starts(kinds, lanes=1) == word_starts(kinds, lanes=613)).all()
+
+
+def test_token_counts(edges, nothing):
+    assert token_counts(nothing, BYTES).count() == 0
+    rows = [(r["doc_id"], r["text"] or "") for r in edges.collect()]
+    want = [(i, len(t.encode()), len(x), len(x) > 512)
+            for (i, t), x in zip(rows, library(BYTES, [t for _, t in rows]), strict=True)]
+    assert [tuple(r) for r in token_counts(edges, BYTES).collect()] == want
+
+
+def slow_ids(texts):
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+    known = tiktoken.Encoding("x", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return [known.encode_ordinary(t) for t in texts]
+
+
+def test_byte_pairs(edges, nothing):
+    assert decode(encode(nothing, RANKS, PATTERN), RANKS, PATTERN).count() == 0
+    found = decode(encode(edges, RANKS, PATTERN, long=100), RANKS, PATTERN).collect()
+    texts = [r["text"] or "" for r in edges.collect()]
+    assert [np.frombuffer(r["ids"], "<u4").tolist() for r in found] == slow_ids(texts)
+    assert [bytes(r["decoded"]).decode() for r in found] == texts
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXT)
+def test_safe_pieces(text):
+    known = encoding(RANKS, PATTERN)
+    parts = list(safe_pieces(text, 3))
+    assert "".join(parts) == text
+    assert [i for p in parts for i in known.encode_ordinary(p)] == known.encode_ordinary(text)
+
+
+def test_token_files(spark, edges, nothing):
+    empty = scratch_path(spark, "files")
+    assert write_token_files(nothing, empty, BYTES).count() == 0
+    assert read_index(spark, empty).count() == 0
+    folder = scratch_path(spark, "files")
+    write_token_files(edges, folder, BYTES)
+    rows = [(r["doc_id"], r["text"] or "") for r in edges.collect()]
+    ids = {t: [*x, 0] for (_, t), x in zip(rows, library(BYTES, [t for _, t in rows]), strict=True)}
+    found = sorted(read_index(spark, folder).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in found] == sorted(
+        (i for i, _ in rows), key=lambda i: (i is not None, i))
+    start = 0
+    for r in found:
+        fitting = [x for i, t in rows if i == r["doc_id"] for x in [ids[t]]
+                   if zlib.crc32(np.array(x, "<u4")) == r["ids_crc32"]]
+        assert fitting and r["start"] == start and r["n_tokens"] == len(fitting[0])
+        start += r["n_tokens"]
+    back = [(r["doc_id"], r["ids"]) for r in read_tokens(spark, folder).collect()]
+    assert sorted(back, key=str) == sorted(((i, ids[t]) for i, t in rows), key=str)
+
+
+@pytest.mark.parametrize("capacity", [1, 10, 33, 2048])
+def test_plan(capacity):
+    rng = random.Random(capacity)
+    for _ in range(25):
+        counts = {}
+        for _ in range(rng.randrange(400)):
+            size = min(capacity, max(1, int(rng.expovariate(4 / capacity))))
+            counts[size] = counts.get(size, 0) + 1
+        rows = plan(counts, capacity)
+        bins = {}
+        for size, n in counts.items():
+            own = sorted(r.tolist() for r in rows if r[0] == size)
+            for k in range(n):
+                _, first, sequence, each, offset = [r for r in own if r[1] <= k][-1]
+                bins.setdefault(sequence + (k - first) // each, []).append(
+                    (offset + (k - first) % each * size, size))
+        for pieces in bins.values():
+            at = 0
+            for offset, size in sorted(pieces):
+                assert offset == at
+                at += size
+            assert at <= capacity
+            assert sum(3 * s > capacity for _, s in pieces) <= 2
+        need = -(-sum(s * n for s, n in counts.items()) // capacity)
+        assert len(bins) <= 11 * need // 9 + 1
+
+
+def test_pack(edges, nothing):
+    assert pack(nothing, WORDS).count() == 0
+    rows = [(r["doc_id"], r["text"] or "") for r in edges.collect()]
+    want = []
+    for (i, _), x in zip(rows, library(WORDS, [t for _, t in rows]), strict=True):
+        ids = np.array([*x, 0], "<u4")
+        want += [(i, k // 64, k, len(ids[k:k + 64]), zlib.crc32(ids[k:k + 64]))
+                 for k in range(0, len(ids), 64)]
+    found = pack(edges, WORDS, capacity=64).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == sorted(want, key=str)
+    bins = {}
+    for r in found:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in bins.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 64
+
+
+def test_digests(edges):
+    """What the query derives from the ids."""
+    one = encode(edges, RANKS, PATTERN).select("ids", F.sha2("ids", 256).alias("d")).first()
+    assert hashlib.sha256(bytes(one["ids"])).hexdigest() == one["d"]
