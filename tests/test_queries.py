@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+import catalogue
 from conftest import DATA
 from oracle import connect, difference
 
@@ -14,7 +15,7 @@ def con():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(catalogue.QUERIES))
 def test_query(name, spark, con):
     assert name in SQL
     assert difference(QUERIES[name](spark, DATA), con, SQL[name]) is None
