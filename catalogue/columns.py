@@ -217,6 +217,21 @@ add("group_distinct_text", table("documents", lambda d: t.group_rows(
     """SELECT lang, source, CAST(sum(n_chars) AS BIGINT) AS chars,
        CAST(max(length(text)) AS INTEGER) AS longest, count(DISTINCT text) AS texts
        FROM documents GROUP BY lang, source""")
+for key, func, col, sql in (
+    ("group_max_by", "max_by", "o_orderkey, o_totalprice", "arg_max(o_orderkey, o_totalprice)"),
+    ("group_count_pair", "count", "o_custkey, nullif(o_orderstatus, 'F')",
+     "count(CASE WHEN o_custkey IS NOT NULL AND o_orderstatus <> 'F' THEN 1 END)"),
+    ("group_median", "median", "o_totalprice", "round(median(o_totalprice), 6)"),
+    ("group_percentile", "percentile", "o_totalprice, 0.25",
+     "round(quantile_cont(o_totalprice, 0.25), 6)"),
+    ("group_corr", "corr", "o_totalprice, o_orderkey + o_custkey",
+     "round(corr(o_totalprice, o_orderkey + o_custkey), 6)"),
+):
+    add(key, lambda spark, sf, func=func, col=col: t.group_rows(
+        load(spark, sf, "orders"), "o_orderpriority",
+        [{"agg_func": func, "col": col, "col_name": "v"}]).selectExpr(
+            "o_orderpriority", "round(v, 6) AS v" if func in ("median", "percentile", "corr") else "v"),
+        f"SELECT o_orderpriority, {sql} AS v FROM orders GROUP BY 1")
 add("group_arrays", lambda spark, sf: t.group_rows(
     load(spark, sf, "lineitem"), "l_orderkey",
     [{"agg_func": "collect_set", "col": "l_returnflag", "col_name": "flags"}],

@@ -55,7 +55,7 @@ for name, (call, sql) in CALLS.items():
     # One user's events are few: Spark's window. An order status holds a third of
     # all orders, and a window without partition all of them: the range form.
     add_window(f"win_{name}_part", events, EVENTS, call, sql, ["user_id"], ["ts"], order, nulls,
-               "auto")
+               "plain")
     keys = ["o_orderdate", "o_orderkey"] if name in UNIQUE else ["o_orderdate"]
     add_window(f"win_{name}_large_part", orders, ORDERS, call, sql, ["o_orderstatus"], keys,
                order, nulls, "split")

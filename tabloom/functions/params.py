@@ -93,6 +93,19 @@ def type_of(df: DataFrame, col: Column) -> T.DataType:
     return df.select(col.alias("c")).schema[0].dataType
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A number that spreads rows: the same again wherever a row is computed again.
+
+    Maps and variants cannot be hashed, and equal column names cannot be told apart; a table
+    with them gives 0.
+    """
+    names = [n.lower() for n in df.columns]
+    if len(set(names)) < len(names) or any(
+            word in f.dataType.simpleString() for f in df.schema for word in ("map<", "variant")):
+        return F.lit(0).cast("bigint")
+    return F.xxhash64(*[column(df, n) for n in df.columns]) if names else F.lit(0).cast("bigint")
+
+
 def is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
 

@@ -46,6 +46,8 @@ PARTS = {
 SHIFTS = {"add_to_date": 1, "sub_from_date": -1}
 TEXT_PARTS = {"day_of_year": "D", "day_of_month": "d"}
 
+MOST_DAYS = 106_751_990   # days that a timestamp, and an interval, can hold
+
 
 def date_operations(
     df: DataFrame, items: Iterable[Mapping[str, Any]],
@@ -125,16 +127,19 @@ def _shift_by_column(
 ) -> Column:
     start = operand(df, *first)
     if unit in DAYS_IN:
-        days = amount.try_cast("int") * F.lit(sign * DAYS_IN[unit])
+        days = F.try_multiply(amount.try_cast("int"), F.lit(sign * DAYS_IN[unit]))
         if keep_time:
-            return _moment(start) + F.make_dt_interval(days=days)
+            near = F.when(F.abs(days) <= MOST_DAYS, days)
+            return F.try_add(_moment(start), F.make_dt_interval(days=near))
         # Text and constants may carry a time of day, which a date cast drops.
-        whole_day = start.try_cast("date")
-        return F.date_add(whole_day, days).cast("timestamp")
+        day = F.try_add(F.unix_date(start.try_cast("date")), days)
+        return F.date_from_unix_date(F.when(F.abs(day) <= MOST_DAYS, day)).try_cast("timestamp")
     if is_text(type_of(df, amount)):
         amount = amount.try_cast("double")
     elif isinstance(type_of(df, amount), T.IntegralType):
         amount = amount.cast("bigint")
-    moved = (F.unix_timestamp(_moment(start)) + amount * F.lit(sign * SECONDS_IN[unit]))
-    moved = moved.try_cast("timestamp")
+    moved = F.try_add(F.unix_timestamp(_moment(start)),
+                      F.try_multiply(amount, F.lit(sign * SECONDS_IN[unit])))
+    near = F.when(moved.between(-MOST_DAYS * 86_400, MOST_DAYS * 86_400), moved)
+    moved = near.try_cast("timestamp")
     return moved if as_timestamp else F.date_format(moved, TEXT_FORMAT)

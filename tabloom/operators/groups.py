@@ -69,7 +69,7 @@ AGGREGATES = {
 }
 DISTINCT = re.compile(r"\s*distinct\s+(.+)$", re.IGNORECASE | re.DOTALL)
 
-# These hold all values of a group at once, so they need a stated bound per group.
+# These hold all values of a group at once (median and mode: its distinct ones).
 WHOLE_GROUP_AGGREGATES = {
     "collect_list": F.collect_list,
     "array_agg": F.array_agg,
@@ -81,6 +81,14 @@ WHOLE_GROUP_AGGREGATES = {
 }
 
 
+# Aggregates whose arguments are SQL text: names or expressions, separated by commas.
+SQL_AGGREGATES = frozenset(
+    "approx_percentile percentile_approx percentile percentile_cont percentile_disc corr covar_pop "
+    "covar_samp max_by min_by regr_avgx regr_avgy regr_count regr_intercept regr_r2 regr_slope "
+    "regr_sxx regr_sxy regr_syy histogram_numeric count_min_sketch bitmap_construct_agg "
+    "bitmap_or_agg hll_union_agg grouping approx_top_k product try_sum try_avg".split())
+
+
 def group_rows(
     df: DataFrame, index: str | Iterable[str], agg: Iterable[Mapping[str, Any]],
     max_group_rows: int | None = None,
@@ -88,17 +96,18 @@ def group_rows(
     """Aggregates ``[{agg_func, col, col_name}]`` per combination of ``index``.
 
     ``index`` entries and ``col`` are column names or expressions; ``col`` may also
-    be ``*`` or ``distinct x``. Aggregates that hold a whole group at once
-    (``collect_list``, ``median`` and the like) are only built when every group has at
-    most ``max_group_rows`` rows, which is counted first; a larger group is an error,
-    never cut.
+    be ``*`` or ``distinct x``, and several arguments (``x, 0.5``) where the aggregate takes
+    them. Some aggregates hold all values of a group at once (``collect_list`` and the
+    like); with ``max_group_rows`` the groups are counted first, and one that is larger is
+    an error, never cut.
     """
     keys = [column_or_expression(df, k) for k in name_list(index)]
     entries = list(agg)
     if not entries:
         raise ValueError("at least one aggregate is needed")
     columns = [_aggregate(df, e).alias(e["col_name"]) for e in entries]
-    if any(e["agg_func"].strip().lower() in WHOLE_GROUP_AGGREGATES for e in entries):
+    held = any(e["agg_func"].strip().lower() in WHOLE_GROUP_AGGREGATES for e in entries)
+    if held and max_group_rows is not None:
         _check_group_sizes(df, keys, max_group_rows)
     return df.groupBy(*keys).agg(*columns)
 
@@ -106,8 +115,9 @@ def group_rows(
 def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
     name, text = entry["agg_func"].strip().lower(), str(entry["col"]).strip()
     known = NUMERIC_AGGREGATES | AGGREGATES | WHOLE_GROUP_AGGREGATES
-    if name not in known:
-        raise ValueError(f"unknown aggregate {name!r}; expected one of {sorted(known)}")
+    if name not in known and name not in SQL_AGGREGATES:
+        raise ValueError(
+            f"unknown aggregate {name!r}; expected one of {sorted({*known, *SQL_AGGREGATES})}")
     if text == "*":
         if name != "count":
             raise ValueError(f"{name}(*) has no meaning")
@@ -115,7 +125,11 @@ def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
     distinct = DISTINCT.match(text)
     if distinct:
         return _distinct(name, df, distinct.group(1))
+    if not has_column(df, text) and (name not in known or _several(text)):
+        return F.expr(f"{name}({text})")
     col = column_or_expression(df, text)
+    if name not in known:
+        return F.call_function(name, col)
     if name not in NUMERIC_AGGREGATES:
         return (AGGREGATES | WHOLE_GROUP_AGGREGATES)[name](col)
     kind = type_of(df, col)
@@ -133,9 +147,15 @@ def _distinct(name: str, df: DataFrame, text: str) -> Column:
     return F.expr(f"{name}(DISTINCT {text})")
 
 
-def _check_group_sizes(df: DataFrame, keys: list[Column], bound: int | None) -> None:
-    if bound is None:
-        raise ValueError("aggregates that hold a whole group need max_group_rows")
+def _several(text: str) -> bool:
+    """Whether SQL text holds a comma outside of brackets and quotes."""
+    bare = re.sub(r"'[^']*'|\"[^\"]*\"|`[^`]*`", "", text)
+    while (shorter := re.sub(r"\([^()]*\)|\[[^\[\]]*\]", "", bare)) != bare:
+        bare = shorter
+    return "," in bare
+
+
+def _check_group_sizes(df: DataFrame, keys: list[Column], bound: int) -> None:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     if not sizes.where(F.col("rows") > bound).isEmpty():
         raise ValueError(f"a group has more than {bound} rows")

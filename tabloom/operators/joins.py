@@ -11,15 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.checkpoints import materialize
-from tabloom.functions.params import choose, column, flag, hashable, is_text, type_of
+from tabloom.functions.checkpoints import stage
+from tabloom.functions.params import (
+    choose, column, flag, hashable, is_text, row_hash, type_of,
+)
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
 
@@ -33,25 +35,26 @@ IN_LEFT = {"left": "left", "inner": "inner", "right": "inner", "full": "left"}
 HOT_ROWS = 1_000_000    # rows of one key that are too many for one task
 SAMPLE_HITS = 16        # rows of such a key which the sample is made to hold
 MOST_KEYS = 5_000       # keys handled apart; less frequent ones stay with the rest
+LEFT_SPREAD, RIGHT_SPREAD = "__tabloom_left_spread", "__tabloom_right_spread"
 
 
 def join_tables(
     left: DataFrame, right: DataFrame, how: str, on: Iterable[Mapping[str, str]],
     is_duplicate: Any = False, dataset: str = "", duplicate_col: Iterable[str] = (),
-    hot_keys: str | None = "auto", hot_rows: int = HOT_ROWS, stage: bool = False,
+    hot_keys: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join on ``[{left_on, right_on}]``; both key columns stay in the result.
 
     With ``is_duplicate`` the left columns ``duplicate_col`` are first renamed to
     ``{dataset}_{column}``, and ``left_on`` uses the new name. NULL keys match nothing.
 
-    ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
-    Spark cannot cut, in one pass over a sample of its key columns; ``"all"`` looks at
-    both sides of any join, for a join whose keys are grouped next (Spark then keeps
-    its partitions whole). ``None`` leaves the join to Spark. The result is the same
-    in each case. Looking and joining read the
-    tables more than once; where one may give other rows each time (a limit without
-    order, a random column), ``stage`` writes both out first.
+    The join is lazy and left to Spark's adaptive execution; rows with a NULL key are spread
+    over all tasks of a full join. On request, very frequent keys are looked for and joined
+    apart: ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
+    Spark cannot cut, ``"all"`` on both sides of any join, for a join whose keys are grouped
+    next (Spark then keeps its partitions whole). Both inputs are then written out once, so
+    that what comes before runs once and all parts see the same rows; the keys are found in
+    a sample. The result is the same in each case.
     """
     kind = choose(HOW, how, "join kind")
     if flag(is_duplicate or False):
@@ -62,11 +65,11 @@ def join_tables(
     left_keys, right_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     if hot_keys not in ("auto", "all", None):
         raise ValueError("hot_keys must be 'auto', 'all' or None")
-    if stage:
-        left, right = materialize(left), materialize(right)
     sides = {"auto": CANNOT_CUT[kind], "all": "left right", None: ""}[hot_keys]
     if left.isStreaming or right.isStreaming:
         sides = ""
+    if sides:
+        left, right = _written(left, "left"), _written(right, "right")
     if sides and all(_alike(left, a, right, b) for a, b in pairs):
         hot_left = _frequent_keys(left, left_keys, hot_rows) if "left" in sides else []
         hot_right = _frequent_keys(right, right_keys, hot_rows) if "right" in sides else []
@@ -75,7 +78,24 @@ def join_tables(
     return _join(left, right, left_keys, right_keys, kind)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a written table; equal column names are set apart meanwhile."""
+    names = df.columns
+    return stage(df.toDF(*[f"c{i}" for i in range(len(names))]), name).toDF(*names)
+
+
+def _spread_nulls(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Add a number that is 0 where all keys are set, else scattered: such rows match nothing."""
+    missing = reduce(or_, [column(df, k).isNull() for k in keys])
+    scattered = F.xxhash64(F.spark_partition_id(), row_hash(df))
+    return df.withColumn(name, F.when(missing, scattered).otherwise(F.lit(0)))
+
+
 def _join(left, right, left_keys, right_keys, kind: str) -> DataFrame:
+    spread = kind == "full" and not (left.isStreaming or right.isStreaming)
+    if spread:
+        left = _spread_nulls(left, left_keys, LEFT_SPREAD)
+        right = _spread_nulls(right, right_keys, RIGHT_SPREAD)
     # Aliases keep equal column names apart, also when a table is joined to itself.
     l, r = left.alias("l"), right.alias("r")
     tests = []
@@ -88,7 +108,9 @@ def _join(left, right, left_keys, right_keys, kind: str) -> DataFrame:
             else:
                 y = y.try_cast(type_of(left, column(left, a)))
         tests.append(x == y)
-    return l.join(r, reduce(and_, tests), kind)
+    if spread:
+        tests.append(F.col(f"l.{LEFT_SPREAD}") == F.col(f"r.{RIGHT_SPREAD}"))
+    return l.join(r, reduce(and_, tests), kind).drop(LEFT_SPREAD, RIGHT_SPREAD)
 
 
 def _mixed(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
@@ -105,7 +127,7 @@ def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]
     """Keys with about ``hot_rows`` rows or more; each of them is in the table."""
     whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
     slim = df.where(whole).select(*[column(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
-    sample = slim.sample(min(1.0, SAMPLE_HITS / hot_rows))
+    sample = slim.sample(min(1.0, SAMPLE_HITS / hot_rows), seed=1)
     counted = sample.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("n"))
     often = counted.where(F.col("n") >= SAMPLE_HITS // 2)
     found = often.orderBy(F.desc("n")).limit(MOST_KEYS).drop("n").collect()

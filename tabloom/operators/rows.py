@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.checkpoints import materialize
-from tabloom.functions.params import choose, column_or_expression, is_text, name_list
+from tabloom.functions.checkpoints import stage
+from tabloom.functions.params import (
+    choose, column_or_expression, is_text, name_list, row_hash,
+)
 
 DIRECTIONS = {
     "ASC": Column.asc,
@@ -21,9 +23,6 @@ DIRECTIONS = {
 }
 
 
-ONE_TASK_LIMIT = 1_000_000    # rows one task may take
-
-
 def filter_rows(df: DataFrame, rules: str = "1 = 0") -> DataFrame:
     """Keep rows for which the SQL condition is true."""
     return df.where(rules)
@@ -35,32 +34,36 @@ def order_rows(
     """Sort by columns or expressions, one direction for all of them.
 
     A range sort sends equal keys to one task, which a very frequent key would
-    overload. ``spread_ties`` appends the input partition number to the sort key, so
-    that rows with equal keys, and even full copies of one row, are cut into ranges
-    as well. The number is the same again when a lost task is repeated.
+    overload. ``spread_ties`` appends the input partition number and a hash of the row to
+    the sort key, so that rows with equal keys are cut into ranges as well, also where an
+    earlier shuffle has brought them together, and full copies of one row by where they
+    come from. Both are the same again when a lost task is repeated.
     """
     direction = choose(DIRECTIONS, " ".join(order.upper().split()), "direction")
     keys = [direction(column_or_expression(df, c)) for c in name_list(columns)]
     if spread_ties and not df.isStreaming:
         keys.append(F.spark_partition_id().asc())
+        keys.append(row_hash(df).asc())
     return df.orderBy(*keys)
 
 
-def limit_rows(df: DataFrame, row_limit: int) -> DataFrame:
+def limit_rows(df: DataFrame, row_limit: int, spread: bool = False) -> DataFrame:
     """``row_limit`` rows: the first ones after ``order_rows``, else any.
 
-    Spark's limit ends in one task. A limit too large for that writes the rows out
-    once, then takes whole partitions in their order and a piece of the last one.
+    Spark's limit is lazy and lets a scan stop early, but its rows pass through one task.
+    For a limit too large for that, ``spread`` writes the rows out once (of each partition
+    no more than the limit), then takes whole partitions in their order and a piece of the
+    last one.
     """
     limit = int(row_limit)
-    if limit <= ONE_TASK_LIMIT or df.isStreaming:
+    if not spread or df.isStreaming:
         return df.limit(limit)
     part, place = "__tabloom_part", "__tabloom_place"
-    numbered = materialize(df.withColumns({
+    numbered = stage(df.withColumns({
         part: F.spark_partition_id(),
         # The lower 33 bits count the rows of a partition.
         place: F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1)),
-    }).where(F.col(place) < limit))
+    }).where(F.col(place) < limit), "limit")
     left = limit
     # One row per partition.
     for last, rows in sorted(tuple(r) for r in numbered.groupBy(part).count().collect()):
@@ -72,10 +75,17 @@ def limit_rows(df: DataFrame, row_limit: int) -> DataFrame:
 
 
 def top_rows(
-    df: DataFrame, columns: str | Iterable[str], row_limit: int, order: str = "ASC"
+    df: DataFrame, columns: str | Iterable[str], row_limit: int, order: str = "ASC",
+    spread: bool = False,
 ) -> DataFrame:
-    """Order and limit in one step: every task keeps only its own best rows."""
-    return order_rows(df, columns, order, spread_ties=False).limit(int(row_limit))
+    """Order and limit in one step: every task keeps only its own best rows.
+
+    They meet in one task; for a limit too large for that, ``spread`` sorts by ranges and
+    takes the first of them as ``limit_rows`` does.
+    """
+    ordered = order_rows(df, columns, order, spread_ties=spread)
+    found = limit_rows(ordered, row_limit, spread)
+    return order_rows(found, columns, order) if spread else found
 
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:
@@ -105,7 +115,7 @@ def _cast_all(df: DataFrame, targets: list[T.DataType | None]) -> DataFrame:
     if all(t is None or t == f.dataType for t, f in zip(targets, df.schema, strict=True)):
         return df
     return df.select(*[
-        c if t is None or t == f.dataType else c.cast(t).alias(f.name)
+        c if t is None or t == f.dataType else c.try_cast(t).alias(f.name)
         for t, f, c in zip(
             targets, df.schema,
             [F.col("`" + n.replace("`", "``") + "`") for n in df.columns], strict=True,

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.checkpoints import materialize
+from tabloom.functions.checkpoints import stage
 from tabloom.functions.params import (
     choose, column, has_column, hashable, integer, is_text, name_list, type_of,
 )
@@ -41,7 +41,6 @@ OFFSETS = {"lag": -1, "lead": 1}
 RUNNING = ("sum", "avg", "count")
 KINDS = {name: name for name in (*RANKS, *OFFSETS, *RUNNING)}
 
-SMALL = 1_000_000          # rows one task may take without cutting
 ROWS_PER_RANGE = 500_000
 RANGES_PER_CORE = 16       # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
@@ -51,7 +50,7 @@ NARROW_DECIMAL = 11        # digits up to which Spark averages decimals as doubl
 BROADCAST_RIM = 200_000    # rim rows up to which the look-up table is broadcast
 
 PART, BUCKET, SALT = "__tabloom_part", "__tabloom_bucket", "__tabloom_salt"
-HASH = "__tabloom_hash"
+HASH, FROM = "__tabloom_hash", "__tabloom_from"
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -64,35 +63,37 @@ class Function(NamedTuple):
 
 def window_columns(
     df: DataFrame, functions: Iterable[Mapping[str, Any]], order_by: str | Iterable[str],
-    order: str = "asc", partition: str | Iterable[str] = "", method: str = "auto",
-    ranges: int | None = None, stage: bool = False,
+    order: str = "asc", partition: str | Iterable[str] = "", method: str = "plain",
+    ranges: int | None = None, number_type: str = "int",
 ) -> DataFrame:
     """Add ``[{func, column, offset, new_column}]`` over one window.
 
     ``order`` is ``asc`` (NULLs first) or ``desc`` (NULLs last); without ``partition``
-    the whole table is one window. ``method`` is ``plain`` for Spark's own window,
-    ``split`` for the range form, or ``auto``: the range form where a count and a
-    bounded sample of the keys show a window too large for one task. Pick ``plain``
-    for a rank that is filtered right away, which Spark can cut early.
-
-    The range form reads ``df`` more than once. Where it may give other rows each time
-    (a limit without order, a random column), ``stage`` writes it out first.
+    the whole table is one window. The caller chooses the form, never the data:
+    ``plain`` is Spark's own window, lazy, with each window partition in one task;
+    ``split`` is the range form for windows that no task can hold. Row numbers and ranks
+    are of ``number_type``: ``int`` as in Spark, or ``bigint`` for more rows than that.
+
+    The range form writes ``df`` out once and looks at its keys before it returns. Sums of
+    doubles may differ between the forms in their last digits, as they are added in another
+    order.
     """
     parts = name_list(partition) if partition else []
     orders = name_list(order_by)
     descending = choose({"asc": False, "desc": True}, order.strip().lower(), "direction")
-    choose({m: m for m in ("auto", "plain", "split")}, method, "method")
+    choose({m: m for m in ("plain", "split")}, method, "method")
+    choose({m: m for m in ("int", "bigint")}, number_type, "number type")
     entries = [_entry(f) for f in functions]
     bounds = None
-    if method != "plain":
-        if stage:
-            df = materialize(df)
-        bounds = _find_bounds(df, parts, orders, method == "split", ranges)
+    if method == "split":
+        # Where a row came from cuts a too frequent key, whatever partitions are read back.
+        df = stage(df.withColumn(FROM, F.spark_partition_id()), "window")
+        bounds = _find_bounds(df, parts, orders, ranges)
     if bounds is None:
-        return _plain(df, entries, parts, orders, descending)
+        return _plain(df, entries, parts, orders, descending, number_type).drop(FROM)
     for run in _independent_runs(entries, {*parts, *orders}):
-        df = _split(df, run, parts, orders, descending, bounds)
-    return df
+        df = _split(df, run, parts, orders, descending, bounds, number_type)
+    return df.drop(FROM)
 
 
 def _entry(f: Mapping[str, Any]) -> Function:
@@ -147,12 +148,15 @@ def _directed(columns: list[Column], descending: bool) -> list[Column]:
     return [c.desc() if descending else c.asc() for c in columns]
 
 
-def _plain(df, entries, parts, orders, descending) -> DataFrame:
+def _plain(df, entries, parts, orders, descending, number_type) -> DataFrame:
     for e in entries:
         keys = _directed([column(df, o) for o in orders], descending)
         window = W.partitionBy(*[column(df, p) for p in parts]).orderBy(*keys)
         if e.kind in RANKS:
             made = RANKS[e.kind]()
+            if number_type != "int":
+                df = df.withColumn(e.new_column, made.over(window).cast(number_type))
+                continue
         elif e.kind in OFFSETS:
             made = _shifted(df, e)
         else:
@@ -171,7 +175,6 @@ class Bounds(NamedTuple):
     cuts: list[int]
     parts: list[int]
     schema: T.StructType
-    rows: int
 
     def single(self) -> bool:
         """One sort column and no NULL bound: plain values compare faster than structs."""
@@ -199,8 +202,8 @@ def _sort_key(df: DataFrame, parts: list[str], orders: list[str]) -> Column:
     return F.struct(*fields)
 
 
-def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds | None:
-    """Range bounds from a bounded sample, or None where no window is too large."""
+def _find_bounds(df, parts, orders, ranges: int | None) -> Bounds | None:
+    """Range bounds from a bounded sample, or None where there are no rows."""
     texts = [
         F.octet_length(column(df, c)) for c in [*parts, *orders]
         if isinstance(type_of(df, column(df, c)), (T.StringType, T.BinaryType))
@@ -209,7 +212,7 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
         F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(f"w{i}") for i, c in enumerate(texts)]
     ).first()
     rows, width = size["rows"], sum(w or 0 for w in size[1:])
-    if rows == 0 or (rows <= SMALL and not force):
+    if rows == 0:
         return None
     if ranges is None:
         least = RANGES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
@@ -220,17 +223,12 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
         ranges = min(ranges, max(wanted // 4, 1))
     keys = df.select(_sort_key(df, parts, orders).alias("key"))
     schema = keys.schema[0].dataType
-    sample = keys if rows <= wanted else keys.sample(wanted / rows)
+    sample = keys if rows <= wanted else keys.sample(wanted / rows, seed=1)
     drawn = sample.agg(F.sort_array(F.collect_list("key")).alias("keys")).first()["keys"]
     step = max(len(drawn) // ranges, 1)
     picks = [hashable(k) for k in drawn[step - 1::step]]
-    if parts:
-        # Only partitions that reach over several picks are worth cutting.
-        heavy: dict[tuple, int] = {}
-        for p in picks:
-            heavy[p[: len(parts)]] = heavy.get(p[: len(parts)], 0) + 1
-        least = 1 if force else 2
-        picks = [p for p in picks if heavy[p[: len(parts)]] >= least]
+    nan = float("nan")  # one object for all, so that equal keys are found to be equal
+    picks = [tuple(nan if isinstance(v, float) and v != v else v for v in p) for p in picks]
     counts: dict[tuple, int] = {}
     for p in picks:
         counts[p] = counts.get(p, 0) + 1
@@ -239,7 +237,7 @@ def _find_bounds(df, parts, orders, force: bool, ranges: int | None) -> Bounds |
     cuts = [n if n > 1 and step > 1 else 0 for n in counts.values()]
     numbers: dict[tuple, int] = {}
     owners = [numbers.setdefault(k[: len(parts)], len(numbers)) for k in counts]
-    return Bounds(list(counts), cuts, owners, schema, rows)
+    return Bounds(list(counts), cuts, owners, schema)
 
 
 def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
@@ -273,12 +271,12 @@ def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
         bucket = F.when(same(at) | same(before), bucket).otherwise(-1)
     # The partition number also keeps Spark from pushing filters on the range number
     # below the search, where each halving would be written out twice.
-    salt = F.when(tied, F.pmod(F.spark_partition_id(), F.col(at_cuts))).otherwise(0)
+    salt = F.when(tied, F.pmod(F.spark_partition_id() + F.col(FROM), F.col(at_cuts))).otherwise(0)
     return tagged.withColumns({PART: part, BUCKET: bucket, SALT: salt}).drop(
         key, position, at, at_cuts, before)
 
 
-def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
+def _split(df, entries, parts, orders, descending, bounds: Bounds, number: str) -> DataFrame:
     out_columns = df.columns
     numbered = any(e.kind == "row_number" or e.kind in OFFSETS for e in entries)
     tagged = _tag(df, parts, orders, bounds)
@@ -287,7 +285,7 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
     # readings find the same value behind a row number.
     tagged = tagged.withColumn(HASH, _hash(df, looked_up) if looked_up else F.lit(0))
     if numbered and any(bounds.cuts):
-        tagged = materialize(tagged)
+        tagged = stage(tagged, "tagged")
     carry = _carry(tagged, df, entries, orders, descending)
 
     keys = [column(df, p) for p in parts]
@@ -322,7 +320,7 @@ def _split(df, entries, parts, orders, descending, bounds: Bounds) -> DataFrame:
         joined = _attach_rims(joined, rims, offset, bounds)
     made = {}
     for i, e in enumerate(entries):
-        made[e.new_column] = _combine(df, e, i, bounds.rows)
+        made[e.new_column] = _combine(df, e, i, number)
     result = joined.withColumns(made)
     return result.select(*[
         column(result, c) for c in
@@ -387,12 +385,10 @@ def _attach(rows: DataFrame, carry: DataFrame) -> DataFrame:
         "__c_part", "__c_bucket", "__c_salt")
 
 
-def _combine(df: DataFrame, e: Function, i: int, rows: int) -> Column:
+def _combine(df: DataFrame, e: Function, i: int, number: str) -> Column:
     """The window value: what came before the range, with the value inside it."""
     local = F.col(f"__tabloom_local{i}")
     tied = F.col(BUCKET) % 2 == 1
-    # Numbers are int as in Spark's own window, unless the rows need more.
-    number = "int" if rows < 2**31 else "bigint"
     if e.kind == "row_number":
         return F.col("__tabloom_row").cast(number)
     if e.kind == "rank":

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.functions.checkpoints import materialize
+from tabloom.functions.checkpoints import stage as written
 from tabloom.functions.params import choose
 
 POSTGRES_DRIVER = "org.postgresql.Driver"
@@ -67,9 +67,19 @@ def source_tables(df: DataFrame) -> list[str]:
 
 
 def reads_table(sources: list[str], table: str) -> bool:
-    name = re.sub(r'["`]', "", table).lower()
-    words = re.compile(rf"(?<![\w.]){re.escape(name)}(?![\w.])")
-    return any(words.search(re.sub(r'["`]', "", s).lower()) for s in sources)
+    """Whether a source names the table. Names with the same last part count as the same
+    table where one has a schema and the other none, as the default schema is not known."""
+    def plain(text: str) -> str:
+        return re.sub(r'["`\[\]]', "", text).lower()
+
+    target = plain(table).split(".")
+    found = re.findall(r"[\w$]+(?:\s*\.\s*[\w$]+)*", " ".join(map(plain, sources)))
+    for name in found:
+        parts = re.split(r"\s*\.\s*", name)
+        shared = min(len(parts), len(target))
+        if parts[-shared:] == target[-shared:]:
+            return True
+    return False
 
 
 def write_jdbc(
@@ -90,7 +100,7 @@ def write_jdbc(
         raise ValueError(f"columns occur more than once: {twice}")
     if mode == "overwrite":
         if stage:
-            df = materialize(df)
+            df = written(df, "overwrite")
         elif reads_table(source_tables(df), table):
             raise ValueError(f"{table} is read by the rows that would overwrite it; use stage=True")
     options = {**connection, "dbtable": table, "batchsize": str(batch_size)}

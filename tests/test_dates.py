@@ -107,3 +107,22 @@ def test_user_column_named_temporary_stays(calendar):
     with pytest.raises(ValueError):
         t.date_operations(df, [{"o_type": "hour_of_date", "value1": "d", "v1_type": "column",
                                 "new_column": "y"}])
+
+
+def test_amounts_out_of_range_are_null(spark, ansi):
+    df = spark.sql("""SELECT DATE'2024-01-01' d, 2147483647 i, 9223372036854775807L l,
+                      '1e300' s, 400000000 m""")
+    for unit, amount in (("weeks", "i"), ("days", "i"), ("days", "m"), ("days", "l"), ("hours", "l"),
+                         ("minutes", "l"), ("seconds", "l"), ("hours", "s")):
+        for kind in ("add_to_date", "sub_from_date"):
+            for keep in (False, True):
+                out = t.date_operations(df, [{
+                    "o_type": kind, "value1": "d", "v1_type": "column", "value2": amount,
+                    "v2_type": "column", "unit": unit, "new_column": "x"}], keep_time=keep)
+                assert out.selectExpr("CAST(x AS STRING) x").first()["x"] is None, (unit, amount)
+
+
+def test_append_out_of_range_is_null(spark, ansi):
+    one = spark.sql("SELECT CAST(1e37 AS DECIMAL(38,0)) a")
+    two = spark.sql("SELECT CAST(0.5 AS DECIMAL(20,18)) a")
+    assert {r.a is None for r in t.append_rows(one, two).collect()} == {True, False}

@@ -37,11 +37,18 @@ def test_key_expression(df):
     assert out.columns == ["year(d)", "g", "n"] and out.count() == 3
 
 
-def test_arrays_need_a_bound(df):
+def test_several_arguments(df, ansi):
+    out = grouped(df, "g", ("max_by", "s, d"), ("percentile_approx", "i, 0.5"), ("count", "i, s"),
+                  ("regr_count", "i, i + 1"), ("min_by", "coalesce(s, 'a,b'), d"))
+    assert out["a"][0] is None and out["a"][1:3] == (1, 2) and out["a"][4] == "x"
+    assert out["a"][3] == 2
+    assert out[None] == (None, 4, 1, 1, None)
+
+
+def test_a_bound_on_arrays(df):
     assert sorted(grouped(df, "g", ("collect_list", "i"), max_group_rows=3)["a"][0]) == [1, 1]
     assert grouped(df, "g", ("median", "i"), ("mode", "i"), max_group_rows=3)["a"] == (1.0, 1)
-    with pytest.raises(ValueError, match="max_group_rows"):
-        grouped(df, "g", ("collect_list", "i"))
+    assert sorted(grouped(df, "g", ("collect_list", "i"))["a"][0]) == [1, 1]
     with pytest.raises(ValueError, match="more than 2"):
         grouped(df, "g", ("collect_set", "i"), max_group_rows=2)
 

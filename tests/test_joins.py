@@ -59,7 +59,7 @@ def test_frequent_keys(spark, how, hot, monkeypatch):
         parts.append(1), f(*a))[1])
     df1 = spark.createDataFrame(left, "k int, v string")
     df2 = spark.createDataFrame(right, "j bigint, w string")
-    assert collected(t.join_tables(df1, df2, how, ON, hot_rows=20)) == brute(left, right, how)
+    assert collected(t.join_tables(df1, df2, how, ON, hot_keys="auto", hot_rows=20)) == brute(left, right, how)
     cannot_cut = {"left": ("right", "both", "differ"), "right": ("left", "both", "differ"),
                   "outer": ("left", "right", "both", "differ")}[how]
     assert bool(parts) == (hot in cannot_cut)
@@ -102,7 +102,7 @@ def test_frequent_pairs(spark):
         .otherwise("a").alias("j2"))
     on = [{"left_on": "k", "right_on": "j"}, {"left_on": "k2", "right_on": "j2"}]
     assert joins._frequent_keys(right, ["j", "j2"], 50) == [(1, "a")]
-    out = t.join_tables(left, right, "outer", on, hot_rows=50)
+    out = t.join_tables(left, right, "outer", on, hot_keys="auto", hot_rows=50)
     plain = t.join_tables(left, right, "outer", on, hot_keys=None)
     assert collected(out) == collected(plain) and out.count() == 200 + 2 + 100
 
@@ -120,7 +120,7 @@ def test_spark_cuts_skewed_side(spark):
             F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("j"),
             F.md5(F.col("id").cast("string")).alias("w"))
         left = spark.range(100).select(F.col("id").alias("k"))
-        out = t.join_tables(left, right, "left", ON, hot_rows=1000)
+        out = t.join_tables(left, right, "left", ON, hot_keys="auto", hot_rows=1000)
         rows = out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan
@@ -131,6 +131,34 @@ def test_spark_cuts_skewed_side(spark):
             spark.conf.set(k, v)
 
 
+def test_null_keys_of_a_full_join_are_spread(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 20_000, numPartitions=2).select(
+            F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+        right = left.select(F.col("k").alias("j"), F.col("v").alias("w"))
+        out = t.join_tables(left, right, "outer", ON)
+        assert out.columns == ["k", "v", "j", "w"]
+        assert out.count() == 2_000 + 2 * 18_000
+        places = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(places) == 8 and max(r[1] for r in places) < 9_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_join_reads_each_input_once(spark, table):
+    right = table("events").select("event_id", "event_type")
+    left = right.select(F.col("event_type").alias("k")).distinct()
+    out = t.join_tables(left, right, "left", [{"left_on": "k", "right_on": "event_type"}],
+                        hot_keys="auto", hot_rows=50)
+    assert "events.parquet" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == right.count()
+
+
 def test_rename_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     out = t.join_tables(df, df, "inner", [{"left_on": "old_k", "right_on": "k"}],

@@ -44,16 +44,44 @@ def test_steps_reach_the_scan(table):
 
 
 def test_no_python_in_any_query(spark):
-    import __spark_entry__ as entry
+    import catalogue
 
-    for name, query in entry.queries().items():
-        if name.startswith(("win_", "csv_")):
-            continue
+    catalogue.load_all()
+    for name, query in catalogue.QUERIES.items():
         text = plan(query(spark, "/root/testdata/sf0.001"))
         assert "PythonUDF" not in text and "InPandas" not in text, name
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
 
+def test_building_steps_runs_nothing(spark, table):
+    """No job but those that read a file's schema."""
+    tables = {n: table(n) for n in ("orders", "lineitem", "customer")}
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, "steps")
+    try:
+        out = t.run_steps(tables, [
+            {"id": "g", "op": "group_rows", "input": "lineitem", "params": {
+                "index": "l_orderkey", "agg": [
+                    {"agg_func": "collect_list", "col": "l_tax", "col_name": "taxes"},
+                    {"agg_func": "median", "col": "l_tax", "col_name": "middle"}]}},
+            {"id": "j", "op": "join_tables", "inputs": ["orders", "g"], "params": {
+                "how": "left", "on": [{"left_on": "o_orderkey", "right_on": "l_orderkey"}]}},
+            {"id": "w", "op": "window_columns", "input": "j", "params": {
+                "functions": [{"func": "rank", "new_column": "place"}],
+                "order_by": "o_totalprice", "order": "desc", "partition": "o_custkey"}},
+            {"id": "f", "op": "join_tables", "inputs": ["w", "customer"], "params": {
+                "how": "outer", "on": [{"left_on": "o_custkey", "right_on": "c_custkey"}]}},
+            {"id": "x", "op": "window_columns", "input": "f", "params": {
+                "functions": [{"func": "sum", "column": "o_totalprice", "new_column": "total"}],
+                "order_by": "o_orderdate", "partition": "c_mktsegment"}},
+            {"id": "l", "op": "limit_rows", "input": "x", "params": {"row_limit": 2_000_000}}])
+        assert list(tracker.getJobIdsForGroup(group)) == []
+        assert out.count() > 0
+        assert len(tracker.getJobIdsForGroup(group)) > 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_independent_items_share_one_projection(spark):
     df = spark.range(1).selectExpr("id AS a")
     calls = []

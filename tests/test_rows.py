@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabloom as t
-from tabloom.operators import rows
 
 
 def test_filter(spark):
@@ -54,16 +53,31 @@ def test_limit_and_preview(spark):
     assert [r.id for r in t.top_rows(df, "id", 3, "DESC").collect()] == [99, 98, 97]
 
 
-def test_large_limits_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(rows, "ONE_TASK_LIMIT", 10)
+def test_large_limits_are_spread(spark):
     df = spark.range(0, 1000, numPartitions=7).withColumn("v", (F.col("id") * 37) % 1000)
     for n in (11, 142, 143, 500, 999, 1000, 5000):
-        out = t.limit_rows(df, n)
+        out = t.limit_rows(df, n, spread=True)
         assert out.count() == min(n, 1000) and out.columns == ["id", "v"]
-    first = t.limit_rows(t.order_rows(df, "v"), 300)
+    first = t.limit_rows(t.order_rows(df, "v"), 300, True)
     assert sorted(r.v for r in first.collect()) == list(range(300))
     assert "SinglePartition" not in first._jdf.queryExecution().executedPlan().toString()
-    assert t.limit_rows(df.where("id < 0"), 50).count() == 0
+    assert t.limit_rows(df.where("id < 0"), 50, True).count() == 0
+    best = t.top_rows(df, "v", 300, "DESC", spread=True)
+    assert [r.v for r in best.collect()] == list(range(999, 699, -1))
+    assert "TakeOrdered" not in best._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_spreads_a_key_that_was_brought_together(spark):
+    """Different rows of one key, all in one partition after a shuffle on it."""
+    df = spark.range(0, 40_000).select(
+        "id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k")).repartition(8, "k")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = t.order_rows(df, "k").withColumn("p", F.spark_partition_id())
+        assert placed.where("k = 7").select("p").distinct().count() >= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 def test_append_widens(spark, ansi):

@@ -115,7 +115,7 @@ def test_jdbc_write_options(monkeypatch):
     assert df.calls[-1]["mode"] == "overwrite" and df.calls[-1]["dbtable"] == "orders_new"
     with pytest.raises(ValueError, match="overwrite"):
         t.write_jdbc(df, '"orders"', CONNECTION)
-    monkeypatch.setattr(jdbc, "materialize", lambda d: d)
+    monkeypatch.setattr(jdbc, "written", lambda d, name: d)
     t.write_jdbc(df, "orders", CONNECTION, stage=True)
     assert df.calls[-1]["dbtable"] == "orders"
     with pytest.raises(ValueError):
@@ -125,7 +125,9 @@ def test_jdbc_write_options(monkeypatch):
 def test_table_names_in_plans():
     assert jdbc.reads_table(["orders"], "orders")
     assert jdbc.reads_table(['(select * from "Orders" o) t'], "orders")
-    assert not jdbc.reads_table(["orders_old", "my.orders"], "orders")
+    assert jdbc.reads_table(["my.orders"], "orders") and jdbc.reads_table(["orders"], "my.orders")
+    assert jdbc.reads_table(["[db].[my].[orders]"], "my.orders")
+    assert not jdbc.reads_table(["orders_old", "my.orders"], "your.orders")
 
 
 def test_views(spark):

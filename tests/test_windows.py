@@ -98,8 +98,8 @@ def test_full_copies_of_one_row(spark):
     """A third of the table is one and the same row: it is numbered by several tasks."""
     df = spark.range(0, 3000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).alias("k"))
-    bounds = windows._find_bounds(df, [], ["k"], True, 12)
-    tagged = windows._tag(df, [], ["k"], bounds)
+    bounds = windows._find_bounds(df, [], ["k"], 12)
+    tagged = windows._tag(df.withColumn(windows.FROM, F.lit(0)), [], ["k"], bounds)
     assert tagged.where("k = 500").select(windows.SALT).distinct().count() >= 3
     out = t.window_columns(df, [{"func": "row_number", "new_column": "rn"},
                                 {"func": "rank", "new_column": "rk"}], "k", method="split",
@@ -135,24 +135,23 @@ def test_reach_over_several_ranges(spark):
         collected(plain)
 
 
-def test_auto_splits_only_large_windows(spark, monkeypatch):
-    calls = []
-    real = windows._split
-    monkeypatch.setattr(windows, "_split", lambda *a: (calls.append(1), real(*a))[1])
-    df = spark.range(0, 4000, numPartitions=4).select(
-        "id", (F.col("id") % 400).alias("many"),
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("hot"))
-    rank = [{"func": "rank", "new_column": "r"}]
-    t.window_columns(df, rank, "id")
-    assert not calls
-    monkeypatch.setattr(windows, "SMALL", 1000)
-    t.window_columns(df, rank, "id", partition="many", ranges=40)
-    assert not calls
-    split = t.window_columns(df, rank, "id", partition="hot", ranges=40)
-    assert len(calls) == 1
-    assert collected(split) == collected(t.window_columns(df, rank, "id", "asc", "hot", "plain"))
-    t.window_columns(df, rank, "id")
-    assert len(calls) == 2
+def test_number_type(skewed):
+    for method in ("plain", "split"):
+        for kind in ("int", "bigint"):
+            out = t.window_columns(skewed, [{"func": "row_number", "new_column": "n"}], "k, id",
+                                   method=method, number_type=kind)
+            assert dict(out.dtypes)["n"] == kind
+
+
+def test_nan_keys_are_cut(spark):
+    df = spark.range(0, 3000, numPartitions=6).select(
+        "id", F.when(F.col("id") % 2 == 0, float("nan")).otherwise(F.col("id")).alias("k"))
+    bounds = windows._find_bounds(df, [], ["k"], 20)
+    assert max(bounds.cuts) > 5
+    call = (df, [{"func": "rank", "new_column": "r"}, {"func": "count", "column": "id",
+                                                     "new_column": "n"}], "k", "asc", "")
+    pick = lambda d: sorted(tuple(r) for r in d.select("id", "r", "n").collect())
+    assert pick(t.window_columns(*call, "split", ranges=20)) == pick(t.window_columns(*call, "plain"))
 
 
 def test_ansi_settings_agree(skewed, ansi):
