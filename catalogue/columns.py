@@ -36,6 +36,11 @@ add("cast_text_fraction", table("lineitem", lambda d: t.change_column_type(
 add("cast_bad_to_null", table("customer", lambda d: t.change_column_type(d, "c_name", "int")),
     """SELECT c_custkey, TRY_CAST(c_name AS INTEGER) AS c_name, c_nationkey, c_acctbal,
        c_mktsegment FROM customer""")
+add("cast_some_to_null", lambda spark, sf: t.change_column_type(load(spark, sf, "orders").selectExpr(
+    "o_orderkey", "CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus WHEN o_orderkey % 3 = 1 THEN NULL "
+    "ELSE CAST(o_custkey AS STRING) END AS mixed"), "mixed", "int"),
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey AS INTEGER) END AS mixed
+       FROM orders""")
 on("constant_cols", "orders", "o_orderkey",
    lambda d: t.constant_columns(d, [
        {"column": "whole", "constant": "7", "isNumeric": "true"},
@@ -96,11 +101,26 @@ add("order_desc", table("lineitem", lambda d: t.order_rows(
 add("limit_topk", table("orders", lambda d: t.top_rows(
     d, "o_totalprice, o_orderkey", 100, "DESC")),
     "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 100")
-add("limit_rows", lambda spark, sf: t.group_rows(
-    t.constant_columns(t.limit_rows(load(spark, sf, "lineitem").select("l_orderkey"), 5000),
-                       [{"column": "k", "constant": "1", "isNumeric": "true"}]),
-    "k", [{"agg_func": "count", "col": "*", "col_name": "n"}]),
-    "SELECT 1 AS k, least(count(*), 5000) AS n FROM lineitem")
+
+
+def limited(spark, sf, spread):
+    """How many rows a limit gives, and how many of them are different rows of the table."""
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    some = t.constant_columns(t.limit_rows(lines, 5000, spread),
+                              [{"column": "k", "constant": "1", "isNumeric": "true"}])
+    marked = t.join_tables(t.rename_columns(some, [
+        {"column": c, "renameColumn": c[2:]} for c in lines.columns]), lines.distinct(), "left",
+        [{"left_on": c[2:], "right_on": c} for c in lines.columns])
+    return t.group_rows(marked, "k", [
+        {"agg_func": "count", "col": "*", "col_name": "n"},
+        {"agg_func": "count", "col": "distinct l_orderkey, l_linenumber, l_extendedprice",
+         "col_name": "found"}])
+
+
+LIMITED = """SELECT 1 AS k, least(count(*), 5000) AS n, least(count(*), 5000) AS found
+             FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_extendedprice FROM lineitem)"""
+add("limit_rows", lambda spark, sf: limited(spark, sf, False), LIMITED)
+add("limit_rows_spread", lambda spark, sf: limited(spark, sf, True), LIMITED)
 add("preview_rows", lambda spark, sf: t.preview(
     t.order_rows(load(spark, sf, "events"), "event_id"), 20),
     "SELECT * FROM events ORDER BY event_id LIMIT 20")

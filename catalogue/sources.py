@@ -30,6 +30,20 @@ add("csv_bad_fields", csv_bad_fields,
        c_mktsegment FROM customer""")
 
 
+def csv_some_bad_fields(spark, sf):
+    """Of a column read as a whole number, every third field is text."""
+    path = scratch_path(spark, "mixed-csv")
+    t.write_csv(load(spark, sf, "customer").selectExpr(
+        "c_custkey", "CASE WHEN c_custkey % 3 = 0 THEN c_name ELSE CAST(c_nationkey AS STRING) END "
+        "AS mixed", "c_acctbal"), path)
+    return t.read_csv(spark, path, "c_custkey bigint, mixed int, c_acctbal double")
+
+
+add("csv_some_bad_fields", csv_some_bad_fields,
+    """SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_nationkey END AS mixed, c_acctbal
+       FROM customer""")
+
+
 def csv_object_scan_limit(spark, sf):
     base = scratch_path(spark, "store")
     t.write_csv(load(spark, sf, "lineitem").select("l_orderkey", "l_quantity"),
