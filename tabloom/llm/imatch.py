@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import named, whole_text
 from tabloom.llm.exact import BITS, WORDS, bitmap, contains
 
-SUBSETS = 16
+SUBSETS = 32
 BAND = (0.7, 10.0)      # inverse document frequencies (natural logarithms) of the lexicon
 WHITE = "[ \\t-\\r]+"
 
@@ -49,7 +49,7 @@ def lexicon(df: DataFrame, text_col: str, band: tuple[float, float] = BAND) -> C
 
 def _cut(n: Column) -> Column:
     """How many bits of a term's hash name its subset."""
-    return F.greatest(F.lit(4), F.ceil(F.log2(F.greatest(n, F.lit(1))))).cast("int")
+    return F.greatest(F.lit(5), F.ceil(F.log2(F.greatest(n, F.lit(1))))).cast("int")
 
 
 def _subset(term: Column, bits: Column) -> Column:
