@@ -78,9 +78,10 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         *[named(n) for n in names], F.col("doc_id").alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     shared = rows.where("__whole IS NOT NULL")
-    best = shared.groupBy("__whole", "__size").agg(
+    # Written out, so that the join has plain exchanges, which can be cut at copies.
+    best = stage(shared.groupBy("__whole", "__size").agg(
         F.max(F.struct("doc_id", "__row")).alias("__best"),
-        F.count(F.lit(1)).alias("group_size"))
+        F.count(F.lit(1)).alias("group_size")), "exact")
     joined = shared.join(best, ["__whole", "__size"]).select(
         *[named(n) for n in names], F.col("__best.doc_id").alias("keep_id"), "group_size",
         (F.col("__row") == F.col("__best.__row")).alias("kept"))
