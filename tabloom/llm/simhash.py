@@ -284,6 +284,7 @@ def _labelled(prints: DataFrame, classes: DataFrame, edges: DataFrame, key: str)
 MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
 ROWS = 4                # minima of a bucket's key
 BANDS = 12              # keys of a text: at a similarity of 0.8, one in 500 pairs shares none
+CROWD = 512             # different texts of a bucket that are compared with each other
 WIDE = 20               # bits by which near duplicates may differ
 SKETCHED = "struct<fp: bigint, keys: array<bigint>, sketch: binary>"
 
@@ -359,15 +360,29 @@ def _alike(similarity: float, lanes: int):
     return run
 
 
+def _shared(keyed: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows ``key, id``: those of buckets with 2 to ``crowd`` rows, those of larger ones, and
+    the latter in chunks of about ``crowd`` rows, under keys of their own."""
+    counts = keyed.groupBy("key").count().where("count > 1")
+    rows = stage(keyed.join(counts, "key"), "shared")
+    hot = rows.where(F.col("count") > crowd)
+    chunk = F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("count") / crowd))
+    return (rows.where(F.col("count") <= crowd).select("key", "id"), hot.select("key", "id"),
+            hot.select(F.xxhash64("key", chunk).alias("key"), "id"))
+
+
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       *more: Column, width: int = 5, similarity: float = 0.8,
-                      slack: float = 0.03, lanes: int = LANES) -> DataFrame:
+                      slack: float = 0.03, crowd: int = CROWD, lanes: int = LANES) -> DataFrame:
     """Like ``near_duplicates``, for texts whose sets of shingles have a similarity (shared by
     all) of ``similarity`` or more: ``doc_id, fingerprint, component_id, kept`` and ``more``.
 
     Similarity is estimated from 128 minima; ``slack`` below the limit still counts, so that few
-    pairs just above it are lost. Texts without words are alike. Nulls, repeated rows, null ids
-    and empty tables as in ``near_duplicates``.
+    pairs just above it are lost. A bucket of more than ``crowd`` different texts is dealt again
+    by each of their other keys, and compared in random chunks besides (others for each key), as
+    are buckets that are still as large; that keeps tight groups of any size together, and a
+    task's share bounded. Texts without words are alike. Nulls, repeated rows, null ids and
+    empty tables as in ``near_duplicates``.
     """
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
                       _sketches(named(text_col), width).alias("__s"), *more)
@@ -376,11 +391,15 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.monotonically_increasing_id().alias("__row")), "prints")
     slim = prints.select("doc_id", "__id", "__row", "__s.fp", "__s.keys", "__s.sketch")
     classes = stage(_classes(slim, "__id", "fp", "keys", "sketch"), "classes")
-    keyed = classes.select(F.col("__id").alias("id"), F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").count().where("count > 1").select("key")
-    rows = (keyed.join(shared, "key").distinct()
-            .join(classes.select(F.col("__id").alias("id"), "fp", "sketch"), "id"))
-    found = (rows.select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
+    known = classes.withColumnRenamed("__id", "id")
+    whole, hot, chunks = _shared(
+        known.select(F.explode(F.array_distinct("keys")).alias("key"), "id"), crowd)
+    finer = (hot.join(known.select("id", F.explode(F.array_distinct("keys")).alias("other")), "id")
+             .where("other <> key").select(F.xxhash64("key", "other").alias("key"), "id"))
+    finer_whole, _, finer_chunks = _shared(finer, crowd)
+    rows = whole.union(chunks).union(finer_whole).union(finer_chunks)
+    found = (rows.join(known.select("id", "fp", "sketch"), "id")
+             .select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
              .sortWithinPartitions("key").mapInArrow(
                  _alike(similarity - slack, lanes), "a long, b long"))
     labelled = _labelled(prints, classes, found, "__id")

@@ -123,6 +123,21 @@ def test_similar_documents(spark, edges, nothing):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i // 2 * 2 for i, _ in rows}
 
 
+def test_a_large_group_of_near_copies(spark):
+    """Buckets are far beyond what is compared at once, and the group stays one group."""
+    rng = random.Random(7)
+    words, rows = [f"w{rng.randrange(5000)}" for _ in range(400)], []
+    for i in range(300):
+        own = list(words)
+        for k in rng.sample(range(400), 3):
+            own[k] = f"changed{rng.randrange(100)}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(f"w{rng.randrange(5000)}" for _ in range(200))) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(df, crowd=20).collect()}
+    assert got == {i: 0 if i < 300 else i for i, _ in rows}
+
+
 def test_exact_duplicates(edges, nothing):
     assert exact_duplicates(nothing).count() == 0
     found = rows_of(exact_duplicates(edges, "doc_id", "text", F.col("kept").alias("own"),
