@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ids_and_bytes, named, pieces, record_batch
+from tabloom.llm.common import ids_and_bytes, named, pieces, record_batch, ship
 
 LONG = 1 << 16      # characters from which on the next safe place is looked for
 SLICE = 1 << 22     # bytes handled at once
@@ -80,5 +80,6 @@ def decode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
                 yield record_batch({"doc_id": some.column("doc_id"), "ids": some.column("ids"),
                                     "decoded": out}, DECODED)
 
+    ship(df.sparkSession)
     slim = df.select(named(id_col).cast("long").alias("doc_id"), named(ids_col).alias("ids"))
     return slim.mapInArrow(run, "doc_id long, ids binary, decoded binary")

@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the session's Python workers, once; Spark's driver serves the file."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(Path(root.name) / source.relative_to(root)))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def named(name: str) -> Column:
     """The column of that very name, also with dots or blanks in it."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -26,6 +46,7 @@ def remainder(name: str, divisor: int) -> Column:
 
 def ids_and_bytes(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """``doc_id``, ``text`` as UTF-8 bytes (so that Arrow copies and decodes nothing)."""
+    ship(df.sparkSession)
     return df.select(named(id_col).alias("doc_id"),
                      whole_text(text_col).cast("binary").alias("text"), *more)
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabloom.llm.common import named, pieces, record_batch, whole_text
+from tabloom.llm.common import named, pieces, record_batch, ship, whole_text
 
 SLICE = 1 << 22     # bytes of pages rendered at once
 DEEPEST = 200       # levels of nesting; deeper elements become siblings at that level
@@ -391,6 +391,7 @@ def extract_text(df: DataFrame, id_col: str = "page_id", html_col: str = "html")
                     "page_id": some.column("page_id"), "title": [x[0] for x in found],
                     "text": [x[1] for x in found]}, RENDERED)
 
+    ship(df.sparkSession)
     slim = df.select(named(id_col).cast("long").alias("page_id"),
                      whole_text(html_col).cast("binary").alias("html"))
     return slim.mapInArrow(run, "page_id long, title string, text string")

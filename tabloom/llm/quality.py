@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import named, pieces, record_batch, remainder, whole_text
+from tabloom.llm.common import named, pieces, record_batch, remainder, ship, whole_text
 
 DIMENSIONS = 1 << 18    # hashed features; the last weight is the bias
 SAMPLE = 10_000         # labelled documents to learn from, at most
@@ -135,6 +135,7 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "quality") ->
         kept = np.nonzero(w)[0]
         yield record_batch({"index": kept, "weight": w[kept]}, TRAINED)
 
+    ship(df.sparkSession)
     slim = (df.where(named(label_col).isNotNull())
             .select(whole_text(text_col).cast("binary").alias("text"),
                     named(label_col).cast("double").alias("label"))
@@ -170,6 +171,7 @@ def score_column(spark: SparkSession, text: Column, weights: np.ndarray) -> Colu
 
     A text without any word has the score of the bias alone.
     """
+    ship(spark)
     model = spark.sparkContext.broadcast(weights)
 
     @F.arrow_udf("double")

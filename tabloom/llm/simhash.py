@@ -27,11 +27,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.functions.checkpoints import stage
-from tabloom.llm.common import named, record_batch
+from tabloom.llm.common import named, record_batch, ship
 from tabloom.llm.graph import components
 
 BITS = 64
@@ -77,6 +77,7 @@ def simhash(text: bytes, width: int = 3) -> int:
 
 def fingerprint_column(text: Column, width: int = 3) -> Column:
     """The fingerprint of a text column, its 64 bits as a signed long; null counts as empty."""
+    ship(SparkSession.active())
 
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
@@ -304,6 +305,7 @@ def _sketch(text: bytes, width: int, a: np.ndarray, b: np.ndarray) -> tuple[int,
 
 
 def _sketches(text: Column, width: int) -> Column:
+    ship(SparkSession.active())
     rng = np.random.default_rng(SEED)
     a = rng.integers(0, 2**31, MINIMA, np.uint32) * np.uint32(2) + np.uint32(1)
     b = rng.integers(0, 2**32, MINIMA, np.uint32)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ids_and_bytes, pieces, record_batch
+from tabloom.llm.common import ids_and_bytes, pieces, record_batch, ship
 from tabloom.llm.encoding import encoder
 
 SLICE = 1 << 21     # bytes of text encoded at once
@@ -171,6 +171,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
                         "start": at[:-1][cut], "n_tokens": np.diff(at)[cut],
                         "ids_crc32": sums[cut]}, INDEX)
 
+    ship(spark)
     parts = spark.read.parquet(f"{folder}/parts")
     return parts.repartition(max(1, parts.count())).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -192,5 +193,6 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                         "doc_id": [None if doc == NO_ID else doc],
                         "ids": [ids(at[k], at[k + 1]).astype(np.int32)]}, schema)
 
+    ship(spark)
     parts = spark.read.parquet(f"{folder}/parts")
     return parts.repartition(max(1, parts.count())).mapInArrow(run, "doc_id long, ids array<int>")
