@@ -1,0 +1,206 @@
+"""The registered queries on the given tables, against plain single-machine versions."""
+
+import base64
+import hashlib
+import zlib
+from html.parser import HTMLParser
+
+import numpy as np
+import pytest
+import tiktoken
+import xxhash
+from public_tokenizers import PATTERN, path
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from conftest import DATA
+from tabloom.functions.checkpoints import stage
+from tabloom.llm.queries import QUERIES
+from tabloom.llm.quality import quality_scores
+
+
+@pytest.fixture(scope="module")
+def docs(table):
+    return dict(sorted((r["doc_id"], r["text"] or "") for r in
+                       table("documents").select("doc_id", "text").collect()))
+
+
+def result(spark, name):
+    return {r["doc_id"]: r for r in QUERIES[name](spark, DATA).collect()}
+
+
+def ids_of(file, texts):
+    found = Tokenizer.from_file(path(file)).encode_batch(texts, add_special_tokens=False)
+    return [e.ids for e in found]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4"))
+
+
+def grouped(keys, linked):
+    """The least key that each one reaches."""
+    label = {k: k for k in keys}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in linked:
+            low = min(label[a], label[b])
+            if label[a] != low or label[b] != low:
+                label[a] = label[b] = low
+                changed = True
+    return label
+
+
+def test_simhash(spark, docs):
+    def print_of(text):
+        words = text.encode().lower().split()
+        hashes = [xxhash.xxh64_intdigest(b" ".join(words[i:i + 3]), 42)
+                  for i in range(max(1, len(words) - 2))] if words else []
+        return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+    prints = {i: print_of(t) for i, t in docs.items()}
+    links = [(a, b) for a in docs for b in docs
+             if a < b and bin(prints[a] ^ prints[b]).count("1") <= 2]
+    want = grouped(docs, links)
+    found = result(spark, "op1_simhash")
+    assert {i: (r["fingerprint"], r["component_id"]) for i, r in found.items()} == {
+        i: (f"{prints[i]:016x}", want[i]) for i in docs}
+
+
+def test_token_files(spark, docs):
+    want, start = {}, 0
+    for i, ids in zip(docs, ids_of("byte_bpe_50k.json", list(docs.values())), strict=True):
+        want[i] = (i, start, len(ids) + 1, crc([*ids, 0]))
+        start += len(ids) + 1
+    assert {i: tuple(r) for i, r in result(spark, "op3_token_files").items()} == want
+
+
+def test_token_counts(spark, docs):
+    want = {i: (i, len(t.encode()), len(ids), len(ids) > 512) for (i, t), ids in zip(
+        docs.items(), ids_of("byte_bpe_50k.json", list(docs.values())), strict=True)}
+    assert {i: tuple(r) for i, r in result(spark, "op6_token_counts").items()} == want
+
+
+def test_byte_pairs(spark, docs):
+    with open(path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+    known = tiktoken.Encoding("x", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {}
+    for i, t in docs.items():
+        ids = known.encode_ordinary(t)
+        want[i] = (i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                   hashlib.sha256(t.encode()).hexdigest())
+    assert {i: tuple(r) for i, r in result(spark, "op8_byte_pairs").items()} == want
+
+
+def pieces_of(docs):
+    out = set()
+    for i, ids in zip(docs, ids_of("word_bpe_49k.json", list(docs.values())), strict=True):
+        ids = [*ids, 0]
+        out |= {(i, k // 2048, k, len(ids[k:k + 2048]), crc(ids[k:k + 2048]))
+                for k in range(0, len(ids), 2048)}
+    return out
+
+
+def check_packing(rows, docs):
+    assert {tuple(r)[:5] for r in rows} == pieces_of(docs) and len(rows) == len(pieces_of(docs))
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in sequences.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= 11 * -(-sum(r["length"] for r in rows) // 2048) // 9 + 1
+
+
+def test_packing(spark, docs):
+    check_packing(QUERIES["op10_packing"](spark, DATA).collect(), docs)
+
+
+def test_fingerprints(spark, docs):
+    found, order = result(spark, "op5_imatch"), sorted(docs, reverse=True)
+    assert set(found) == set(docs)
+    for k, i in enumerate(order):
+        text, after = docs[i], docs[order[(k + 1) % len(order)]]
+        cut = len(text) // 3
+        edited = text[:len(text) - cut] + after[:cut]
+        assert found[i]["n_chars"] == len(text)
+        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= found[i]["near_next"] <= 1 and 0 <= found[i]["near_edited"] <= 1
+    assert np.mean([r["near_edited"] > r["near_next"] for r in found.values()]) > 0.8
+
+
+class Plain(HTMLParser):
+    """Words outside of what is never shown; all blocks of the given pages end words."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.off = [], 0
+
+    def _tag(self, tag, step):
+        self.off += step * (tag in ("script", "style", "title"))
+        if tag in ("p", "li", "div", "h1", "br", "article", "footer", "nav"):
+            self.out.append(" ")
+
+    def handle_starttag(self, tag, attrs):
+        self._tag(tag, 1)
+
+    def handle_endtag(self, tag):
+        self._tag(tag, -1)
+
+    def handle_data(self, data):
+        if not self.off:
+            self.out.append(data)
+
+
+def test_page_text(spark, table):
+    found = {r["page_id"]: r["text"] for r in QUERIES["op4_html_text"](spark, DATA).collect()}
+    pages = table("pages").collect()
+    assert len(found) == len(pages)
+    for r in pages:
+        plain = Plain()
+        plain.feed(r["html"])
+        plain.close()
+        text = "".join("\n" + x.removeprefix("- ") for x in found[r["page_id"]].split("\n"))
+        assert text.split() == "".join(plain.out).split()
+
+
+def test_pipeline(spark, table):
+    """Each stage on what the one before kept."""
+    rows, kept = table("documents"), {}
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+        scores = {r["doc_id"]: r["predicted"] for r in
+                  quality_scores(rows, table("labels")).collect()} if name == "quality" else {}
+        rows = stage(step(spark, rows, DATA), name)
+        after = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+        assert rows.columns == table("documents").columns
+        assert all(before[i] == t for i, t in after.items())
+        if name == "quality":
+            want = {i for i, good in scores.items() if good}
+        elif name == "exact_dedup":
+            last = {}
+            for i, t in sorted(before.items()):
+                last["".join(c.lower() if "A" <= c <= "Z" else c for c in t)] = i
+            want = set(last.values())
+        else:
+            def shingles(t):
+                w = t.encode().lower().split()
+                return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+            sets = {i: shingles(t) for i, t in before.items()}
+            alike = {limit: grouped(before, [
+                (a, b) for a in before for b in before if a < b
+                and len(sets[a] & sets[b]) >= limit * len(sets[a] | sets[b])])
+                for limit in (0.7, 0.88)}
+            # Similar for certain goes, different for certain stays; between, it is an estimate.
+            assert {i for i, k in alike[0.7].items() if i == k} <= set(after)
+            want = set(after)
+            assert not {i for i, k in alike[0.88].items() if i != k} & want
+        assert set(after) == want
+        kept[name] = len(after)
+    assert 0 < kept["near_dedup"] <= kept["exact_dedup"] < kept["quality"] < table("documents").count()
+    check_packing(corpus_pipeline.STAGES[-1][1](spark, rows, DATA).collect(), after)
