@@ -13,8 +13,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates two kinds of steps until nothing changes: every node hands its larger
     neighbours, then its smaller ones, over to the least node it knows. Each step only
-    joins edges with one row per node, so that adaptive execution can cut a node with
-    very many edges, and the number of edges never grows. Each step is written out, so
+    joins edges with one row per node, written out before, so that adaptive execution can
+    cut a node with very many edges, and the number of edges never grows. Each step is written out, so
     a lost executor costs one step at most.
     """
     known = stage(
@@ -36,12 +36,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))  # u: the node, v: its neighbour
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    least = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
     return (both.where("v > u").join(least, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
