@@ -14,10 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-from tabloom.llm.words import words_of
+from tabloom.llm.words import forget, words_of
 
-KEPT = 600_000      # words whose ids a task remembers
-LONGEST = 64        # characters of a word that is remembered
 KINDS = ("byte_level", "lower_words", "whole")
 
 
@@ -72,11 +70,7 @@ class Encoder:
         new = [w for w in words.distinct if w not in self.words]
         self.words.update(zip(new, self._whole(new), strict=True))
         packed = list(map(self.words.__getitem__, words.distinct))
-        for word in new:
-            if len(word) > LONGEST:
-                del self.words[word]
-        if len(self.words) > KEPT:
-            self.words.clear()
+        forget(self.words, new, len(words.distinct))
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.type.itemsize
         known = np.frombuffer(b"".join(packed), self.type)
         at = np.cumsum(sizes) - sizes

@@ -20,11 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import ids_and_bytes, pieces, record_batch
-from tabloom.llm.words import words_of
+from tabloom.llm.words import forget, words_of
 
 SLICE = 1 << 21     # bytes of text counted at once
-KEPT = 800_000      # words whose count a task remembers
-LONGEST = 64        # characters of a word that is remembered
 
 COUNTED = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -59,11 +57,7 @@ class Counter:
         self.words.update(zip(new, map(len, found), strict=True))
         emitted = np.fromiter(map(self.words.__getitem__, words.distinct), np.int64,
                               len(words.distinct))
-        for word in new:
-            if len(word) > LONGEST:
-                del self.words[word]
-        if len(self.words) > KEPT:
-            self.words.clear()
+        forget(self.words, new, len(words.distinct))
         total = np.bincount(owner[words.owner], emitted[words.place], len(texts))
         return total.astype(np.int64) + np.array([len(x) - 1 for x in parts], np.int64)
 

@@ -16,6 +16,8 @@ from typing import NamedTuple
 import numpy as np
 
 LANES = 4_096       # chunks that run side by side
+KEPT = 600_000      # words that a task remembers
+LONGEST = 64        # characters of a word that is remembered
 
 # Character classes: letters that matter after an apostrophe apart from the rest.
 LETTER, STMD, RV, E, EL, NUMBER, SPACE, WHITE, APOSTROPHE, OTHER, END = range(11)
@@ -198,3 +200,15 @@ def words_of(texts: list[str], pattern: str) -> Words:
     distinct = [whole[a:b] for a, b in zip(starts[index].tolist(), stops[index].tolist(),
                                            strict=True)]
     return Words(distinct, place, np.searchsorted(ends, starts))
+
+
+def forget(known: dict, new: list[str], distinct: int) -> None:
+    """Drop new words that are too long to keep, and all of them once the memory is full: the
+    words that come often are among the first. Where most words are new, start again."""
+    full = len(known) > KEPT
+    if full and 2 * len(new) > distinct:
+        known.clear()
+        return
+    for word in new:
+        if full or len(word) > LONGEST:
+            del known[word]

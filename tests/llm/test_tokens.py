@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 from llm_helpers import edges, nothing  # noqa: F401
 from tabloom.functions.checkpoints import scratch_path
 from tabloom.llm.byte_pairs import decode, encode, encoding, safe_pieces
-from tabloom.llm.encoding import encoder
+from tabloom.llm.encoding import Encoder, encoder
 from tabloom.llm.packing import pack, plan
-from tabloom.llm.token_counts import counter, token_counts
+from tabloom.llm.token_counts import Counter, counter, token_counts
 from tabloom.llm.token_files import read_index, read_tokens, write_token_files
 from tabloom.llm.words import NONE, STATES, composed, word_starts
 
@@ -44,6 +44,19 @@ def test_encoders(texts):
     assert counter(BYTES).count(texts).tolist() == [len(x) for x in library(BYTES, texts)]
 
 
+def test_a_full_memory_changes_nothing(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(200)) for _ in range(12)]
+    want = library(BYTES, texts)
+    for kept in (0, 50, 200):
+        monkeypatch.setattr("tabloom.llm.words.KEPT", kept)
+        known, counts = Encoder(BYTES, "byte_level"), Counter(BYTES)
+        for t, ids in zip(texts, want, strict=True):
+            assert known.ids([t])[0].tolist() == ids
+            assert counts.count([t]).tolist() == [len(ids)]
+        assert len(known.words) < 400
+
+
 def test_state_maps_compose():
     rng = np.random.default_rng(0)
     maps = rng.integers(0, STATES, (37, STATES)).astype(np.uint8)
