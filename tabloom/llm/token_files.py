@@ -117,8 +117,8 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: str, kind: str = "b
     base = np.cumsum(found.column("tokens").to_numpy()) - found.column("tokens").to_numpy()
     parts = found.append_column("base", pa.array(base, pa.int64()))
     table = spark.createDataFrame(parts, "part int, docs long, tokens long, width int, base long")
-    table.repartition(max(1, found.num_rows)).mapInArrow(offsets, table.schema).write.mode("overwrite").parquet(
-        f"{folder}/parts")
+    (table.repartition(max(1, found.num_rows)).mapInArrow(offsets, table.schema)
+     .write.mode("overwrite").parquet(f"{folder}/parts"))
     return spark.read.schema(table.schema).parquet(f"{folder}/parts")
 
 
