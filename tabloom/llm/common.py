@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -29,6 +30,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system that Spark takes it to be on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.makeQualified(target).toString()
+    local = "file:"     # Hadoop writes file:/a, others read file:///a only
+    return f"{local}//{found[len(local):]}" if re.match("file:/[^/]", found) else found
+
+
 def named(name: str) -> Column:
     """The column of that very name, also with dots or blanks in it."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ids_and_bytes, pieces, record_batch, ship
+from tabloom.llm.common import ids_and_bytes, pieces, qualified, record_batch, ship
 from tabloom.llm.encoding import encoder
 
 SLICE = 1 << 21     # bytes of text encoded at once
@@ -75,6 +75,7 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: str, kind: str = "b
     table gives no parts.
     """
     spark = df.sparkSession
+    folder = qualified(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, files, docs, tokens = TaskContext.get().partitionId(), None, 0, 0
@@ -151,6 +152,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     little-endian unsigned 32-bit integers.
     """
 
+    folder = qualified(spark, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -180,6 +183,8 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id`` and its ``ids`` (an array of int, the end id included)."""
 
+    folder = qualified(spark, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
         for batch in batches:
