@@ -26,7 +26,7 @@ SAMPLE = 10_000         # labelled documents to learn from, at most
 EPOCHS = 6
 SCALE = 20.0            # a feature's value is its share of the document times this
 SLICE = 1 << 21         # bytes of text turned into features at once
-WORDS_KEPT = 400_000    # words whose hash a task remembers
+WORDS_KEPT = 100_000    # words whose hash a task remembers
 
 # Bytes beyond ASCII count as letters.
 WORD = re.compile(rb"[\w\x80-\xff]+|[^\w\s\x80-\xff]+")

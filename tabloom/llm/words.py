@@ -16,7 +16,7 @@ from typing import NamedTuple
 import numpy as np
 
 LANES = 4_096       # chunks that run side by side
-KEPT = 600_000      # words that a task remembers
+KEPT = 300_000      # words that a task remembers
 LONGEST = 64        # characters of a word that is remembered
 
 # Character classes: letters that matter after an apostrophe apart from the rest.
@@ -158,7 +158,7 @@ class Words(NamedTuple):
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers below n of an odd number and of its inverse, modulo 2**64."""
     base, out = 0xD1342543DE82EF95, []
@@ -172,7 +172,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _keys(chars: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A 64-bit key of each word: differences of prefix sums, so nothing is done per word."""
-    up, down = _powers(1 << max(21, int(len(chars)).bit_length()))
+    up, down = _powers(1 << max(22, int(len(chars)).bit_length()))
     with np.errstate(over="ignore"):
         value = (chars.astype(np.uint64) + np.uint64(1)) * ODD
         value ^= value >> np.uint64(29)
