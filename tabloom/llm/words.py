@@ -172,7 +172,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _keys(chars: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A 64-bit key of each word: differences of prefix sums, so nothing is done per word."""
-    up, down = _powers(1 << max(22, int(len(chars)).bit_length()))
+    up, down = _powers(max(3, 1 + (len(chars) >> 20)) << 20)
     with np.errstate(over="ignore"):
         value = (chars.astype(np.uint64) + np.uint64(1)) * ODD
         value ^= value >> np.uint64(29)
