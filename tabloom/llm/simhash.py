@@ -21,7 +21,7 @@ at a wide radius, and decides by the share of equal minima.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -249,7 +249,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .repartition(_parts(df), "mask", "value").sortWithinPartitions("mask", "value")
              .select("mask", "value", "fp")
              .mapInArrow(_compare(radius, lanes), "a long, b long"))
-    labelled = _labelled(prints, classes, found, "fp")
+    labelled = _labelled(prints, classes, stage(components(found), "roots"), "fp")
     rest = [c for c in prints.columns if c not in ("doc_id", "fp", "__row")]
     return labelled.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
@@ -268,9 +268,9 @@ def _classes(prints: DataFrame, key: str, *same: str) -> DataFrame:
                                    *[F.any_value(c).alias(c) for c in same])
 
 
-def _labelled(prints: DataFrame, classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """``prints`` with ``component_id`` and ``kept``, from edges between keys."""
-    roots = stage(components(edges), "roots").withColumnRenamed("node", key)
+def _labelled(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """``prints`` with ``component_id`` and ``kept``, from the components of keys."""
+    roots = roots.withColumnRenamed("node", key)
     linked = classes.select(key, "first").join(roots, key)
     whole = linked.groupBy("root").agg(F.min("first").alias("least"))
     known = linked.select(key, "root").join(whole, "root").select(key, "least")
@@ -285,7 +285,7 @@ def _labelled(prints: DataFrame, classes: DataFrame, edges: DataFrame, key: str)
 MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
 ROWS = 4                # minima of a bucket's key
 BANDS = 12              # keys of a text: at a similarity of 0.8, one in 500 pairs shares none
-CROWD = 512             # different texts of a bucket that are compared with each other
+CROWD = 512             # different texts of a bucket that are compared in one piece
 WIDE = 20               # bits by which near duplicates may differ
 SKETCHED = "struct<fp: bigint, keys: array<bigint>, sketch: binary>"
 
@@ -362,15 +362,46 @@ def _alike(similarity: float, lanes: int):
     return run
 
 
-def _shared(keyed: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of rows ``key, id``: those of buckets with 2 to ``crowd`` rows, those of larger ones, and
-    the latter in chunks of about ``crowd`` rows, under keys of their own."""
-    counts = keyed.groupBy("key").count().where("count > 1")
-    rows = stage(keyed.join(counts, "key"), "shared")
-    hot = rows.where(F.col("count") > crowd)
-    chunk = F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("count") / crowd))
-    return (rows.where(F.col("count") <= crowd).select("key", "id"), hot.select("key", "id"),
-            hot.select(F.xxhash64("key", chunk).alias("key"), "id"))
+def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd: int) -> DataFrame:
+    """``node, root`` of what ``compared`` links within the keys of rows ``key, id, n, ...``, where
+    ``n`` is the number of a key's rows. No pair of a key is left out.
+
+    Keys of up to ``crowd`` rows are compared whole. Larger ones are first dealt at random into
+    chunks of about ``crowd``, twice. What that joins needs no further comparison with each
+    other; all other rows are compared with every row of their key, each pair of chunks under a
+    key of its own.
+    """
+    hot = rows.where(F.col("n") > crowd)
+    found = rows.where(F.col("n") <= crowd)
+
+    def chunk(salt: int, total) -> Column:
+        return F.pmod(F.xxhash64("id", "key", F.lit(salt)), F.ceil(total / crowd))
+
+    if hot.isEmpty():
+        return stage(components(compared(found)), "roots")
+    for salt in (0, 1):
+        found = found.union(hot.withColumn("key", F.xxhash64(
+            "key", F.lit(salt), chunk(salt, F.col("n")))))
+    roots = stage(components(compared(found)), "roots")
+    rooted = stage(hot.select("key", "id", "n").join(
+        roots.withColumnRenamed("node", "id"), "id", "left")
+        .withColumn("root", F.coalesce("root", "id")), "rooted")
+    sizes = rooted.groupBy("key", "root").count()
+    left = stage(sizes.groupBy("key").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"),
+        (F.sum("count") - F.max("count")).alias("rest")).where("rest > 0"), "left")
+    if left.isEmpty():
+        return roots
+    r, a = F.ceil(F.col("rest") / crowd), F.ceil(F.col("n") / crowd)
+    block = lambda i, j: F.xxhash64("key", F.lit(2), i, j)
+    every = F.transform(F.sequence(F.lit(0), r - 1), lambda i: block(i, chunk(2, F.col("n"))))
+    others = F.transform(F.sequence(F.lit(0), a - 1), lambda j: block(chunk(3, F.col("rest")), j))
+    blocks = stage(rooted.join(left, "key").select("key", "id", F.when(
+        F.col("root") == F.col("main"), every).otherwise(F.array_union(every, others))
+        .alias("blocks")), "blocks")
+    pairs = (hot.join(blocks, ["key", "id"]).withColumn("key", F.explode("blocks"))
+             .select(*rows.columns))
+    return stage(components(compared(pairs).union(roots)), "roots")
 
 
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -380,10 +411,8 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all) of ``similarity`` or more: ``doc_id, fingerprint, component_id, kept`` and ``more``.
 
     Similarity is estimated from 128 minima; ``slack`` below the limit still counts, so that few
-    pairs just above it are lost. A bucket of more than ``crowd`` different texts is dealt again
-    by each of their other keys, and compared in random chunks besides (others for each key), as
-    are buckets that are still as large; that keeps tight groups of any size together, and a
-    task's share bounded. Texts without words are alike. Nulls, repeated rows, null ids and
+    pairs just above it are lost. A bucket of more than ``crowd`` different texts is compared in
+    chunks, each with every other one unless that can join nothing more (see ``_joined``). Texts without words are alike. Nulls, repeated rows, null ids and
     empty tables as in ``near_duplicates``.
     """
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
@@ -394,17 +423,17 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim = prints.select("doc_id", "__id", "__row", "__s.fp", "__s.keys", "__s.sketch")
     classes = stage(_classes(slim, "__id", "fp", "keys", "sketch"), "classes")
     known = classes.withColumnRenamed("__id", "id")
-    whole, hot, chunks = _shared(
-        known.select(F.explode(F.array_distinct("keys")).alias("key"), "id"), crowd)
-    finer = (hot.join(known.select("id", F.explode(F.array_distinct("keys")).alias("other")), "id")
-             .where("other <> key").select(F.xxhash64("key", "other").alias("key"), "id"))
-    finer_whole, _, finer_chunks = _shared(finer, crowd)
-    rows = whole.union(chunks).union(finer_whole).union(finer_chunks)
-    found = (rows.join(known.select("id", "fp", "sketch"), "id")
-             .select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
-             .sortWithinPartitions("key").mapInArrow(
-                 _alike(similarity - slack, lanes), "a long, b long"))
-    labelled = _labelled(prints, classes, found, "__id")
+    keyed = known.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return (rows.select("key", "id").join(known.select("id", "fp", "sketch"), "id")
+                .select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
+                .sortWithinPartitions("key").mapInArrow(
+                    _alike(similarity - slack, lanes), "a long, b long"))
+
+    roots = _joined(stage(keyed.join(counts, "key"), "shared"), compared, crowd)
+    labelled = _labelled(prints, classes, roots, "__id")
     rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row")]
     return labelled.select(
         "doc_id", F.lpad(F.lower(F.hex("__s.fp")), 16, "0").alias("fingerprint"), "component_id",

@@ -13,7 +13,7 @@ from tabloom.llm import imatch
 from tabloom.llm.exact import exact_duplicates, text_digest
 from tabloom.llm.graph import components
 from tabloom.llm.simhash import (
-    band_masks, close_pairs, finer_masks, forest, near_duplicates, similar_documents, simhash,
+    _joined, band_masks, close_pairs, finer_masks, forest, near_duplicates, similar_documents, simhash,
 )
 
 
@@ -138,6 +138,22 @@ def test_a_large_group_of_near_copies(spark):
     assert got == {i: 0 if i < 300 else i for i, _ in rows}
 
 
+def test_pairs_of_a_crowded_bucket(spark):
+    """All rows share one key, and each pair that is linked meets whichever chunks it is dealt to."""
+    linked = {(k, k + 500) for k in range(500)} | {(2000 + k, 2001 + k) for k in range(300)}
+    ids = [*range(1000), *range(2000, 2301)]
+    rows = spark.createDataFrame([(7, i, len(ids)) for i in ids], "key long, id long, n long")
+    links = spark.createDataFrame(sorted(linked), "a long, b long")
+
+    def compared(rows):
+        b = rows.select("key", F.col("id").alias("b"))
+        return (rows.select("key", F.col("id").alias("a")).join(links, "a").join(b, ["key", "b"])
+                .select("a", "b"))
+
+    found = {r["node"]: r["root"] for r in _joined(rows, compared, crowd=40).collect()}
+    assert found == {i: i % 500 if i < 1000 else 2000 for i in ids}
+
+
 def test_exact_duplicates(edges, nothing):
     assert exact_duplicates(nothing).count() == 0
     found = rows_of(exact_duplicates(edges, "doc_id", "text", F.col("kept").alias("own"),
