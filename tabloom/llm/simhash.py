@@ -15,8 +15,8 @@ edges of a spanning forest, never all its pairs.
 
 A radius of a few bits only finds texts that hardly differ: at a similarity of 0.8 (of sets of
 five-word shingles) about ten bits do, too many for bands. ``similar_documents`` therefore takes
-its buckets from minima of shingle hashes, compares within them by the same bit-sliced counting
-at a wide radius, and decides by the share of equal minima.
+its buckets from minima of shingle hashes, compares bits of these within them by the same
+bit-sliced counting at a wide radius (repeats count for nothing), and decides by the share of equal minima.
 """
 
 from __future__ import annotations
@@ -284,24 +284,38 @@ def _labelled(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str)
 
 MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
 ROWS = 4                # minima of a bucket's key
-BANDS = 12              # keys of a text: at a similarity of 0.8, one in 500 pairs shares none
+BANDS = 24              # keys of a text: at a similarity of 0.8, 3 pairs in a million share none
 CROWD = 512             # different texts of a bucket that are compared in one piece
-WIDE = 20               # bits by which near duplicates may differ
-SKETCHED = "struct<fp: bigint, keys: array<bigint>, sketch: binary>"
-
-
-def _sketch(text: bytes, width: int, a: np.ndarray, b: np.ndarray) -> tuple[int, list, bytes]:
-    blocks, low = [], np.full(MINIMA, 2**32 - 1, np.uint32)
-    for hashes in shingle_hashes(text, width):
-        blocks.append(hashes)
-        short = (hashes >> np.uint64(32)).astype(np.uint32)
-        for start in range(0, len(short), 2048):
-            part = short[start:start + 2048]
-            np.minimum(low, (a[:, None] * part + b[:, None]).min(axis=1), out=low)
+WIDE = 20               # of 64 bits of minima; at 0.8 one in ten differs, so one pair in 10**6 is lost
+SKETCHED = "struct<same: bigint, fp: bigint, keys: array<bigint>, sketch: binary>"
+
+
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, width)]))
+
+
+def _sketch(text: bytes, width: int, a: np.ndarray,
+            b: np.ndarray) -> tuple[int, int, list, bytes]:
+    """A hash of the set of shingles, their SimHash, keys, and a byte of each minimum: all of
+    the set alone, so that repeats count for nothing."""
+    hashes, low = shingle_set(text, width), np.full(MINIMA, 2**32 - 1, np.uint32)
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    for start in range(0, len(short), 2048):
+        part = short[start:start + 2048]
+        np.minimum(low, (a[:, None] * part + b[:, None]).min(axis=1), out=low)
     # The lowest value of many is near zero in its high bits; mix them before a byte is taken.
     mixed = (low * np.uint32(0x9E3779B1)) >> np.uint32(24)
     keys = [xxhash.xxh64_intdigest(low[i * ROWS:(i + 1) * ROWS].tobytes(), i) for i in range(BANDS)]
-    return _majority(blocks), keys, mixed.astype(np.uint8).tobytes()
+    blocks = (hashes[k:k + SHINGLES_AT_ONCE] for k in range(0, len(hashes), SHINGLES_AT_ONCE))
+    return (xxhash.xxh64_intdigest(hashes.tobytes(), SEED), _majority(blocks), keys,
+            mixed.astype(np.uint8).tobytes())
+
+
+def _bits(sketches: np.ndarray) -> np.ndarray:
+    """A bit of each of the last 64 minima: two texts differ in half the share of unequal ones."""
+    bits = np.ascontiguousarray(sketches[:, -BITS:] & 1)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
 def _sketches(text: Column, width: int) -> Column:
@@ -313,21 +327,22 @@ def _sketches(text: Column, width: int) -> Column:
     @F.arrow_udf(SKETCHED)
     def run(texts: pa.Array) -> pa.Array:
         found = [_sketch(t.as_buffer().to_pybytes(), width, a, b) for t in texts]
-        keys = np.array([x[1] for x in found], np.uint64).reshape(-1, BANDS).view(np.int64)
+        keys = np.array([x[2] for x in found], np.uint64).reshape(-1, BANDS).view(np.int64)
         return pa.StructArray.from_arrays([
             pa.array(np.array([x[0] for x in found], np.uint64).view(np.int64)),
+            pa.array(np.array([x[1] for x in found], np.uint64).view(np.int64)),
             pa.array(list(keys), pa.list_(pa.int64())),
-            pa.array([x[2] for x in found], pa.binary())], names=["fp", "keys", "sketch"])
+            pa.array([x[3] for x in found], pa.binary())], names=["same", "fp", "keys", "sketch"])
 
     return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
 def _alike(similarity: float, lanes: int):
-    """Edges between rows ``key, id, fp, sketch`` (sorted by key) of near duplicates."""
-    def edges(ids: np.ndarray, prints: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
+    """Edges between rows ``key, id, sketch`` (sorted by key) of near duplicates."""
+    def edges(ids: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
         ids, first = np.unique(ids, return_index=True)
-        prints, sketches = prints[first], sketches[first]
-        i, j = close_pairs(prints, WIDE)
+        sketches = sketches[first]
+        i, j = close_pairs(_bits(sketches), WIDE)
         keep = np.empty(len(i), bool)
         for k in range(0, len(i), 1 << 16):
             same = sketches[i[k:k + (1 << 16)]] == sketches[j[k:k + (1 << 16)]]
@@ -356,8 +371,7 @@ def _alike(similarity: float, lanes: int):
 
     def of(rows: pa.Table) -> pa.RecordBatch:
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8)
-        return edges(rows.column("id").to_numpy(), rows.column("fp").to_numpy().view(np.uint64),
-                     sketches.reshape(-1, MINIMA))
+        return edges(rows.column("id").to_numpy(), sketches.reshape(-1, MINIMA))
 
     return run
 
@@ -418,17 +432,17 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
                       _sketches(named(text_col), width).alias("__s"), *more)
     prints = stage(texts.select(
-        "*", F.xxhash64("__s.fp", "__s.sketch").alias("__id"),
+        "*", F.col("__s.same").alias("__id"),
         F.monotonically_increasing_id().alias("__row")), "prints")
-    slim = prints.select("doc_id", "__id", "__row", "__s.fp", "__s.keys", "__s.sketch")
-    classes = stage(_classes(slim, "__id", "fp", "keys", "sketch"), "classes")
+    slim = prints.select("doc_id", "__id", "__row", "__s.keys", "__s.sketch")
+    classes = stage(_classes(slim, "__id", "keys", "sketch"), "classes")
     known = classes.withColumnRenamed("__id", "id")
     keyed = known.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
     def compared(rows: DataFrame) -> DataFrame:
-        return (rows.select("key", "id").join(known.select("id", "fp", "sketch"), "id")
-                .select("key", "id", "fp", "sketch").repartition(_parts(df), "key")
+        return (rows.select("key", "id").join(known.select("id", "sketch"), "id")
+                .select("key", "id", "sketch").repartition(_parts(df), "key")
                 .sortWithinPartitions("key").mapInArrow(
                     _alike(similarity - slack, lanes), "a long, b long"))
 

@@ -154,6 +154,18 @@ def test_pairs_of_a_crowded_bucket(spark):
     assert found == {i: i % 500 if i < 1000 else 2000 for i in ids}
 
 
+def test_repeats_count_for_nothing(spark):
+    """Equal sets, and sets that hardly differ, with a line that comes twice or 101 times."""
+    rng, rows = random.Random(8), []
+    for base in range(20):
+        words = [f"w{rng.randrange(50_000)}" for _ in range(1000)]
+        line = [f"x{rng.randrange(50_000)}" for _ in range(12)]
+        for copy, (repeats, end) in enumerate([(2, "end"), (101, "end"), (101, "other")]):
+            rows.append((3 * base + copy, " ".join([*words, *line * repeats, end])))
+    got = similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i // 3 * 3 for i, _ in rows}
+
+
 def test_exact_duplicates(edges, nothing):
     assert exact_duplicates(nothing).count() == 0
     found = rows_of(exact_duplicates(edges, "doc_id", "text", F.col("kept").alias("own"),
