@@ -16,7 +16,7 @@ edges of a spanning forest, never all its pairs.
 A radius of a few bits only finds texts that hardly differ: at a similarity of 0.8 (of sets of
 five-word shingles) about ten bits do, too many for bands. ``similar_documents`` therefore takes
 its buckets from minima of shingle hashes, compares bits of these within them by the same
-bit-sliced counting at a wide radius (repeats count for nothing), and decides by the share of equal minima.
+bit-sliced counting at a wide radius (repeats count for nothing), and decides by the sets.
 """
 
 from __future__ import annotations
@@ -285,6 +285,7 @@ def _labelled(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str)
 MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
 ROWS = 4                # minima of a bucket's key
 BANDS = 24              # keys of a text: at a similarity of 0.8, 3 pairs in a million share none
+WEIGHT = 1 << 16        # bytes of shingle hashes from which a text counts as several
 CROWD = 512             # different texts of a bucket that are compared in one piece
 WIDE = 20               # of 64 bits of minima; at 0.8 one in ten differs, so one pair in 10**6 is lost
 SKETCHED = "struct<same: bigint, fp: bigint, keys: array<bigint>, sketch: binary>"
@@ -337,48 +338,115 @@ def _sketches(text: Column, width: int) -> Column:
     return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
 
 
-def _alike(similarity: float, lanes: int):
-    """Edges between rows ``key, id, sketch`` (sorted by key) of near duplicates."""
-    def edges(ids: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
-        ids, first = np.unique(ids, return_index=True)
-        sketches = sketches[first]
-        i, j = close_pairs(_bits(sketches), WIDE)
-        keep = np.empty(len(i), bool)
-        for k in range(0, len(i), 1 << 16):
-            same = sketches[i[k:k + (1 << 16)]] == sketches[j[k:k + (1 << 16)]]
-            keep[k:k + (1 << 16)] = same.mean(axis=1) >= similarity
-        root = forest(len(ids), i[keep], j[keep])
-        child = np.nonzero(root != np.arange(len(ids)))[0]
-        return record_batch({"a": ids[child], "b": ids[root[child]]}, EDGES)
-
+def _by_key(edges: Callable[[pa.Table], pa.RecordBatch], lanes: int, most: int = 1 << 25):
+    """``edges`` of rows sorted by key: of whole keys, ``lanes`` rows or ``most`` bytes at least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, held = [], 0
+        rest, held, size = [], 0, 0
         for batch in batches:
             rest.append(pa.Table.from_batches([batch]))
-            held += batch.num_rows
-            if held >= lanes:
+            held, size = held + batch.num_rows, size + batch.nbytes
+            if held >= lanes or size >= most:
                 rows = pa.concat_tables(rest)
                 keys = rows.column("key").to_numpy()
                 ends = np.nonzero(keys[1:] != keys[:-1])[0] + 1
+                step = max(1, min(lanes, most * held // max(1, size)))
                 begin = 0
                 for end in ends:
-                    if end - begin >= lanes:
-                        yield of(rows.slice(begin, end - begin))
+                    if end - begin >= step:
+                        yield edges(rows.slice(begin, end - begin))
                         begin = end
-                rest, held = [rows.slice(begin)], len(keys) - begin
+                rest = [rows.slice(begin)]
+                held, size = len(keys) - begin, rest[0].nbytes
         if held:
-            yield of(pa.concat_tables(rest))
-
-    def of(rows: pa.Table) -> pa.RecordBatch:
-        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8)
-        return edges(rows.column("id").to_numpy(), sketches.reshape(-1, MINIMA))
+            yield edges(pa.concat_tables(rest))
 
     return run
 
 
+def _candidates(rows: pa.Table, floor: float) -> tuple[np.ndarray, ...]:
+    """The ids, the row of each, and pairs with a share of ``floor`` equal minima or more."""
+    ids, first = np.unique(rows.column("id").to_numpy(), return_index=True)
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8)
+    sketches = sketches.reshape(-1, MINIMA)[first]
+    i, j = close_pairs(_bits(sketches), WIDE)
+    keep = np.empty(len(i), bool)
+    for k in range(0, len(i), 1 << 16):
+        same = sketches[i[k:k + (1 << 16)]] == sketches[j[k:k + (1 << 16)]]
+        keep[k:k + (1 << 16)] = same.mean(axis=1) >= floor
+    return ids, first, i[keep], j[keep]
+
+
+def _edges_of(ids: np.ndarray, root: np.ndarray) -> pa.RecordBatch:
+    child = np.nonzero(root != np.arange(len(ids)))[0]
+    return record_batch({"a": ids[child], "b": ids[root[child]]}, EDGES)
+
+
+def _alike(floor: float):
+    """Edges of the candidates among rows ``key, id, sketch``."""
+    def edges(rows: pa.Table) -> pa.RecordBatch:
+        ids, _, i, j = _candidates(rows, floor)
+        return _edges_of(ids, forest(len(ids), i, j))
+
+    return edges
+
+
+def joined_sets(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray,
+                similarity: float) -> np.ndarray:
+    """The least member of each one's component, by the pairs of sets that have the similarity.
+
+    Pairs that others have joined are not looked at again.
+    """
+    root, sizes = np.arange(len(sets)), np.array([len(x) for x in sets], np.int64)
+    keep = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - 1e-9
+    i, j = i[keep], j[keep]
+    if not len(i):
+        return root
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
+    used = np.unique(np.concatenate([i, j]))
+    known, place = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True)
+    own = dict(zip(used.tolist(), np.split(place, np.cumsum(sizes[used])[:-1]), strict=True))
+    mark = np.zeros(len(known), bool)
+    heads, starts = np.unique(i, return_index=True)
+    for head, others in zip(heads.tolist(), np.split(j, starts[1:]), strict=True):
+        others = others[root[others] != root[head]]
+        mark[own[head]] = True
+        shared = np.array([np.count_nonzero(mark[own[k]]) for k in others.tolist()], np.int64)
+        mark[own[head]] = False
+        near = others[shared >= similarity * (sizes[head] + sizes[others] - shared) - 1e-9]
+        if len(near):
+            one = np.unique(root[np.append(near, head)])
+            root[np.isin(root, one)] = one[0]
+    return root
+
+
+def _verified(similarity: float, floor: float):
+    """Edges of candidates among rows ``key, id, sketch, shingles`` whose sets are alike."""
+    def edges(rows: pa.Table) -> pa.RecordBatch:
+        ids, first, i, j = _candidates(rows, floor)
+        used, near = np.unique(np.concatenate([i, j]), return_inverse=True)
+        shingles = rows.column("shingles")
+        sets = [np.frombuffer(shingles[int(k)].as_buffer(), np.uint64) for k in first[used]]
+        part = joined_sets(sets, near[:len(i)], near[len(i):], similarity)
+        root = np.arange(len(ids))
+        root[used] = used[part]
+        return _edges_of(ids, root)
+
+    return edges
+
+
+def _sets(text: Column, width: int) -> Column:
+    @F.arrow_udf("binary")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t.as_buffer().to_pybytes(), width).tobytes()
+                         for t in texts], pa.binary())
+
+    return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
 def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd: int) -> DataFrame:
     """``node, root`` of what ``compared`` links within the keys of rows ``key, id, n, ...``, where
-    ``n`` is the number of a key's rows. No pair of a key is left out.
+    ``n`` is the number of a key's rows, or more for heavy ones. No pair of a key is left out.
 
     Keys of up to ``crowd`` rows are compared whole. Larger ones are first dealt at random into
     chunks of about ``crowd``, twice. What that joins needs no further comparison with each
@@ -403,13 +471,15 @@ def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd:
     sizes = rooted.groupBy("key", "root").count()
     left = stage(sizes.groupBy("key").agg(
         F.max_by("root", F.struct("count", "root")).alias("main"),
-        (F.sum("count") - F.max("count")).alias("rest")).where("rest > 0"), "left")
+        (F.sum("count") - F.max("count")).alias("rest"), F.sum("count").alias("all"))
+        .where("rest > 0"), "left")
     if left.isEmpty():
         return roots
-    r, a = F.ceil(F.col("rest") / crowd), F.ceil(F.col("n") / crowd)
+    rest = F.col("rest") * F.col("n") / F.col("all")
+    r, a = F.ceil(rest / crowd), F.ceil(F.col("n") / crowd)
     block = lambda i, j: F.xxhash64("key", F.lit(2), i, j)
     every = F.transform(F.sequence(F.lit(0), r - 1), lambda i: block(i, chunk(2, F.col("n"))))
-    others = F.transform(F.sequence(F.lit(0), a - 1), lambda j: block(chunk(3, F.col("rest")), j))
+    others = F.transform(F.sequence(F.lit(0), a - 1), lambda j: block(chunk(3, rest), j))
     blocks = stage(rooted.join(left, "key").select("key", "id", F.when(
         F.col("root") == F.col("main"), every).otherwise(F.array_union(every, others))
         .alias("blocks")), "blocks")
@@ -420,17 +490,23 @@ def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd:
 
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       *more: Column, width: int = 5, similarity: float = 0.8,
-                      slack: float = 0.03, crowd: int = CROWD, lanes: int = LANES) -> DataFrame:
+                      slack: float = 0.15, crowd: int = CROWD, lanes: int = LANES,
+                      again: Column | None = None) -> DataFrame:
     """Like ``near_duplicates``, for texts whose sets of shingles have a similarity (shared by
     all) of ``similarity`` or more: ``doc_id, fingerprint, component_id, kept`` and ``more``.
 
-    Similarity is estimated from 128 minima; ``slack`` below the limit still counts, so that few
-    pairs just above it are lost. A bucket of more than ``crowd`` different texts is compared in
-    chunks, each with every other one unless that can join nothing more (see ``_joined``). Texts without words are alike. Nulls, repeated rows, null ids and
-    empty tables as in ``near_duplicates``.
+    Texts that share a key are candidates where the share of 128 equal minima is at most
+    ``slack`` below the limit. The candidates that hang together are then compared by their
+    whole sets of hashed shingles, which alone decides. Buckets, and groups of candidates, of
+    more than ``crowd`` different texts are compared in chunks, each with every other one unless
+    that can join nothing more (see ``_joined``). ``again`` tells where the text is among
+    ``more``; otherwise it is written out besides. Texts without words are alike. Nulls,
+    repeated rows, null ids and empty tables as in ``near_duplicates``.
     """
+    kept_text = [] if again is not None else [named(text_col).alias("__text")]
+    again = F.col("__text") if again is None else again
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
-                      _sketches(named(text_col), width).alias("__s"), *more)
+                      _sketches(named(text_col), width).alias("__s"), *kept_text, *more)
     prints = stage(texts.select(
         "*", F.col("__s.same").alias("__id"),
         F.monotonically_increasing_id().alias("__row")), "prints")
@@ -439,16 +515,33 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = classes.withColumnRenamed("__id", "id")
     keyed = known.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-
-    def compared(rows: DataFrame) -> DataFrame:
-        return (rows.select("key", "id").join(known.select("id", "sketch"), "id")
-                .select("key", "id", "sketch").repartition(_parts(df), "key")
-                .sortWithinPartitions("key").mapInArrow(
-                    _alike(similarity - slack, lanes), "a long, b long"))
-
-    roots = _joined(stage(keyed.join(counts, "key"), "shared"), compared, crowd)
+    floor = similarity - slack
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(_parts(df), "key").sortWithinPartitions("key")
+
+    def guessed(rows: DataFrame) -> DataFrame:
+        rows = rows.select("key", "id").join(known.select("id", "sketch"), "id")
+        return dealt(rows.select("key", "id", "sketch")).mapInArrow(
+            _by_key(_alike(floor), lanes), "a long, b long")
+
+    def checked(rows: DataFrame) -> DataFrame:
+        return dealt(rows.select("key", "id", "sketch", "shingles")).mapInArrow(
+            _by_key(_verified(similarity, floor), lanes), "a long, b long")
+
+    groups = _joined(stage(keyed.join(counts, "key"), "shared"), guessed, crowd)
+    wanted = stage(groups.join(known.withColumnRenamed("id", "node").select(
+        "node", F.col("first.__row").alias("__row")), "node")
+        .select("__row", F.col("root").alias("key"), F.col("node").alias("id")), "wanted")
+    sets = stage(prints.select("__row", "__s.sketch", again.alias("__text")).join(wanted, "__row")
+                 .select("key", "id", "sketch", _sets(F.col("__text"), width).alias("shingles")),
+                 "sets")
+    # Long texts count for more than one, so that the bytes of a chunk are bounded too.
+    weights = stage(sets.groupBy("key").agg(F.greatest(
+        F.count(F.lit(1)), F.ceil(F.sum(F.length("shingles")) / WEIGHT)).alias("n")), "weights")
+    roots = _joined(sets.join(weights, "key"), checked, crowd)
     labelled = _labelled(prints, classes, roots, "__id")
-    rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row")]
+    rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row", "__text")]
     return labelled.select(
         "doc_id", F.lpad(F.lower(F.hex("__s.fp")), 16, "0").alias("fingerprint"), "component_id",
         "kept", *[named(c) for c in rest])

@@ -166,6 +166,28 @@ def test_repeats_count_for_nothing(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i // 3 * 3 for i, _ in rows}
 
 
+@pytest.mark.parametrize("crowd", [512, 40])
+def test_sets_decide_at_the_limit(spark, crowd):
+    """Lone pairs at 80 of 100 shingles go together, pairs at 79 of 100 do not."""
+    rng, rows, want = random.Random(9), [], {}
+    for base in range(0, 600, 2):
+        kept, own = (80, 10) if base % 4 else (79, 10)
+        words = [f"w{rng.randrange(50_000)}" for _ in range(kept + 4)]
+        for i, more in ((base, own), (base + 1, 100 - kept - own)):
+            rows.append((i, " ".join(words + [f"{i}x{k}" for k in range(more)])))
+            want[i] = base if kept == 80 else i
+    # A template: 78% of the shingles shared by all, which is 0.64 alike.
+    words = [f"t{k}" for k in range(160)]
+    for i in range(1000, 1100):
+        rows.append((i, " ".join(words + [f"{i}y{k}" for k in range(44)])))
+        want[i] = i
+    for i in range(1100, 1150):
+        rows.append((i, rows[-100][1].replace(f"{i - 100}y43", "other")))
+        want[i] = i - 100
+    got = similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), crowd=crowd)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+
+
 def test_exact_duplicates(edges, nothing):
     assert exact_duplicates(nothing).count() == 0
     found = rows_of(exact_duplicates(edges, "doc_id", "text", F.col("kept").alias("own"),
