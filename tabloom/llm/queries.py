@@ -15,8 +15,10 @@ from tabloom.llm.exact import exact_duplicates, text_digest
 from tabloom.llm.html_text import extract_text
 from tabloom.llm.imatch import edited_likeness
 from tabloom.llm.language_model import model_scores
+from tabloom.llm.merkle import document_manifest
 from tabloom.llm.packing import pack
 from tabloom.llm.quality import quality_scores
+from tabloom.llm.sharding import shard_rows
 from tabloom.llm.simhash import near_duplicates
 from tabloom.llm.token_counts import token_counts
 from tabloom.llm.token_files import read_index, write_token_files
@@ -100,3 +102,13 @@ FROM folded"""
 @_query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_scores(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(_table(spark, sf_dir, "documents"), 40)
+
+
+@_query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(_table(spark, sf_dir, "documents"))
