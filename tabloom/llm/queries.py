@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.functions.checkpoints import scratch_path
+from tabloom.llm.alignment import align_tokenizers
 from tabloom.llm.byte_pairs import decode, encode
 from tabloom.llm.exact import exact_duplicates, text_digest
 from tabloom.llm.html_text import extract_text
@@ -104,6 +105,12 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_scores(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"),
+                            path("piece_bpe_32k.model"))
+
+
 @_query
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(_table(spark, sf_dir, "documents"), 40)
