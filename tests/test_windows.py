@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 
 import pytest
@@ -99,7 +100,7 @@ def test_full_copies_of_one_row(spark):
     df = spark.range(0, 3000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).alias("k"))
     bounds = windows._find_bounds(df, [], ["k"], 12)
-    tagged = windows._tag(df.withColumn(windows.FROM, F.lit(0)), [], ["k"], bounds)
+    tagged = windows._tag(df, [], ["k"], bounds)
     assert tagged.where("k = 500").select(windows.SALT).distinct().count() >= 3
     out = t.window_columns(df, [{"func": "row_number", "new_column": "rn"},
                                 {"func": "rank", "new_column": "rk"}], "k", method="split",
@@ -172,3 +173,63 @@ def test_bad_arguments(skewed):
             t.window_columns(skewed, rank, "k", **kwargs)
     with pytest.raises(ValueError):
         t.window_columns(skewed, [{"func": "ntile", "new_column": "r"}], "k")
+
+
+def doubles(spark, n, parts):
+    """Numbers of very different sizes, with a few that are not finite in one partition."""
+    i = F.col("id")
+    x = (F.pmod(F.xxhash64(i), F.lit(10**9)) - 5e8) * F.pow(F.lit(10.0), i % 19 - 9)
+    return spark.range(0, n, numPartitions=7).select(
+        i, (i % parts).alias("p"), F.pmod(F.xxhash64(i, F.lit(1)), F.lit(n // 3)).alias("k"),
+        F.when(i % 50 == 3, None).otherwise(x).alias("x"),
+        F.when((i % parts == 1) & (i % 1000 == 1), float("inf")).when(
+            i % parts == 2, x * 1e292).otherwise(x / 3).alias("y"))
+
+
+ADDED = [{"func": "sum", "column": "x", "new_column": "sx"},
+         {"func": "avg", "column": "x", "new_column": "ax"},
+         {"func": "sum", "column": "y", "new_column": "sy"}]
+
+
+@pytest.mark.parametrize("partition", ["", "p"])
+def test_sums_of_doubles_agree_to_the_last_bit(spark, partition):
+    df = doubles(spark, 600_000 if not partition else 60_000, 3)
+    one = t.window_columns(df, ADDED, "k", "asc", partition, "plain")
+    two = t.window_columns(df.repartition(5), ADDED, "k", "asc", partition, "split", ranges=40)
+    names = ["id", *[F.hex(F.col(f["new_column"]).cast("string").cast("binary")).alias(
+        f["new_column"]) for f in ADDED]]
+    assert one.dtypes == two.dtypes
+    assert one.select(names).exceptAll(two.select(names)).isEmpty()
+
+
+def test_sums_of_doubles_are_right(spark):
+    rows = sorted(doubles(spark, 3_000, 3).where("p != 1").collect(), key=lambda r: r.k)
+    found = {r.id: r for r in t.window_columns(
+        doubles(spark, 3_000, 3).where("p != 1"), ADDED, "k", "asc", "", "plain").collect()}
+    for at in range(0, len(rows), 37):
+        own = [r.x for r in rows if r.k <= rows[at].k and r.x is not None]
+        assert found[rows[at].id].sx == math.fsum(own)
+        assert found[rows[at].id].ax == math.fsum(own) / len(own)
+    nothing = spark.createDataFrame([(1, None), (2, None), (3, float("nan")), (4, 1.0)],
+                                    "k int, x double")
+    for method in ("plain", "split"):
+        sums = t.window_columns(nothing, ADDED[:1], "k", method=method).orderBy("k").collect()
+        assert [str(r.sx) for r in sums] == ["None", "None", "nan", "nan"]
+    zeros = spark.createDataFrame([(1, 0.0), (2, -0.0)], "k int, x double")
+    assert [r.sx for r in t.window_columns(zeros, ADDED[:1], "k").collect()] == [0.0, 0.0]
+    fast = t.window_columns(nothing, ADDED[:1], "k", double_sums="fast")
+    assert "tabloom_fold" not in fast._jdf.queryExecution().toString()
+
+
+def test_far_rims(skewed, monkeypatch):
+    near = t.window_columns(skewed, NUMBERED, "k, id", "asc", "p", "split", ranges=12)
+    monkeypatch.setattr(windows, "MOST_RIM_ROWS", 0)
+    far = t.window_columns(skewed, NUMBERED, "k, id", "asc", "p", "split", ranges=12)
+    assert far.columns == near.columns and collected(far) == collected(near)
+
+
+def test_second_pass_is_narrow(skewed):
+    """Rows move once, before they are written; no join and no exchange after that."""
+    out = t.window_columns(skewed, RUNNING + NUMBERED, "k, id", "asc", "p", "split", ranges=12)
+    main = out._jdf.queryExecution().optimizedPlan().toString().split("Subquery")[0]
+    assert "Join" not in main and "Window" not in main and "Repartition" not in main
