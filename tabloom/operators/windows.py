@@ -47,7 +47,7 @@ RUNNING = ("sum", "avg", "count")
 KINDS = {name: name for name in (*RANKS, *OFFSETS, *RUNNING)}
 
 ROWS_PER_RANGE = 500_000
-RANGES_PER_CORE = 16       # several per core even out ranges that hash to one task
+RANGES_PER_CORE = 4        # several per core even out ranges that hash to one task
 MOST_RANGES = 20_000
 SAMPLE_PER_RANGE = 16
 SAMPLE_BYTES = 1 << 28     # size of the sample where keys are text
@@ -391,7 +391,7 @@ def _tag(df, parts, orders, bounds: Bounds) -> DataFrame:
 def _array_by(rows: DataFrame, number: str, value: Column, size: int) -> Column:
     """``value`` by ``number`` (0 to ``size`` - 1) as a constant array, null where there is none."""
     known = rows.select(F.col(number).cast("int").alias("at"), value.alias("value"))
-    none = rows.sparkSession.range(size).select(
+    none = rows.sparkSession.range(0, size, 1, 1).select(
         F.col("id").cast("int").alias("at"),
         F.lit(None).cast(known.schema["value"].dataType).alias("value"))
     whole = known.unionByName(none).groupBy("at").agg(
@@ -418,6 +418,8 @@ def _split(df: DataFrame, entries: list[Function], form: _Form, bounds: Bounds)
     ranged = stage(tagged.withColumns(local), "window")
     before = _carry(ranged, df, entries, form, folds)
     fields = [c for c in before.columns if c != PIECE]
+    if any(e.kind in OFFSETS for e in entries):
+        before = stage(before, "totals")    # read for the rims, too
     around = _array_by(before, PIECE, F.struct(*fields), bounds.pieces())
     rows = ranged.withColumn("__c", F.get(around, F.col(PIECE)))
     if any(e.kind in OFFSETS for e in entries):
@@ -439,10 +441,12 @@ def _grids(tagged: DataFrame, entries: list[Function], form: _Form, here, bounds
     whole = here.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     names = sorted({e.column for e in entries if _folded(tagged, e, form)})
     if names:
-        cut = tagged.where(F.col(BUCKET) >= 0).groupBy(PART).agg(F.struct(
+        # No filter here: pushed below the search, it would write each halving out twice.
+        cut = tagged.groupBy((F.col(PART) + 1).alias("__number")).agg(F.struct(
             *[_peak(tagged, n).alias(f"peak{i}") for i, n in enumerate(names)],
             *[_many(tagged, n).alias(f"many{i}") for i, n in enumerate(names)]).alias("grid"))
-        known = F.get(_array_by(cut, PART, F.col("grid"), max(bounds.parts) + 1), F.col(PART))
+        known = F.get(_array_by(cut, "__number", F.col("grid"), max(bounds.parts) + 2),
+                      F.col(PART) + 1)
 
     def grid(name: str) -> tuple[Column, Column]:
         i = names.index(name)
@@ -507,7 +511,7 @@ def _carry(ranged: DataFrame, df: DataFrame, entries: list[Function], form: _For
             continue
         columns["__c" + name[3:]] = F.sum(name).over(before)
         columns["__s" + name[3:]] = F.sum(name).over(same)
-    return stage(grouped.withColumns(columns).select(PIECE, *columns), "totals")
+    return grouped.withColumns(columns).select(PIECE, *columns)
 
 
 def _combine(df: DataFrame, e: Function, i: int, form: _Form,
@@ -583,9 +587,8 @@ def _with_rims(rows: DataFrame, df: DataFrame, entries: list[Function], form: _F
     # Around a range, the rims hold every row within reach, without a gap.
     order = W.partitionBy(PART).orderBy("__row")
     listed = F.collect_list("__values")
-    near = stage(near.withColumns({
-        "__back": listed.over(order.rowsBetween(-reach, -1)),
-        "__ahead": listed.over(order.rowsBetween(1, reach))}), "rims")
+    near = near.withColumns({"__back": listed.over(order.rowsBetween(-reach, -1)),
+                             "__ahead": listed.over(order.rowsBetween(1, reach))})
     back = _array_by(near.where(number == 1), PIECE, F.col("__back"), bounds.pieces())
     ahead = _array_by(near.where(number == F.col("__size")), PIECE, F.col("__ahead"),
                       bounds.pieces())
