@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,23 +27,51 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """``df`` written out once, so that every later reading sees the same rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+_OPEN: dict[str, str] = {}      # by application: the folder of the phase that is under way
+_CLOSED: dict[str, list[str]] = {}  # folders of phases that are over
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, removed when the session's JVM ends."""
-    run = f"{shared_folder(spark).rstrip('/')}/tabloom-{spark.sparkContext.applicationId}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(run)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    """A new path below the shared folder, removed when the session's JVM ends, or after the
+    phase that is under way (see ``phase``)."""
+    run, folder, files = _run_folder(spark)
     if not files.exists(folder):
         files.mkdirs(folder)
         files.deleteOnExit(folder)
-    return f"{run}/{name}-{uuid.uuid4().hex}"
+    own = _OPEN.get(spark.sparkContext.applicationId, "")
+    return f"{run}/{own}{name}-{uuid.uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession):
+    run = f"{shared_folder(spark).rstrip('/')}/tabloom-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run)
+    return run, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def phase(spark: SparkSession, name: str) -> Iterator[None]:
+    """Scratch tables written inside belong to this phase; those of phases that are over go now.
+
+    For work in phases whose results are written out one after the other: what a phase
+    gave must be written before the next one begins.
+    """
+    application = spark.sparkContext.applicationId
+    run, _, files = _run_folder(spark)
+    while _CLOSED.get(application):
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(
+            f"{run}/{_CLOSED[application].pop()}"), True)
+    release_shuffles(spark)
+    _OPEN[application] = f"phase-{name}-{uuid.uuid4().hex}/"
+    try:
+        yield
+    finally:
+        _CLOSED.setdefault(application, []).append(_OPEN.pop(application))
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that nobody holds any more."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
