@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.functions.checkpoints import stage
+from tabloom.functions.checkpoints import release_shuffles, stage
 from tabloom.llm.common import named, record_batch, ship
 from tabloom.llm.graph import components
 
@@ -263,7 +263,8 @@ def _parts(df: DataFrame) -> int:
 
 def _classes(prints: DataFrame, key: str, *same: str) -> DataFrame:
     """One row for all rows of a key, with the first of them; columns ``same`` are equal there."""
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+    size = [c for c in prints.columns if c == "__size"]
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row", *size)
     return prints.groupBy(key).agg(F.min(first).alias("first"),
                                    *[F.any_value(c).alias(c) for c in same])
 
@@ -285,7 +286,7 @@ def _labelled(prints: DataFrame, classes: DataFrame, roots: DataFrame, key: str)
 MINIMA = 128            # minima of a text's shingle hashes, a byte of each kept
 ROWS = 4                # minima of a bucket's key
 BANDS = 24              # keys of a text: at a similarity of 0.8, 3 pairs in a million share none
-WEIGHT = 1 << 16        # bytes of shingle hashes from which a text counts as several
+WEIGHT = 1 << 16        # bytes from which a text counts as several
 CROWD = 512             # different texts of a bucket that are compared in one piece
 WIDE = 20               # of 64 bits of minima; at 0.8 one in ten differs, so one pair in 10**6 is lost
 SKETCHED = "struct<same: bigint, fp: bigint, keys: array<bigint>, sketch: binary>"
@@ -420,13 +421,17 @@ def joined_sets(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray,
     return root
 
 
-def _verified(similarity: float, floor: float):
-    """Edges of candidates among rows ``key, id, sketch, shingles`` whose sets are alike."""
+def _verified(similarity: float, floor: float, width: int):
+    """Edges of candidates among rows ``key, id, sketch, text`` whose sets of shingles are alike.
+
+    Sets are made where they are compared: a text takes a fraction of its set's bytes on
+    the way there.
+    """
     def edges(rows: pa.Table) -> pa.RecordBatch:
         ids, first, i, j = _candidates(rows, floor)
         used, near = np.unique(np.concatenate([i, j]), return_inverse=True)
-        shingles = rows.column("shingles")
-        sets = [np.frombuffer(shingles[int(k)].as_buffer(), np.uint64) for k in first[used]]
+        texts = rows.column("text")
+        sets = [shingle_set(texts[int(k)].as_buffer().to_pybytes(), width) for k in first[used]]
         part = joined_sets(sets, near[:len(i)], near[len(i):], similarity)
         root = np.arange(len(ids))
         root[used] = used[part]
@@ -435,15 +440,6 @@ def _verified(similarity: float, floor: float):
     return edges
 
 
-def _sets(text: Column, width: int) -> Column:
-    @F.arrow_udf("binary")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t.as_buffer().to_pybytes(), width).tobytes()
-                         for t in texts], pa.binary())
-
-    return run(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
-
-
 def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd: int) -> DataFrame:
     """``node, root`` of what ``compared`` links within the keys of rows ``key, id, n, ...``, where
     ``n`` is the number of a key's rows, or more for heavy ones. No pair of a key is left out.
@@ -497,12 +493,13 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts that share a key are candidates where the share of 128 equal minima is at most
     ``slack`` below the limit. The candidates that hang together are then compared by their
-    whole sets of hashed shingles, which alone decides. Buckets, and groups of candidates, of
+    whole sets of hashed shingles, made from their texts, which alone decides. Buckets, and groups of candidates, of
     more than ``crowd`` different texts are compared in chunks, each with every other one unless
     that can join nothing more (see ``_joined``). ``again`` tells where the text is among
     ``more``; otherwise it is written out besides. Texts without words are alike. Nulls,
     repeated rows, null ids and empty tables as in ``near_duplicates``.
     """
+    spark = df.sparkSession
     kept_text = [] if again is not None else [named(text_col).alias("__text")]
     again = F.col("__text") if again is None else again
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
@@ -510,7 +507,8 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stage(texts.select(
         "*", F.col("__s.same").alias("__id"),
         F.monotonically_increasing_id().alias("__row")), "prints")
-    slim = prints.select("doc_id", "__id", "__row", "__s.keys", "__s.sketch")
+    slim = prints.select("doc_id", "__id", "__row", "__s.keys", "__s.sketch",
+                         F.coalesce(F.octet_length(again.cast("string")), F.lit(0)).alias("__size"))
     classes = stage(_classes(slim, "__id", "keys", "sketch"), "classes")
     known = classes.withColumnRenamed("__id", "id")
     keyed = known.select(F.explode(F.array_distinct("keys")).alias("key"), "id")
@@ -526,20 +524,24 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             _by_key(_alike(floor), lanes), "a long, b long")
 
     def checked(rows: DataFrame) -> DataFrame:
-        return dealt(rows.select("key", "id", "sketch", "shingles")).mapInArrow(
-            _by_key(_verified(similarity, floor), lanes), "a long, b long")
+        return dealt(rows.select("key", "id", "sketch", "text")).mapInArrow(
+            _by_key(_verified(similarity, floor, width), lanes), "a long, b long")
 
     groups = _joined(stage(keyed.join(counts, "key"), "shared"), guessed, crowd)
-    wanted = stage(groups.join(known.withColumnRenamed("id", "node").select(
-        "node", F.col("first.__row").alias("__row")), "node")
-        .select("__row", F.col("root").alias("key"), F.col("node").alias("id")), "wanted")
-    sets = stage(prints.select("__row", "__s.sketch", again.alias("__text")).join(wanted, "__row")
-                 .select("key", "id", "sketch", _sets(F.col("__text"), width).alias("shingles")),
-                 "sets")
+    release_shuffles(spark)
+    wanted = stage(groups.join(known.select(
+        F.col("id").alias("node"), "first.__row", "first.__size"), "node")
+        .select("__row", F.col("root").alias("key"), F.col("node").alias("id"), "__size"), "wanted")
     # Long texts count for more than one, so that the bytes of a chunk are bounded too.
-    weights = stage(sets.groupBy("key").agg(F.greatest(
-        F.count(F.lit(1)), F.ceil(F.sum(F.length("shingles")) / WEIGHT)).alias("n")), "weights")
-    roots = _joined(sets.join(weights, "key"), checked, crowd)
+    weights = stage(wanted.groupBy("key").agg(F.greatest(
+        F.count(F.lit(1)), F.ceil(F.sum("__size") / WEIGHT)).alias("n")), "weights")
+    whole = F.coalesce(again.cast("string"), F.lit("")).cast("binary")
+    rows = stage(prints.select("__row", "__s.sketch", whole.alias("text")).join(
+        wanted.join(weights, "key").drop("__size"), "__row").drop("__row"), "texts",
+        compression="zstd")
+    release_shuffles(spark)
+    roots = _joined(rows, checked, crowd)
+    release_shuffles(spark)
     labelled = _labelled(prints, classes, roots, "__id")
     rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row", "__text")]
     return labelled.select(
