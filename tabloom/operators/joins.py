@@ -14,13 +14,13 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.checkpoints import stage
 from tabloom.functions.params import (
-    choose, column, flag, hashable, is_text, row_hash, type_of,
+    choose, column, flag, is_text, row_hash, type_of,
 )
 
 HOW = {"left": "left", "right": "right", "inner": "inner", "outer": "full"}
@@ -33,8 +33,9 @@ IN_RIGHT = {"left": "inner", "inner": "inner", "right": "right", "full": "right"
 IN_LEFT = {"left": "left", "inner": "inner", "right": "inner", "full": "left"}
 
 HOT_ROWS = 1_000_000    # rows of one key that are too many for one task
-SAMPLE_HITS = 16        # rows of such a key which the sample is made to hold
-MOST_KEYS = 5_000       # keys handled apart; less frequent ones stay with the rest
+TRACKED = 1 << 17       # counters of the summary that finds such keys: two megabytes
+SUMMARIES = 64          # summaries of tasks that are merged side by side before the last merge
+KEY_BYTES = 1 << 26     # bytes of frequent keys up to which their table is broadcast
 LEFT_SPREAD, RIGHT_SPREAD = "__tabloom_left_spread", "__tabloom_right_spread"
 
 
@@ -53,8 +54,9 @@ def join_tables(
     apart: ``hot_keys="auto"`` looks for keys with more than ``hot_rows`` rows on the side
     Spark cannot cut, ``"all"`` on both sides of any join, for a join whose keys are grouped
     next (Spark then keeps its partitions whole). Both inputs are then written out once, so
-    that what comes before runs once and all parts see the same rows; the keys are found in
-    a sample. The result is the same in each case.
+    that what comes before runs once and all parts see the same rows. Frequent keys are found
+    by a summary of bounded size that tasks merge, counted exactly, and kept as a table: any
+    number of them, none on the driver. The result is the same in each case.
     """
     kind = choose(HOW, how, "join kind")
     if flag(is_duplicate or False):
@@ -71,10 +73,17 @@ def join_tables(
     if sides:
         left, right = _written(left, "left"), _written(right, "right")
     if sides and all(_alike(left, a, right, b) for a, b in pairs):
-        hot_left = _frequent_keys(left, left_keys, hot_rows) if "left" in sides else []
-        hot_right = _frequent_keys(right, right_keys, hot_rows) if "right" in sides else []
-        if hot_left or hot_right:
-            return _join_in_parts(left, right, left_keys, right_keys, kind, hot_left, hot_right)
+        found = [_frequent_keys(side, keys, hot_rows).select(
+            *_wide([f"k{i}" for i in range(len(pairs))], left, left_keys),
+            F.lit(name == "left").alias("in_left"), F.lit(name == "right").alias("in_right"))
+            for name, side, keys in (("left", left, left_keys), ("right", right, right_keys))
+            if name in sides]
+        names = [f"k{i}" for i in range(len(pairs))]
+        hot = stage(reduce(DataFrame.union, found).groupBy(*names).agg(
+            F.bool_or("in_left").alias("in_left"), F.bool_or("in_right").alias("in_right")),
+            "hot-keys")
+        if not hot.isEmpty():
+            return _join_in_parts(left, right, left_keys, right_keys, kind, hot)
     return _join(left, right, left_keys, right_keys, kind)
 
 
@@ -123,21 +132,38 @@ def _alike(left: DataFrame, a: str, right: DataFrame, b: str) -> bool:
     return x == y or (isinstance(x, T.IntegralType) and isinstance(y, T.IntegralType))
 
 
-def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> list[tuple]:
-    """Keys with about ``hot_rows`` rows or more; each of them is in the table."""
-    whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
-    slim = df.where(whole).select(*[column(df, k).alias(f"k{i}") for i, k in enumerate(keys)])
-    sample = slim.sample(min(1.0, SAMPLE_HITS / hot_rows), seed=1)
-    counted = sample.groupBy(*slim.columns).agg(F.count(F.lit(1)).alias("n"))
-    often = counted.where(F.col("n") >= SAMPLE_HITS // 2)
-    found = often.orderBy(F.desc("n")).limit(MOST_KEYS).drop("n").collect()
-    # NaN does not equal itself in Python; rows with it stay with the rest.
-    return [k for k in map(hashable, found) if all(v == v for v in k)]
+def _wide(names: list[str], df: DataFrame, keys: list[str]) -> list[Column]:
+    """Key columns with whole numbers of one width, whichever side they are from."""
+    return [F.col(n).cast("bigint").alias(n) if isinstance(
+        type_of(df, column(df, k)), T.IntegralType) else F.col(n)
+        for n, k in zip(names, keys, strict=True)]
 
 
-def _join_in_parts(
-    left, right, left_keys, right_keys, kind, hot_left: list[tuple], hot_right: list[tuple]
-) -> DataFrame:
+def _frequent_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """The keys (``k0``, ``k1``, ...) with ``hot_rows`` rows or more.
+
+    A summary of ``TRACKED`` counters finds hashes of keys that may be that frequent; it misses
+    none that holds more than 3.5 / ``TRACKED`` of all rows, and a rarer one is
+    no burden for a task. Rows with these hashes are then counted by their keys.
+    """
+    whole = reduce(and_, [column(df, k).isNotNull() for k in keys])
+    names = [f"k{i}" for i in range(len(keys))]
+    slim = df.where(whole).select(
+        *[column(df, k).alias(n) for k, n in zip(keys, names, strict=True)])
+    hashed = slim.withColumn("hash", F.xxhash64(*names))
+    # Task summaries meet in a few places first, so that no task merges all of them.
+    merged = hashed.groupBy((F.spark_partition_id() % SUMMARIES).alias("place")).agg(
+        F.expr(f"approx_top_k_accumulate(hash, {TRACKED})").alias("state"))
+    listed = merged.agg(F.expr(f"approx_top_k_combine(state, {TRACKED})").alias("state")).select(
+        F.explode(F.expr(f"approx_top_k_estimate(state, {TRACKED})")).alias("top"))
+    often = stage(listed.where(F.col("top.count") >= hot_rows).select("top.item"), "often")
+    # At most `TRACKED` numbers, whatever the table.
+    counted = hashed.join(F.broadcast(often), F.col("hash") == F.col("item"), "left_semi").groupBy(
+        *names).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") >= hot_rows).select(*names)
+
+
+def _join_in_parts(left, right, left_keys, right_keys, kind: str, hot: DataFrame) -> DataFrame:
     """Frequent keys apart from the rest, each part as a join Spark can cut.
 
     A key frequent on the right occurs there, so left rows with it always match:
@@ -145,34 +171,31 @@ def _join_in_parts(
     The mirrored statement holds for keys frequent on the left; a key frequent on
     both sides is an inner join.
     """
-    in_right, in_left = set(hot_right), set(hot_left)
-    both = in_right & in_left
+    names = [f"k{i}" for i in range(len(left_keys))]
+    seen = hot.agg(
+        F.bool_or(F.col("in_left") & F.col("in_right")), F.bool_or(~F.col("in_left")),
+        F.bool_or(~F.col("in_right")),
+        F.sum(sum((F.octet_length(F.col(n).cast("string")) for n in names), F.lit(0)))).first()
     groups = [
-        (both, "inner"),
-        (in_right - both, IN_RIGHT[kind]),
-        (in_left - both, IN_LEFT[kind]),
+        (F.col("in_left") & F.col("in_right"), "inner"),
+        (~F.col("in_left"), IN_RIGHT[kind]),
+        (~F.col("in_right"), IN_LEFT[kind]),
     ]
-    kinds = [type_of(left, column(left, k)) for k in left_keys]
-    schema = T.StructType([
-        T.StructField(f"k{i}", T.LongType() if isinstance(k, T.IntegralType) else k)
-        for i, k in enumerate(kinds)
-    ])
+    small = seen[3] <= KEY_BYTES
 
-    def pick(side: DataFrame, keys: list[str], values: set[tuple], how: str) -> DataFrame:
+    def pick(side: DataFrame, keys: list[str], values: DataFrame, how: str) -> DataFrame:
         """Rows with one of the keys (``left_semi``) or with none (``left_anti``)."""
-        # At most a few thousand keys, see MOST_KEYS.
-        table = F.broadcast(side.sparkSession.createDataFrame(sorted(values, key=repr), schema))
+        # Beyond the bound Spark decides; it can cut the large side of these joins.
+        table = F.broadcast(values) if small else values
         match = reduce(and_, [
-            F.col(f"s.`{k}`") == F.col(f"h.k{i}") for i, k in enumerate(keys)
-        ])
+            F.col(f"s.`{k}`") == F.col(f"h.{n}") for n, k in zip(names, keys, strict=True)])
         return side.alias("s").join(table.alias("h"), match, how)
 
-    joined = [_join(
-        pick(left, left_keys, in_left | in_right, "left_anti"),
-        pick(right, right_keys, in_left | in_right, "left_anti"), left_keys, right_keys, kind,
-    )]
-    for values, part_kind in groups:
-        if values:
+    joined = [_join(pick(left, left_keys, hot, "left_anti"), pick(right, right_keys, hot, "left_anti"),
+                    left_keys, right_keys, kind)]
+    for there, (chosen, part_kind) in zip(seen[:3], groups, strict=True):
+        if there:
+            values = hot.where(chosen)
             joined.append(_join(
                 pick(left, left_keys, values, "left_semi"),
                 pick(right, right_keys, values, "left_semi"), left_keys, right_keys, part_kind,

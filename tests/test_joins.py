@@ -102,7 +102,7 @@ def test_frequent_pairs(spark):
         F.lit(1).alias("j"), F.when(F.col("id") % 3 == 0, F.col("id").cast("string"))
         .otherwise("a").alias("j2"))
     on = [{"left_on": "k", "right_on": "j"}, {"left_on": "k2", "right_on": "j2"}]
-    assert joins._frequent_keys(right, ["j", "j2"], 50) == [(1, "a")]
+    assert [tuple(r) for r in joins._frequent_keys(right, ["j", "j2"], 50).collect()] == [(1, "a")]
     out = t.join_tables(left, right, "outer", on, hot_keys="auto", hot_rows=50)
     plain = t.join_tables(left, right, "outer", on, hot_keys=None)
     assert collected(out) == collected(plain) and out.count() == 200 + 2 + 100
@@ -151,6 +151,42 @@ def test_null_keys_of_a_full_join_are_spread(spark):
             spark.conf.set(k, v)
 
 
+def test_very_many_frequent_keys(spark, monkeypatch):
+    """20,000 keys are joined apart, by a table that the driver never sees."""
+    left = spark.range(0, 25_000).select(F.col("id").alias("k"))
+    right = spark.range(0, 205_000).select(
+        F.when(F.col("id") < 200_000, F.col("id") % 20_000).otherwise(F.col("id")).alias("j"),
+        F.col("id").alias("w"))
+    assert joins._frequent_keys(right, ["j"], 10).count() == 20_000
+    assert joins._frequent_keys(right, ["j"], 11).count() == 0
+    seen = []
+    collect = type(right).collect
+
+    def watched(self):
+        rows = collect(self)
+        seen.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(right), "collect", watched)
+    out = t.join_tables(left, right, "left", ON, hot_keys="auto", hot_rows=10)
+    assert all(n <= 1 for n in seen)
+    plain = t.join_tables(left, right, "left", ON)
+    assert out.exceptAll(plain).isEmpty() and out.count() == plain.count() == 205_000
+    monkeypatch.setattr(joins, "KEY_BYTES", 0)
+    large = t.join_tables(left, right, "outer", ON, hot_keys="all", hot_rows=10)
+    assert large.exceptAll(t.join_tables(left, right, "outer", ON)).isEmpty()
+
+
+def test_frequent_keys_that_are_not_numbers(spark):
+    right = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, float("nan")).when(F.col("id") % 3 == 1, -0.0).otherwise(
+            F.when(F.col("id") % 2 == 0, 0.0).otherwise(F.col("id"))).alias("j"))
+    left = spark.createDataFrame([(float("nan"),), (0.0,), (5.0,), (None,)], "k double")
+    out = t.join_tables(left, right, "outer", ON, hot_keys="all", hot_rows=400)
+    assert collected(out.selectExpr("CAST(k AS STRING)", "CAST(j AS STRING)")) == collected(
+        t.join_tables(left, right, "outer", ON).selectExpr("CAST(k AS STRING)", "CAST(j AS STRING)"))
+
+
 def test_hot_join_reads_each_input_once(spark, table):
     right = table("events").select("event_id", "event_type")
     left = right.select(F.col("event_type").alias("k")).distinct()
