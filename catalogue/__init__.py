@@ -34,4 +34,4 @@ def on(name: str, table: str, columns: str, apply: Callable[[DataFrame], DataFra
 
 
 def load_all() -> None:
-    from catalogue import columns, dates, joins, numbers, sources, texts, windows  # noqa: F401
+    from catalogue import columns, dates, joins, numbers, sketches, sources, texts, windows  # noqa: F401, E501

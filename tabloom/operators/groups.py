@@ -81,12 +81,9 @@ WHOLE_GROUP_AGGREGATES = {
 }
 
 
-# Aggregates whose arguments are SQL text: names or expressions, separated by commas.
-SQL_AGGREGATES = frozenset(
-    "approx_percentile percentile_approx percentile percentile_cont percentile_disc corr covar_pop "
-    "covar_samp max_by min_by regr_avgx regr_avgy regr_count regr_intercept regr_r2 regr_slope "
-    "regr_sxx regr_sxy regr_syy histogram_numeric count_min_sketch bitmap_construct_agg "
-    "bitmap_or_agg hll_union_agg grouping approx_top_k product try_sum try_avg".split())
+# Aggregates of an ordered group: ``x, fraction`` stands for WITHIN GROUP (ORDER BY x).
+ORDERED_AGGREGATES = ("percentile_cont", "percentile_disc")
+NAME = re.compile(r"[a-z_][a-z0-9_]*(\.[a-z_][a-z0-9_]*){0,2}$")
 
 
 def group_rows(
@@ -97,7 +94,8 @@ def group_rows(
 
     ``index`` entries and ``col`` are column names or expressions; ``col`` may also
     be ``*`` or ``distinct x``, and several arguments (``x, 0.5``) where the aggregate takes
-    them. Some aggregates hold all values of a group at once (``collect_list`` and the
+    them. Any aggregate the session knows is allowed, registered ones too; ``percentile_cont``
+    and ``percentile_disc`` take ``x, fraction``. Some aggregates hold all values of a group at once (``collect_list`` and the
     like); with ``max_group_rows`` the groups are counted first, and one that is larger is
     an error, never cut.
     """
@@ -115,9 +113,11 @@ def group_rows(
 def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
     name, text = entry["agg_func"].strip().lower(), str(entry["col"]).strip()
     known = NUMERIC_AGGREGATES | AGGREGATES | WHOLE_GROUP_AGGREGATES
-    if name not in known and name not in SQL_AGGREGATES:
-        raise ValueError(
-            f"unknown aggregate {name!r}; expected one of {sorted({*known, *SQL_AGGREGATES})}")
+    if name not in known and name not in (*ORDERED_AGGREGATES, "product") and not (
+            NAME.match(name) and df.sparkSession.catalog.functionExists(name)):
+        raise ValueError(f"unknown aggregate {name!r}; the session has no function of that name")
+    if name in ("grouping", "grouping_id"):
+        raise ValueError(f"{name} tells grouping sets apart, and there is only one")
     if text == "*":
         if name != "count":
             raise ValueError(f"{name}(*) has no meaning")
@@ -125,6 +125,13 @@ def _aggregate(df: DataFrame, entry: Mapping[str, Any]) -> Column:
     distinct = DISTINCT.match(text)
     if distinct:
         return _distinct(name, df, distinct.group(1))
+    if name in ORDERED_AGGREGATES:
+        value, _, fraction = text.rpartition(",")
+        if not value:
+            raise ValueError(f"{name} needs a value and a fraction, as in 'x, 0.5'")
+        return F.expr(f"{name}({fraction}) WITHIN GROUP (ORDER BY {value})")
+    if name == "product":
+        return F.product(column_or_expression(df, text))
     if not has_column(df, text) and (name not in known or _several(text)):
         return F.expr(f"{name}({text})")
     col = column_or_expression(df, text)
