@@ -13,6 +13,8 @@ from tabloom.functions.params import (
     choose, column_or_expression, is_text, name_list, row_hash,
 )
 
+SAMPLED_KEYS = 4_096     # keys that one round of looking for the last of the best rows draws
+
 DIRECTIONS = {
     "ASC": Column.asc,
     "ASC NULLS FIRST": Column.asc_nulls_first,
@@ -80,12 +82,93 @@ def top_rows(
 ) -> DataFrame:
     """Order and limit in one step: every task keeps only its own best rows.
 
-    They meet in one task; for a limit too large for that, ``spread`` sorts by ranges and
-    takes the first of them as ``limit_rows`` does.
+    They meet in one task. For a limit too large for that, ``spread`` looks for the key of the
+    last row that is kept, by sampled keys and counts, and moves and sorts the rows up to that
+    key only: about ``row_limit`` of them, whatever the size of the table. ``df`` is read
+    several times then (the sort columns, but for the last time) and must give the same rows.
+    """
+    if not spread or df.isStreaming:
+        return limit_rows(order_rows(df, columns, order, spread_ties=False), row_limit)
+    limit = int(row_limit)
+    direction = " ".join(order.upper().split())
+    choose(DIRECTIONS, direction, "direction")
+    key = _sort_key(df, columns, direction)
+    up_to = _last_key(df, key, limit, direction.startswith("DESC"))
+    if up_to is None:
+        return order_rows(df, columns, order)
+    last, before, through = up_to
+    ahead = key > last if direction.startswith("DESC") else key < last
+    if through > 2 * limit > 0:
+        # One key holds more rows than there is room for; any of them will do.
+        some = limit_rows(df.where(key == last), limit - before, spread=True)
+        return order_rows(df.where(ahead).union(some), columns, order)
+    found = limit_rows(order_rows(df.where(ahead | (key == last)), columns, order), limit, True)
+    return order_rows(found, columns, order)
+
+
+def _sort_key(df: DataFrame, columns: str | Iterable[str], direction: str) -> Column:
+    """One value that sorts as the columns do: structs have nulls first, the larger ones last."""
+    flagged = direction in ("ASC NULLS LAST", "DESC NULLS FIRST")
+    fields = []
+    for i, name in enumerate(name_list(columns)):
+        value = column_or_expression(df, name)
+        if flagged:
+            fields.append(value.isNull().alias(f"n{i}"))
+        fields.append(value.alias(f"k{i}"))
+    return F.struct(*fields)
+
+
+def _last_key(df: DataFrame, key: Column, limit: int,
+              descending: bool) -> tuple[Column, int, int] | None:
+    """A key at or a little behind that of row number ``limit``, with the rows before it and
+    those through it; None where there are no more rows than that.
+
+    Each round samples the keys that are left, counts the rows up to a few of them in one
+    pass, and goes on with the rows up to the best.
     """
-    ordered = order_rows(df, columns, order, spread_ties=spread)
-    found = limit_rows(ordered, row_limit, spread)
-    return order_rows(found, columns, order) if spread else found
+    keys = df.select(key.alias("key"))
+    rows, within = keys.count(), F.lit(True)
+    if rows <= limit:
+        return None
+    best = None
+    while True:
+        held = best[2] if best else rows
+        sample = keys.where(within).sample(min(1.0, SAMPLED_KEYS / held), seed=held % 997)
+        drawn = sample.agg(F.sort_array(F.collect_list("key"), asc=not descending).alias("k"))
+        size = drawn.select(F.size("k")).first()[0]
+        at = limit * size / held
+        # The likely place with room for chance, and some further behind.
+        places = sorted({min(size - 1, int(at + 3 * at**0.5 + 1) + step)
+                         for step in (0, *(1 << j for j in range(12)))}) if size else []
+        picked = stage(drawn.select(F.explode(F.array(*[F.get("k", F.lit(p)) for p in places]))
+                                    .alias("key")), "picked") if places else None
+        if picked is None:
+            break
+        listed = picked.agg(F.sort_array(F.collect_list("key")).alias("k")).scalar()
+        tests = []
+        for j in range(len(places)):
+            pick = F.get(listed, F.lit(j))
+            ahead = F.col("key") > pick if descending else F.col("key") < pick
+            tests += [F.count_if(ahead).alias(f"before{j}"),
+                      F.count_if(ahead | (F.col("key") == pick)).alias(f"through{j}")]
+        counted = keys.where(within).agg(*tests).first()
+        found = [(counted[f"through{j}"], counted[f"before{j}"], j) for j in range(len(places))
+                 if counted[f"through{j}"] >= limit]
+        if not found or min(found)[0] >= held:
+            break
+        through, before, j = min(found)
+        last = F.get(listed, F.lit(j))
+        best = (last, before, through)
+        within = F.col("key") >= last if descending else F.col("key") <= last
+        if through <= 2 * limit or before < limit:
+            break
+    return best or _whole(keys, descending, rows)
+
+
+def _whole(keys: DataFrame, descending: bool, rows: int) -> tuple[Column, int, int]:
+    """The last key of all, for a table whose sample told nothing."""
+    end = keys.agg((F.min("key") if descending else F.max("key")).alias("k")).scalar()
+    return end, rows - keys.where(F.col("key") == end).count(), rows
 
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:

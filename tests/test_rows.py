@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabloom as t
+from tabloom.operators import rows
 
 
 def test_filter(spark):
@@ -67,6 +68,41 @@ def test_large_limits_are_spread(spark):
     assert "TakeOrdered" not in best._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("order", ["ASC", "DESC", "ASC NULLS LAST", "DESC NULLS FIRST"])
+def test_large_top_rows_move_few_rows(spark, monkeypatch, order):
+    """The same rows as a full sort gives, out of about as many as are kept."""
+    i = F.col("id")
+    df = spark.range(0, 60_000, numPartitions=6).select(
+        "id", F.when(i % 97 == 0, None).otherwise((i * 7919) % 50_021).alias("v"),
+        F.when(i % 3 == 0, F.lit("same")).otherwise(F.md5(i.cast("string"))).alias("s"))
+    monkeypatch.setattr(rows, "SAMPLED_KEYS", 200)
+    written, write = [], rows.stage
+    monkeypatch.setattr(rows, "stage", lambda d, name: written.append(d) or write(d, name))
+    for columns, limit in (("v, id", 5_000), ("s, v, id", 700), ("v, id", 59_999), ("v, id", 60_001),
+                           ("id % 7, s, id", 30_000)):
+        written.clear()
+        found = t.top_rows(df, columns, limit, order, spread=True)
+        want = t.order_rows(df, columns, order).limit(limit)
+        assert [tuple(r) for r in found.collect()] == [tuple(r) for r in want.collect()]
+        most = [d.count() for d in written if "id" in d.columns]
+        assert sum(most) <= 2 * limit
+
+
+def test_large_top_rows_of_one_key(spark, monkeypatch):
+    """A key with more rows than there is room for gives any of them."""
+    df = spark.range(0, 30_000, numPartitions=6).select(
+        "id", F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 11).alias("v"))
+    for limit in (100, 9_000, 16_000, 25_000):
+        found = t.top_rows(df, "v", limit, spread=True).collect()
+        assert [r.v for r in found] == [r.v for r in df.orderBy("v").limit(limit).collect()]
+        assert len({r.id for r in found}) == limit
+    assert t.top_rows(df, "v", 0, spread=True).count() == 0
+    assert t.top_rows(df.where("id < 0"), "v", 5, spread=True).count() == 0
+    nans = spark.createDataFrame([(float("nan"),), (1.0,), (None,), (2.0,)], "v double")
+    assert [str(r.v) for r in t.top_rows(nans, "v", 3, "DESC", spread=True).collect()] == [
+        "nan", "2.0", "1.0"]
+
+
 def test_order_spreads_a_key_that_was_brought_together(spark):
     """Different rows of one key, all in one partition after a shuffle on it."""
     df = spark.range(0, 40_000).select(
