@@ -21,6 +21,9 @@ from tabloom.llm.common import ids_and_bytes, named, pieces, record_batch, ship
 LONG = 1 << 16      # characters from which on the next safe place is looked for
 SLICE = 1 << 22     # bytes handled at once
 SAFE = re.compile(r"(?<=[A-Za-z0-9])[ \n]")
+# Unicode's white space. A run that long is taken out of the pattern search.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+BLANK_RULE = r"|\s+(?!\S)|\s+"     # how patterns end in which all blanks but the last are a match
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
@@ -45,22 +48,42 @@ def safe_pieces(text: str, long: int = LONG) -> Iterator[str]:
     yield text[start:]
 
 
+def ids_of(known, text: str, long: int = LONG) -> np.ndarray:
+    """The library's ids of a text of any length."""
+    out: list[np.ndarray] = []
+
+    def add(ids: list[int]) -> None:
+        out.append(np.array(ids, "<u4"))
+
+    start = 0
+    if known._pat_str.endswith(BLANK_RULE) and r"\r\n" not in known._pat_str:
+        for run in BLANKS.finditer(text):
+            for piece in safe_pieces(text[start:run.start()], long):
+                add(known.encode_ordinary(piece))
+            # Before a mark, the last blank belongs to what follows.
+            start = run.end() if run.end() == len(text) else run.end() - 1
+            add(known._encode_single_piece(text[run.start():start]))
+    for piece in safe_pieces(text[start:], long):
+        add(known.encode_ordinary(piece))
+    return np.concatenate(out)
+
+
 def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text", long: int = LONG) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit integers as bytes) of every row.
 
     Special strings in a text are ordinary text. Null and empty texts have no ids; repeated
-    rows are encoded each; a null id stays null. Further columns are not read.
+    rows are encoded each; a null id stays null. Texts may be of any length and hold runs of
+    any length; a task's memory grows with its longest text. An empty table gives no rows.
+    Further columns are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoding(ranks, pattern)
         for batch in batches:
             for some in pieces(batch, SLICE):
-                ids = [b"".join(np.array(known.encode_ordinary(p), "<u4").tobytes() for p in
-                                safe_pieces(t.as_buffer().to_pybytes().decode("utf-8", "replace"),
-                                            long))
-                       for t in some.column("text")]
+                ids = [ids_of(known, t.as_buffer().to_pybytes().decode("utf-8", "replace"),
+                              long).tobytes() for t in some.column("text")]
                 yield record_batch({"doc_id": some.column("doc_id"), "ids": ids}, ENCODED)
 
     slim = ids_and_bytes(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -69,7 +92,8 @@ def encode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
 
 def decode(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
            ids_col: str = "ids") -> DataFrame:
-    """``doc_id``, ``ids`` and ``decoded`` (raw bytes); null ids decode to null."""
+    """``doc_id``, ``ids`` and ``decoded`` (raw bytes); null ids decode to null, ids of an empty
+    text to no bytes. Rows of any number of ids; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoding(ranks, pattern)

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from llm_helpers import edges, nothing  # noqa: F401
 from tabloom.functions.checkpoints import scratch_path
-from tabloom.llm.byte_pairs import decode, encode, encoding, safe_pieces
+from tabloom.llm.byte_pairs import decode, encode, encoding, ids_of, safe_pieces
 from tabloom.llm.encoding import Encoder, encoder
 from tabloom.llm.packing import pack, plan
 from tabloom.llm.token_counts import Counter, counter, token_counts
@@ -173,3 +173,24 @@ def test_digests(edges):
     """What the query derives from the ids."""
     one = encode(edges, RANKS, PATTERN).select("ids", F.sha2("ids", 256).alias("d")).first()
     assert hashlib.sha256(bytes(one["ids"])).hexdigest() == one["d"]
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "é", "!", "\x1c", "\u2003", "7", "ab"])
+def test_runs_of_any_length(unit):
+    """Short runs as the library gives them; long ones, which it cannot search, by their matches."""
+    known = encoding(RANKS, PATTERN)
+    for around in (("", ""), ("a", "b"), ("x ", " y z"), ("a\n", "\t!"), ("", "\u3000é"), ("!", "")):
+        text = around[0] + unit * 9_000 + around[1]
+        assert ids_of(known, text).tolist() == known.encode_ordinary(text)
+        twice = text + " mid " + text
+        assert ids_of(known, twice, long=50).tolist() == known.encode_ordinary(twice)
+    long = "start " + unit * 5_000_000 + " end"
+    ids = ids_of(known, long)
+    assert known.decode(ids.tolist()) == long
+
+
+def test_a_row_of_blanks_kills_no_job(spark):
+    rows = [(1, "a" + " " * 2_000_000 + "b"), (2, "\n" * 1_500_000), (3, "plain")]
+    ids = encode(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, PATTERN)
+    found = {r["doc_id"]: r["decoded"] for r in decode(ids, RANKS, PATTERN).collect()}
+    assert found == {i: t.encode() for i, t in rows}
