@@ -76,3 +76,19 @@ add("group_product", lambda spark, sf: t.group_rows(
         {"agg_func": "product", "col": "1 - l_discount", "col_name": "v"}]).selectExpr(
             "l_orderkey", "round(v, 9) AS v"),
     "SELECT l_orderkey, round(product(1 - l_discount), 9) AS v FROM lineitem GROUP BY 1")
+
+# All groups but the small ones of the test tables are found by narrowing.
+add("group_percentiles_large", lambda spark, sf: t.group_percentiles(
+    load(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice",
+    {"low": 0.1, "middle": 0.5, "most": 1.0}, held=200).selectExpr(
+        "l_returnflag", "round(low, 6) AS low", "round(middle, 6) AS middle", "most"),
+    """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 6) AS low,
+       round(quantile_cont(l_extendedprice, 0.5), 6) AS middle, max(l_extendedprice) AS most
+       FROM lineitem GROUP BY 1""")
+add("group_mode_large", lambda spark, sf: t.group_mode(
+    load(spark, sf, "lineitem"), "l_returnflag, l_linestatus", "l_partkey", "part"),
+    """SELECT l_returnflag, l_linestatus, l_partkey AS part FROM (
+         SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus
+           ORDER BY n DESC, l_partkey) AS r FROM (
+           SELECT l_returnflag, l_linestatus, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2, 3))
+       WHERE r = 1""")

@@ -12,6 +12,7 @@ from tabloom.operators.numeric import calculate, column_column_numeric, column_c
 from tabloom.operators.rows import (
     append_rows, filter_rows, limit_rows, order_rows, preview, top_rows,
 )
+from tabloom.operators.selection import group_mode, group_percentiles
 from tabloom.operators.sketches import merge_sketches, sketch_states, sketch_values
 from tabloom.operators.text import (
     concat_columns, format_text, replace_text, split_column, text_operations,
@@ -26,7 +27,7 @@ __all__ = [
     "OPERATORS", "append_rows", "calculate", "change_column_type", "column_column_numeric",
     "column_constant_numeric", "concat_columns", "connection_options", "constant_columns",
     "date_operations", "drop_columns", "drop_view", "fill_null", "filter_rows", "format_text",
-    "group_rows", "join_tables", "limit_rows", "map_cases", "map_column", "merge_sketches",
+    "group_mode", "group_percentiles", "group_rows", "join_tables", "limit_rows", "map_cases", "map_column", "merge_sketches",
     "order_rows",
     "preview", "publish_view", "read_csv", "read_jdbc", "read_tenant_csv", "rename_columns",
     "replace_text", "run_steps", "scan_view", "select_columns", "set_column_value",
