@@ -1,9 +1,12 @@
 import math
+import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import tabloom as t
+from tabloom.operators import mapping
 
 
 @pytest.fixture
@@ -86,3 +89,57 @@ def test_operators(df, ansi):
             case(df, [branch("1", ("s", bad, "x"))], "0")
     with pytest.raises(ValueError):
         case(df, [], "0")
+
+
+def many(spark):
+    i = F.col("id")
+    return spark.range(400).select(
+        i.alias("k"), F.when(i % 17 == 0, None).otherwise(i % 60 - 5).cast("int").alias("n"),
+        F.when(i % 13 == 0, float("nan")).when(i % 19 == 0, None).otherwise((i % 80) / 2 - 3).alias("x"),
+        F.when(i % 11 == 0, None).when(i % 7 == 0, "é").otherwise(
+            F.concat(F.lit("w"), i % 40)).alias("s"),
+        F.when(i % 5 == 0, "no").otherwise((i % 30).cast("string")).alias("t"))
+
+
+def random_branches(rng):
+    """Runs on one column, broken by others, with repeated and contradicting constants."""
+    out = []
+    while len(out) < 60:
+        name = rng.choice(["n", "x", "s", "t", "n + 1"])
+        for _ in range(rng.choice([1, 3, 12, 25])):
+            conditions = []
+            for _ in range(rng.choice([1, 1, 1, 2, 3])):
+                value = str(rng.randrange(-6, 60)) if name != "s" else rng.choice(
+                    ["w%d" % rng.randrange(45), "é", "a", "zz"])
+                if name == "x" and rng.random() < 0.5:
+                    value += ".5"
+                conditions.append((name, rng.choice(["=", "=", "=", "<>", "<", "<=", ">", "=="]), value))
+            if rng.random() < 0.8:      # few rows each, so that later branches matter
+                conditions = [(c, "=", v) for c, _, v in conditions[:1]]
+            relation = [rng.choice(["AND", "or"]) for _ in conditions[1:]] + [""]
+            out.append(branch(str(len(out)), *conditions, relation=relation))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_looked_up_branches(spark, ansi, seed, monkeypatch):
+    df, when = many(spark), random_branches(random.Random(seed))
+    looked = case(df, when, "-1")
+    plan = t.map_cases(df, when, "-1", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "__tabloom" not in t.map_cases(df, when, "-1", "v").columns
+    monkeypatch.setattr(mapping, "LOOKED_UP", 10**9)
+    assert case(df, when, "-1") == looked
+
+
+def test_many_branches_take_no_longer(spark):
+    """The plan of 1,500 branches has no comparison for each."""
+    when = [branch("b%d" % k, ("k", "=", str(k * 3))) for k in range(1_500)]
+    out = t.map_cases(many(spark), when, "none", "v")
+    assert {(r.k, r.v) for r in out.where("k < 10").select("k", "v").collect()} == {
+        (k, f"b{k // 3}" if k % 3 == 0 else "none") for k in range(10)}
+    assert "CASE WHEN (k" not in out._jdf.queryExecution().optimizedPlan().toString()
+    ranges = [branch(str(k), ("x", "<", str(k / 4))) for k in range(300)]
+    got = {r.k: (r.x, r.v) for r in t.map_cases(many(spark), ranges, "-1", "v").collect()}
+    for x, v in got.values():
+        want = -1 if x is None or x != x or x >= 299 / 4 else max(0, math.floor(x * 4) + 1)
+        assert int(v) == want
