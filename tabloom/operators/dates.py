@@ -29,6 +29,12 @@ TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DAYS_IN = {"days": 1, "weeks": 7}
 SECONDS_IN = {"hours": 3600, "minutes": 60, "seconds": 1}
 DIFF_SECONDS = {"days": 86400, "hours": 3600, "minutes": 60, "seconds": 1}
+# The parts of an interval: months as a 32-bit number, microseconds as a 64-bit one.
+MONTHS_IN = {"year": 12, "month": 1}
+MICROSECONDS_IN = {
+    "week": 604_800_000_000, "day": 86_400_000_000, "hour": 3_600_000_000, "minute": 60_000_000,
+    "second": 1_000_000, "millisecond": 1_000, "microsecond": 1,
+}
 INTERVAL_UNITS = {
     unit + plural: unit
     for unit in ("year", "month", "week", "day", "hour", "minute", "second",
@@ -101,11 +107,15 @@ def _difference(df: DataFrame, first, second, unit: str) -> Column:
 
 
 def _interval(amount: Any, unit: str) -> Column:
-    """A constant interval; only seconds may have a fraction."""
+    """A constant interval; only seconds may have a fraction. One that no interval can hold
+    is an error."""
     name = choose(INTERVAL_UNITS, str(unit).strip().lower(), "unit")
     number = parse_number(amount)
     if name != "second" or number == int(number):
         number = integer(amount)
+    months = name in MONTHS_IN
+    if abs(number) * (MONTHS_IN | MICROSECONDS_IN)[name] >= (2**31 if months else 2**63):
+        raise ValueError(f"no interval can hold {number} {name}s")
     return F.expr(f"INTERVAL {number} {name}")
 
 
@@ -117,7 +127,7 @@ def _shift(df: DataFrame, first, step: Column, sign: int) -> Column:
         text = is_text(type_of(df, start))
     if text:
         start = _moment(start)
-    moved = start + step if sign > 0 else start - step
+    moved = F.try_add(start, step) if sign > 0 else F.try_subtract(start, step)
     return moved.cast("string") if text else moved
 
 

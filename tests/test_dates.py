@@ -126,3 +126,21 @@ def test_append_out_of_range_is_null(spark, ansi):
     one = spark.sql("SELECT CAST(1e37 AS DECIMAL(38,0)) a")
     two = spark.sql("SELECT CAST(0.5 AS DECIMAL(20,18)) a")
     assert {r.a is None for r in t.append_rows(one, two).collect()} == {True, False}
+
+
+def test_constant_intervals_that_lead_too_far(spark, ansi):
+    df = spark.sql("SELECT DATE'9999-12-30' d, TIMESTAMP'9999-12-30 00:00:00' t, '9999-12-30' s")
+    for kind, sign in (("add_to_date", 1), ("sub_from_date", -1)):
+        out = t.date_operations(df, [
+            {"o_type": kind, "value1": c, "v1_type": "column", "value2": amount, "v2_type": "value",
+             "unit": unit, "new_column": f"{c}_{unit}"}
+            for c in "dts" for unit, amount in (("years", sign * 10_000_000), ("months", sign * 90_000_000),
+                                                ("days", 3))])
+        row = out.selectExpr(*[f"CAST({c}_{u} AS STRING) AS {c}_{u}" for c in "dts"
+                               for u in ("years", "months", "days")]).first().asDict()
+        assert all((v is None) == (not k.endswith("days")) for k, v in row.items()), row
+    for unit in ("days", "years", "hours"):
+        with pytest.raises(ValueError):
+            t.date_operations(df, [{
+                "o_type": "add_to_date", "value1": "d", "v1_type": "column", "value2": 10**17,
+                "v2_type": "value", "unit": unit, "new_column": "x"}]).collect()
