@@ -17,6 +17,7 @@ from conftest import DATA
 from tabloom.functions.checkpoints import stage
 from tabloom.llm.queries import QUERIES
 from tabloom.llm.quality import quality_scores
+from tabloom.llm.simhash import similar_documents
 
 
 @pytest.fixture(scope="module")
@@ -169,6 +170,25 @@ def test_page_text(spark, table):
         assert text.split() == "".join(plain.out).split()
 
 
+def five_words(text):
+    w = text.encode().lower().split()
+    return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+
+
+def test_recall_of_similar_documents(spark):
+    """Every row whose id is divisible by 50 against all rows, by the true sets of shingles."""
+    docs = spark.read.parquet(DATA.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    sets = {r["doc_id"]: five_words(r["text"] or "") for r in docs.collect()}
+    found = {r["doc_id"]: r["component_id"] for r in similar_documents(docs).collect()}
+    pairs = [(a, b) for a in sets if a % 50 == 0 for b in sets if a != b
+             and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert pairs and sum(found[a] == found[b] for a, b in pairs) >= 0.9 * len(pairs)
+    # Nothing is joined that is not linked, be it through others.
+    links = [(a, b) for a in sets for b in sets if a < b and found[a] == found[b]
+             and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert grouped(sets, links) == found
+
+
 def test_pipeline(spark, table):
     """Each stage on what the one before kept."""
     rows, kept = table("documents"), {}
@@ -188,18 +208,11 @@ def test_pipeline(spark, table):
                 last["".join(c.lower() if "A" <= c <= "Z" else c for c in t)] = i
             want = set(last.values())
         else:
-            def shingles(t):
-                w = t.encode().lower().split()
-                return {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
-            sets = {i: shingles(t) for i, t in before.items()}
-            alike = {limit: grouped(before, [
+            sets = {i: five_words(t) for i, t in before.items()}
+            alike = grouped(before, [
                 (a, b) for a in before for b in before if a < b
-                and len(sets[a] & sets[b]) >= limit * len(sets[a] | sets[b])])
-                for limit in (0.7, 0.88)}
-            # Similar for certain goes, different for certain stays; between, it is an estimate.
-            assert {i for i, k in alike[0.7].items() if i == k} <= set(after)
-            want = set(after)
-            assert not {i for i, k in alike[0.88].items() if i != k} & want
+                and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+            want = {i for i, k in alike.items() if i == k}
         assert set(after) == want
         kept[name] = len(after)
     assert 0 < kept["near_dedup"] <= kept["exact_dedup"] < kept["quality"] < table("documents").count()

@@ -136,4 +136,4 @@ def test_sql(spark, name):
 def test_registered():
     names = set(entry.queries())
     assert {n for n in names if n.startswith("op")} == set(queries.QUERIES)
-    assert "pipeline" in names and len(queries.QUERIES) == 10
+    assert "pipeline" in names and len(queries.QUERIES) == 13
