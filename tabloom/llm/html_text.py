@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from tabloom.llm.common import named, pieces, record_batch, ship, whole_text
 
 SLICE = 1 << 22     # bytes of pages rendered at once
-DEEPEST = 200       # levels of nesting; deeper elements become siblings at that level
-WIDEST = 60         # characters a table column is padded to, at most
+DEEPEST = 200       # levels of nesting; deeper elements become siblings there, unless hidden
+PADDED = 1 << 24    # characters a table may take when every column is as wide as its widest cell
+WIDEST = 60         # characters a column of a larger table is padded to, at most
 
 RENDERED = pa.schema([("page_id", pa.int64()), ("title", pa.string()), ("text", pa.string())])
 
@@ -55,11 +56,13 @@ TAG = re.compile(
     r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
     r"(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>|[!?/][^>]*>?)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-HIDING_RULE = re.compile(r"([^{}]*)\{[^{}]*?(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+SHOWN_MEDIA = re.compile(r"(?:only\s+)?(?:all|screen)$", re.I)
 PLAIN_SELECTOR = re.compile(r"[.#]?[\w-]+")
 DISPLAY = re.compile(r"display\s*:\s*([\w-]+)", re.I)
 VISIBILITY = re.compile(r"visibility\s*:\s*([\w-]+)", re.I)
 BLANK = re.compile(r"[ \t\n\r\f]+")
+UNSHOWN = ("none", "hidden", "collapse")
 
 
 class Element:
@@ -69,6 +72,31 @@ class Element:
         self.tag, self.attrs, self.children = tag, attrs, []
 
 
+def _rules(css: str) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations that apply on a screen of any size, in their order.
+
+    Rules within ``@media`` count where the query names all media or screens and asks for no
+    more; ``@supports`` and ``@layer`` blocks count, other at-rules hold none.
+    """
+    css, at = COMMENT.sub(" ", css), 0
+    counts = [True]     # for each open block, whether its rules count
+    while (brace := re.compile(r"[{};]").search(css, at)) is not None:
+        before, at = css[at:brace.start()].strip(), brace.end()
+        if brace[0] == "}":
+            counts[1:] = counts[1:-1]
+        elif brace[0] == "{" and before.startswith("@"):
+            name, _, query = before[1:].partition(" ")
+            name = name.lower()
+            fits = any(SHOWN_MEDIA.match(q.strip()) for q in query.split(","))
+            counts.append(counts[-1] and (name in ("supports", "layer") or name == "media" and fits))
+        elif brace[0] == "{":
+            end = css.find("}", at)
+            end = len(css) if end < 0 else end
+            if counts[-1]:
+                yield before, css[at:end]
+            at = end + 1
+
+
 def _attributes(text: str) -> dict[str, str]:
     if not text or text.isspace():
         return {}
@@ -88,7 +116,8 @@ class Tree:
         self.stack = [self.body]
         self.in_body = False
         self.title = ""
-        self.hiding: set[str] = set()   # simple selectors that style sheets hide
+        self.hiding: dict[tuple[str, str], tuple[int, bool]] = {}   # see ``_style``
+        self.order = 0
         self._scan(page)
 
     def _scan(self, page: str) -> None:
@@ -130,13 +159,25 @@ class Tree:
         if name == "title" and not self.title:
             self.title = BLANK.sub(" ", text).strip()
         if name == "style":
-            for selectors in HIDING_RULE.findall(text):
-                self.hiding.update(s.strip() for s in selectors.split(",")
-                                   if PLAIN_SELECTOR.fullmatch(s.strip()))
+            self._style(text)
         if element is not None:
             element.children.append(text)
             self.stack.pop()
 
+    def _style(self, css: str) -> None:
+        """What plain selectors say of display and visibility; a later rule takes the place of
+        an earlier one of the same selector."""
+        for selectors, declared in _rules(css):
+            said = [(what, m[1].lower()) for what, pattern in (
+                ("display", DISPLAY), ("visibility", VISIBILITY))
+                if (m := pattern.search(declared))]
+            for selector in selectors.split(",") if said else ():
+                selector = selector.strip()
+                if PLAIN_SELECTOR.fullmatch(selector):
+                    for what, value in said:
+                        self.order += 1
+                        self.hiding[what, selector] = (self.order, value in UNSHOWN)
+
     def _close(self, tags, barriers) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[k].tag
@@ -174,7 +215,8 @@ class Tree:
 
     def _push(self, element: Element) -> None:
         self.stack[-1].children.append(element)
-        if len(self.stack) < DEEPEST or element.tag in RAW:
+        # A hidden element is never entered, so that what is in it may be as deep as it likes.
+        if len(self.stack) != DEEPEST or element.tag in RAW or is_hidden(element, self.hiding):
             self.stack.append(element)
 
     def _end(self, name: str) -> None:
@@ -237,24 +279,41 @@ class _Lines:
             self.lines += lines
 
 
+def is_hidden(e: Element, hiding: dict[tuple[str, str], tuple[int, bool]]) -> bool:
+    """Whether an element, with all that is in it, is not shown.
+
+    Of style rules, one for the id comes before one for a class, and that before one for the tag;
+    of equals the last one counts. A style of the element's own comes before all of them.
+    """
+    if e.tag in UNSEEN:
+        return True
+    a = e.attrs
+    if a:
+        if "hidden" in a or e.tag == "input" and a.get("type", "").lower() == "hidden":
+            return True
+        if m := DISPLAY.search(a.get("style", "")):
+            if m[1].lower() == "none":
+                return True
+    if e.tag == "dialog" and "open" not in a:
+        return True
+    if not hiding:
+        return False
+    own = a.get("style", "")
+    named_by = [(0, e.tag), (2, f"#{a.get('id')}"),
+                *[(1, f".{c}") for c in a.get("class", "").split()]]
+    for what, pattern in (("display", DISPLAY), ("visibility", VISIBILITY)):
+        found = [(rank, *hiding[what, n]) for rank, n in named_by if (what, n) in hiding]
+        if found and max(found)[2] and not pattern.search(own):
+            return True
+    return False
+
+
 class Renderer:
     def __init__(self, tree: Tree):
         self.hiding = tree.hiding
 
     def _hidden(self, e: Element) -> bool:
-        if e.tag in UNSEEN:
-            return True
-        a = e.attrs
-        if a:
-            if "hidden" in a or e.tag == "input" and a.get("type", "").lower() == "hidden":
-                return True
-            if (m := DISPLAY.search(a.get("style", ""))) and m[1].lower() == "none":
-                return True
-        if e.tag == "dialog" and "open" not in a:
-            return True
-        return bool(self.hiding) and (
-            e.tag in self.hiding or f"#{a.get('id')}" in self.hiding
-            or any(f".{c}" in self.hiding for c in a.get("class", "").split()))
+        return is_hidden(e, self.hiding)
 
     def block(self, e: Element, shown: bool = True, pre: bool = False) -> list[str]:
         """The lines of an element's content."""
@@ -316,9 +375,17 @@ class Renderer:
                 self._content(child, out, seen, pre or tag == "textarea")
 
     def _table(self, e: Element, shown: bool) -> list[str]:
-        """Rows of cells, every column padded to its widest cell."""
-        grid: list[list[tuple[list[str], int]]] = []
+        """Rows of cells, every column padded to its widest cell.
+
+        A cell that spans rows keeps its columns in the rows below.
+        """
+        grid: list[list[tuple[int, list[str], int]]] = []
         above: list[str] = []
+        taken: dict[int, int] = {}      # columns that a cell above reaches into: for how many rows
+
+        def number(cell: Element, name: str) -> int:
+            value = cell.attrs.get(name, "1")
+            return max(1, min(int(value), 1000)) if re.fullmatch(r"\d{1,4}", value) else 1
 
         def rows(part: Element) -> None:
             loose = Element("td", {})   # text and elements that belong to no cell
@@ -331,14 +398,20 @@ class Renderer:
                 elif child.tag == "caption":
                     above.extend(self.block(child, shown))
                 elif child.tag == "tr":
-                    cells = []
+                    cells, column, below = [], 0, {c: n - 1 for c, n in taken.items() if n > 1}
                     for cell in child.children:
                         if isinstance(cell, str) or cell.tag not in ("td", "th"):
                             loose.children.append(cell)
                         elif not self._hidden(cell):
-                            span = cell.attrs.get("colspan", "1")
-                            span = min(int(span), 1000) if re.fullmatch(r"\d{1,4}", span) else 1
-                            cells.append((self.block(cell, shown), max(1, span)))
+                            while column in taken:
+                                column += 1
+                            span = number(cell, "colspan")
+                            cells.append((column, self.block(cell, shown), span))
+                            if (reach := number(cell, "rowspan")) > 1:
+                                below |= dict.fromkeys(range(column, column + span), reach - 1)
+                            column += span
+                    taken.clear()
+                    taken.update(below)
                     grid.append(cells)
                 else:
                     rows(child)
@@ -347,21 +420,26 @@ class Renderer:
         rows(e)
         widths: dict[int, int] = {}
         for cells in grid:
-            column = 0
-            for lines, span in cells:
+            for column, lines, span in cells:
                 if span == 1:
-                    widths[column] = max(widths.get(column, 0), min(
-                        WIDEST, max(map(len, lines), default=0)))
-                column += span
+                    widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
+        last = max((column + span for cells in grid for column, _, span in cells), default=0)
+        height = sum(max((len(lines) for _, lines, _ in cells), default=0) for cells in grid)
+        if height * (sum(widths.values()) + 2 * last) > PADDED:
+            widths = {column: min(width, WIDEST) for column, width in widths.items()}
+        starts = [0]
+        for column in range(last):
+            starts.append(starts[-1] + widths.get(column, 0) + 2)
         out = list(above)
         for cells in grid:
-            for k in range(max((len(lines) for lines, _ in cells), default=0)):
-                column, line = 0, []
-                for lines, span in cells:
-                    width = sum(widths.get(c, 0) for c in range(column, column + span))
-                    line.append((lines[k] if k < len(lines) else "").ljust(width + 2 * (span - 1)))
-                    column += span
-                out.append("  ".join(line).rstrip())
+            for k in range(max((len(lines) for _, lines, _ in cells), default=0)):
+                line = ""
+                for column, lines, _ in cells:
+                    if k < len(lines):
+                        # What does not fit pushes the rest on, two blanks apart.
+                        line = line.ljust(starts[column]) + lines[k] if len(line) + 2 <= starts[
+                            column] or not column else line.rstrip() + "  " + lines[k]
+                out.append(line.rstrip())
         return [x for i, x in enumerate(out) if x or i]
 
 

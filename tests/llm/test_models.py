@@ -100,11 +100,34 @@ def test_one_block_or_many(table):
     ("<title>T</title><pre>a\n  b</pre>", "a\n  b"),
     ("x <unfinished", "x"), ("a<a<a", "a"), ("<details><summary>s</summary>no</details>", "s"),
     ("<div>" * 3_000 + "deep", "deep"), ("1 < 2", "1 < 2"),
+    ("<style>@media print{.note{display:none}} .x{color:red}</style><p class=note>yes", "yes"),
+    ("<style>@media (max-width:9em){p{display:none}}@media screen, print{b{display:none}}</style>"
+     "<p>yes <b>no</b>", "yes"),
+    ("<style>.note{display:none}.note{display:block}</style><p class=note>yes", "yes"),
+    ("<style>#a{display:block}.n{display:none}p{display:block}/*.y{display:none}*/</style>"
+     "<p id=a class=n>one<p class='n y'>no<p class=y>two", "one\n\ntwo"),
+    ("<style>@supports (x:y){@media all{.n{visibility:hidden}}} @font-face{src:x} i{display:none}"
+     "</style><p class=n>no<p>yes<i>no</i><b class=n style='visibility:visible'>b</b>", "yesb"),
+    ("<table><tr><td>" + "w" * 80 + "<td>a<td>b<tr><td>x<td>y<td>z</table>",
+     "w" * 80 + "  a  b\nx" + " " * 81 + "y  z"),
+    ("<table><tr><td rowspan=2>both<td>a<td rowspan=3>c<tr><td>b<tr><td>d<td>e</table>",
+     "both  a  c\n      b\nd     e"),
+    ("<table><tr><td colspan=2 rowspan=2>wide<td>a<tr><td>b<tr><td>1<td>2<td>3</table>",
+     "wide  a\n      b\n1  2  3"),
+    ("<div>" * 250 + "<div hidden><p>no<div>no</div>no</div>yes", "yes"),
+    ("<div>" * 250 + "<script>no</script><p style=display:none>no</p>yes<b>b</b>", "yesb"),
 ])
 def test_page_text(page, text):
     assert page_text(page)[1] == text
 
 
+def test_tables_are_bounded():
+    """A table that would take too much room when padded has narrow columns instead."""
+    page = "<table>" + "<tr><td>a<td>b" * 9_000 + "<tr><td>" + "w" * 9_000 + "<td>c</table>"
+    text = page_text(page)[1]
+    assert text.startswith("a" + " " * 61 + "b\n") and text.endswith("w  c") and len(text) < 10**6
+
+
 def test_extract_text(spark, nothing):
     pages = spark.createDataFrame(
         [(1, "<p>a", "t"), (1, "<p>a", "t"), (2, None, "t"), (None, "", None)],
