@@ -1,14 +1,16 @@
 """Document fingerprints by I-Match over randomised lexicon subsets.
 
 The lexicon is the terms whose inverse document frequency lies in a band. It is cut at random
-into many small disjoint subsets; a document's fingerprint is one hash for each of the first
-``SUBSETS`` of them: of its distinct terms in that subset, sorted. How finely the lexicon is
-cut follows the number of the document's terms, so that a subset has about one of them; a
-fingerprint holds the hashes for its own cut and the next finer one, so that documents of
-slightly different size still have one in common.
-
-Document frequencies are counted for all documents, by hashed terms; the lexicon is a
-bitmap of fixed size.
+into ``SUBSETS`` large subsets that together hold all of it; of each there are thinner ones, with a
+random quarter of its terms, a quarter of those, and so on, ``LEVELS`` in all. A fingerprint is one
+hash for each subset and level: of the document's distinct terms in it, sorted. The large
+subsets rest on every term of the band, so that one changed term changes a hash; the thin ones
+are what long texts still have in common after an edit. Subsets are the same for all documents.
+
+Document frequencies are counted for all documents, by 64-bit hashes of the terms. The lexicon is
+then marked in a bitmap, two bits for a term. It is bounded by the band, whatever the number of
+documents: a term with an inverse document frequency of 10 or less is in one of e^10 documents,
+so that there are at most e^10 times as many as a document has distinct terms on average.
 """
 
 from __future__ import annotations
@@ -19,11 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tabloom.functions.checkpoints import stage
 from tabloom.llm.common import named, whole_text
-from tabloom.llm.exact import BITS, WORDS, bitmap, contains
 
-SUBSETS = 32
+SUBSETS = 32            # as many as five bits of a term's hash tell apart
+LEVELS = 4              # each with a quarter of the terms of the one before
 BAND = (0.7, 10.0)      # inverse document frequencies (natural logarithms) of the lexicon
+ROOM = 32               # bits of the bitmap for a term at least: 0.4 % of other terms are taken in
+RANGE_ROWS = 50_000     # rows of a range of ids, about
+NOTHING = 42            # Spark's hash of an empty array
 WHITE = "[ \\t-\\r]+"
 
 
@@ -33,81 +39,99 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
 
 
-def _slot(term: Column) -> Column:
-    return F.pmod(term, F.lit(WORDS * BITS))
+class Lexicon:
+    """A set of hashed terms, as a constant bitmap.
 
+    A term that was not marked is taken for one with a chance of 0.4 %, in all documents alike.
+    """
 
-def lexicon(df: DataFrame, text_col: str, band: tuple[float, float] = BAND) -> Column:
-    """The terms in the band, as a bitmap."""
+    def __init__(self, marked: DataFrame):
+        size = marked.count()
+        self.bits = 1 << max(16, math.ceil(math.log2(max(1, size * ROOM))))
+        places = marked.select(F.explode(F.array(*self.places(F.col("term")))).alias("place"))
+        words = places.groupBy(F.shiftrightunsigned("place", 6).alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits"))
+        # Half a word for each term of the lexicon at most, which the band bounds.
+        values = ["0"] * (self.bits // 64)
+        for word, bits in words.collect():
+            values[word] = str(bits)
+        self.words = F.from_json(F.lit("[" + ",".join(values) + "]"), "array<bigint>")
+
+    def places(self, term: Column) -> list[Column]:
+        return [x.bitwiseAND(F.lit(self.bits - 1).cast("bigint"))
+                for x in (term, F.shiftrightunsigned(term, 32))]
+
+    def has(self, term: Column) -> Column:
+        def marked(place: Column) -> Column:
+            word = F.get(self.words, F.shiftrightunsigned(place, 6).cast("int"))
+            return F.getbit(word, place.bitwiseAND(F.lit(63).cast("bigint")).cast("int")) == 1
+        one, other = self.places(term)
+        return marked(one) & marked(other)
+
+
+def lexicon(df: DataFrame, text_col: str, band: tuple[float, float] = BAND) -> Lexicon:
+    """The terms in the band."""
     docs = df.select(whole_text(text_col).alias("text"))
-    total = docs.count()
+    low, high = (docs.count() / math.exp(b) for b in reversed(band))
     counted = (docs.select(F.explode(terms(F.col("text"))).alias("term"))
-               .groupBy(_slot(F.col("term")).alias("slot")).count())
-    low, high = (total / math.exp(b) for b in reversed(band))
-    return bitmap(counted.where(F.col("count").between(low, high)).select("slot"), "slot")
+               .groupBy("term").count())
+    return Lexicon(stage(counted.where(F.col("count").between(low, high)).select("term"), "lexicon"))
 
 
-def _cut(n: Column) -> Column:
-    """How many bits of a term's hash name its subset."""
-    return F.greatest(F.lit(5), F.ceil(F.log2(F.greatest(n, F.lit(1))))).cast("int")
+def _bits(term: Column, place: int, width: int) -> Column:
+    """``width`` bits of a term's hash below the topmost ``place`` ones."""
+    return F.shiftrightunsigned(term, 64 - place - width).bitwiseAND(
+        F.lit((1 << width) - 1).cast("bigint"))
 
 
-def _subset(term: Column, bits: Column) -> Column:
-    # Bits that the bitmap's slot does not use decide.
-    return F.shiftrightunsigned(term, 32).bitwiseAND(F.call_function("shiftleft", F.lit(1), bits) - 1)
+def with_fingerprint(df: DataFrame, text: str, name: str, known: Lexicon) -> DataFrame:
+    """Adds a struct ``name``: ``hashes`` (``LEVELS`` for each subset, null where the document has
+    no term in it), and ``whole`` where the document has no term of the lexicon at all."""
+    df = df.withColumn("__terms", F.array_sort(F.filter(terms(F.col(text)), known.has)))
 
+    def cut(own: Column, place: int, width: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit((1 << width) - 1)),
+                           lambda k: F.filter(own, lambda t: _bits(t, place, width) == k))
 
-def with_fingerprint(df: DataFrame, text: str, name: str, known: Column) -> DataFrame:
-    """Adds a struct ``name``: ``bits``, ``coarse`` and ``fine`` (arrays of SUBSETS hashes, null
-    where the document has no term in the subset)."""
-    df = df.withColumn("__terms", terms(F.col(text)))
-    df = df.withColumn("__bits", _cut(F.size("__terms")))
-    df = df.withColumn("__terms", F.array_sort(F.filter("__terms", lambda t: (
-        _subset(t, F.col("__bits")) < SUBSETS) & contains(known, _slot(t)))))
+    def thinned(own: Column, n: int) -> Column:
+        return F.filter(own, lambda t: _bits(t, 5, 2 * n) == 0)
 
-    def hashes(bits: Column) -> Column:
-        def one(k: int) -> Column:
-            own = F.filter("__terms", lambda t: _subset(t, bits) == k)
-            return F.when(F.size(own) > 0, F.hash(own))
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
+    def levels(own: Column) -> Column:
+        return F.array(F.hash(own), *[F.hash(thinned(own, n)) for n in range(1, LEVELS)])
 
+    # In two steps, by three bits and by two, each term is looked at 12 times rather than 32.
+    subsets = F.flatten(F.transform(cut(F.col("__terms"), 0, 3), lambda own: cut(own, 3, 2)))
+    hashes = F.transform(F.flatten(F.transform(subsets, levels)),
+                         lambda h: F.when(h != NOTHING, h))
     # Without any term in the lexicon, the text stands for itself.
     return df.withColumn(name, F.struct(
-        F.col("__bits").alias("bits"), hashes(F.col("__bits")).alias("coarse"),
-        hashes(F.col("__bits") + 1).alias("fine"),
+        hashes.alias("hashes"),
         F.when(F.size("__terms") == 0, F.xxhash64(F.lower(text))).alias("whole"),
-    )).drop("__terms", "__bits")
+    )).drop("__terms")
 
 
 def as_text(print_: Column) -> Column:
     """A fingerprint as text: equal texts have equal ones."""
-    hexes = F.transform(F.concat(print_["coarse"], print_["fine"]),
-                        lambda h: F.when(h.isNull(), "").otherwise(F.hex(h)))
-    hexes = F.transform(hexes, lambda h: F.substring(h, -8, 8))
-    return F.concat(print_["bits"].cast("string"), F.lit(":"), F.concat_ws(",", hexes), F.lit(":"),
+    hexes = F.transform(print_["hashes"], lambda h: F.when(h.isNull(), "").otherwise(
+        F.lpad(F.substring(F.hex(h), -8, 8), 8, "0")))
+    return F.concat(F.concat_ws(",", hexes), F.lit(":"),
                     F.coalesce(F.hex(print_["whole"]), F.lit("")))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of equal hashes among the subsets in which either document has a term."""
-    def share(x: Column, y: Column) -> Column:
-        pairs = F.zip_with(x, y, lambda p, q: F.when(p.isNull() & q.isNull(), F.lit(None)).otherwise(
-            F.coalesce((p == q).cast("int"), F.lit(0))))
-        told = F.filter(pairs, lambda p: p.isNotNull())
-        return F.when(F.size(told) > 0, F.aggregate(told, F.lit(0.0), lambda s, p: s + p)
-                      / F.size(told))
-
-    same = (F.when(a["bits"] == b["bits"], share(F.concat(a["coarse"], a["fine"]),
-                                                 F.concat(b["coarse"], b["fine"])))
-            .when(a["bits"] == b["bits"] + 1, share(a["coarse"], b["fine"]))
-            .when(b["bits"] == a["bits"] + 1, share(b["coarse"], a["fine"])))
+    pairs = F.zip_with(a["hashes"], b["hashes"], lambda p, q: F.when(
+        p.isNotNull() | q.isNotNull(), F.coalesce((p == q).cast("int"), F.lit(0))))
+    told = F.filter(pairs, lambda p: p.isNotNull())
+    same = F.when(F.size(told) > 0, F.aggregate(told, F.lit(0), lambda s, p: s + p) / F.size(told))
     return F.coalesce(same, (a["whole"] == b["whole"]).cast("double"), F.lit(0.0))
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  band: tuple[float, float] = BAND) -> DataFrame:
     """``doc_id`` and ``fingerprint`` of every row. Null and empty texts have one fingerprint;
-    repeated rows are returned each. Further columns are not read."""
+    texts of any length are read whole; repeated rows are returned each; an empty table gives no
+    rows. Further columns are not read."""
     docs = df.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     known = lexicon(df, text_col, band)
     return with_fingerprint(docs, "text", "print", known).select(
@@ -162,10 +186,12 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edited_fingerprint, near_edited, near_next`` of every row.
 
     The last third of a text is replaced by the beginning of the next document's, in
-    descending order of ids, the first document after the last. Null counts as the empty text.
-    A single row is its own next one. Repeated rows follow each other.
+    descending order of ids, the first document after the last. Null counts as the empty text;
+    texts of any length are taken whole. A single row is its own next one. Repeated rows follow
+    each other; an empty table gives no rows. The number of ``ranges`` of ids follows that of rows.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                           -(-df.count() // RANGE_ROWS))
     known = lexicon(df, text_col, band)
     rows = beside_next(df, id_col, text_col, ranges).withColumn("n_chars", F.length("text"))
     third = F.floor(F.col("n_chars") / 3).cast("int")

@@ -1,8 +1,12 @@
 """Exact and near duplicates, and document fingerprints."""
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import numpy as np
 import pytest
 import xxhash
@@ -229,21 +233,77 @@ def test_edited_likeness(spark, edges, nothing):
         assert prints[0] == prints[1] and prints[3] == prints[4]
 
 
-def test_fingerprint_by_hand(spark):
-    """The hashes that are present are those of the lexicon's subsets."""
-    texts = [f"alpha beta w{k} w{k + 1} w{k + 2}" for k in range(40)]
+def spark_hash(values):
+    """Spark's 32-bit Murmur3 hash of an array of longs, written plainly."""
+    m = 2**32 - 1
+    turn = lambda x, r: (x << r | x >> (32 - r)) & m
+    h = 42
+    for value in values:
+        for k in (value & m, value >> 32 & m):
+            h ^= turn(k * 0xcc9e2d51 & m, 15) * 0x1b873593 & m
+            h = (turn(h, 13) * 5 + 0xe6546b64) & m
+        h ^= 8
+        h = (h ^ h >> 16) * 0x85ebca6b & m
+        h = (h ^ h >> 13) * 0xc2b2ae35 & m
+        h ^= h >> 16
+    return h
+
+
+def slow_prints(texts, of, low=0.7, high=10.0):
+    """Fingerprints of the texts ``of``, with the lexicon of ``texts``."""
+    def words(text):
+        return {xxhash.xxh64_intdigest(w.encode(), 42)
+                for w in re.split("[ \t-\r]+", text.lower()) if w}
+    counts = Counter(w for t in texts for w in words(t))
+    known = {w for w, n in counts.items()
+             if len(texts) / math.exp(high) <= n <= len(texts) / math.exp(low)}
+    bits = 1 << max(16, math.ceil(math.log2(max(1, 32 * len(known)))))
+    places = lambda w: {w % bits, (w >> 32) % bits}
+    marked = {p for w in known for p in places(w)}
+    for text in of:
+        # The order of signed numbers.
+        own = sorted((w for w in words(text) if places(w) <= marked), key=lambda w: w ^ 1 << 63)
+        hashes = []
+        for k in range(32):
+            for level in range(4):
+                inside = [w for w in own if w >> 59 == k and
+                          (w >> (59 - 2 * level)) % 4**level == 0]
+                hashes.append("%08X" % spark_hash(inside) if inside else "")
+        whole = "" if own else "%X" % xxhash.xxh64_intdigest(text.lower().encode(), 42)
+        yield hashes, whole
+
+
+def slow_likeness(a, b):
+    pairs = [(x, y) for x, y in zip(a[0], b[0], strict=True) if x or y]
+    if pairs:
+        return sum(x == y for x, y in pairs) / len(pairs)
+    return float(a[1] == b[1])
+
+
+@pytest.mark.parametrize("which", ["edges", "documents"])
+def test_fingerprints_by_brute_force(request, table, which):
+    df = table("documents") if which == "documents" else request.getfixturevalue("edges")
+    rows = [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (-2**63 if r[0] is None else r[0], r[1].encode()), reverse=True)
+    texts = [t for _, t in rows]
+    edited = [t[:len(t) - len(t) // 3] + after[:len(t) // 3]
+              for t, after in zip(texts, texts[1:] + texts[:1], strict=True)]
+    own, new = list(slow_prints(texts, texts)), list(slow_prints(texts, edited))
+    as_text = lambda p: ",".join(p[0]) + ":" + p[1]
+    want = [(i, as_text(a), as_text(b), slow_likeness(a, b), slow_likeness(a, after))
+            for (i, _), a, b, after in zip(rows, own, new, own[1:] + own[:1], strict=True)]
+    found = imatch.edited_likeness(df).select(
+        "doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()
+    key = lambda r: (str(r[0]), *r[1:])
+    for got, expected in zip(sorted(map(tuple, found), key=key), sorted(want, key=key), strict=True):
+        assert got[:3] == expected[:3] and got[3:] == pytest.approx(expected[3:])
+
+
+def test_one_changed_term_of_a_long_text_is_seen(spark):
+    long = " ".join(f"w{k}" for k in range(5_000))
+    texts = [long, long.replace("w77 ", "x77 "), long, *(f"other {k}" for k in range(9))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    known = imatch.lexicon(df, "text", (0.7, 10.0))
-    one = imatch.with_fingerprint(df, "text", "p", known).select("text", "p").collect()
-    def count(w):
-        return sum(w in t.split() for t in texts)
-    def hashed(w):
-        h = xxhash.xxh64_intdigest(w.encode(), 42)
-        return h - 2**64 if h >= 2**63 else h
-    for row in one:
-        terms = [hashed(w) for w in set(row["text"].split()) if count(w) <= 40 / np.exp(0.7)]
-        bits = row["p"]["bits"]
-        for name, b in (("coarse", bits), ("fine", bits + 1)):
-            subsets = {((t % 2**64) >> 32) & ((1 << b) - 1) for t in terms}
-            have = {k for k, h in enumerate(row["p"][name]) if h is not None}
-            assert have == {s for s in subsets if s < imatch.SUBSETS}
+    found = {r["doc_id"]: r["fingerprint"] for r in imatch.fingerprints(df).collect()}
+    assert found[0] == found[2] != found[1]
+    one, other = (f.split(":")[0].split(",") for f in (found[0], found[1]))
+    assert 0.9 < sum(a == b for a, b in zip(one, other, strict=True)) / 128 < 1
