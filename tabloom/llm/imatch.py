@@ -16,6 +16,8 @@ so that there are at most e^10 times as many as a document has distinct terms on
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -49,24 +51,31 @@ class Lexicon:
         size = marked.count()
         self.bits = 1 << max(16, math.ceil(math.log2(max(1, size * ROOM))))
         places = marked.select(F.explode(F.array(*self.places(F.col("term")))).alias("place"))
-        words = places.groupBy(F.shiftrightunsigned("place", 6).alias("word")).agg(
-            F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits"))
-        # Half a word for each term of the lexicon at most, which the band bounds.
-        values = ["0"] * (self.bits // 64)
-        for word, bits in words.collect():
-            values[word] = str(bits)
-        self.words = F.from_json(F.lit("[" + ",".join(values) + "]"), "array<bigint>")
+        set_ = places.select(F.shiftrightunsigned("place", 6).alias("word"),
+                             F.expr("shiftleft(1L, cast(place & 63 AS int))").alias("bits"))
+        empty = marked.sparkSession.range(self.bits // 64).select(
+            F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+        words = stage(set_.union(empty).groupBy("word").agg(F.bit_or("bits").alias("bits")), "words")
+        # One long for each term of the lexicon at most, which the band bounds.
+        listed = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("w"))
+        self.words = F.from_json(F.lit(listed.select(F.to_json("w.bits")).first()[0]), "array<bigint>")
 
     def places(self, term: Column) -> list[Column]:
         return [x.bitwiseAND(F.lit(self.bits - 1).cast("bigint"))
                 for x in (term, F.shiftrightunsigned(term, 32))]
 
-    def has(self, term: Column) -> Column:
-        def marked(place: Column) -> Column:
-            word = F.get(self.words, F.shiftrightunsigned(place, 6).cast("int"))
+    def among(self, *found: Column) -> Column:
+        """The terms of each of the arrays that are marked."""
+        def marked(words: Column, place: Column) -> Column:
+            word = F.get(words, F.shiftrightunsigned(place, 6).cast("int"))
             return F.getbit(word, place.bitwiseAND(F.lit(63).cast("bigint")).cast("int")) == 1
-        one, other = self.places(term)
-        return marked(one) & marked(other)
+
+        def kept(words: Column) -> Column:
+            return F.transform(F.array(*found), lambda own: F.filter(own, lambda t: reduce(
+                and_, [marked(words, place) for place in self.places(t)])))
+
+        # As an argument, the bitmap is in the plan once, however often it is used.
+        return F.get(F.transform(F.array(self.words), kept), 0)
 
 
 def lexicon(df: DataFrame, text_col: str, band: tuple[float, float] = BAND) -> Lexicon:
@@ -84,11 +93,17 @@ def _bits(term: Column, place: int, width: int) -> Column:
         F.lit((1 << width) - 1).cast("bigint"))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str, known: Lexicon) -> DataFrame:
-    """Adds a struct ``name``: ``hashes`` (``LEVELS`` for each subset, null where the document has
-    no term in it), and ``whole`` where the document has no term of the lexicon at all."""
-    df = df.withColumn("__terms", F.array_sort(F.filter(terms(F.col(text)), known.has)))
+def with_fingerprints(df: DataFrame, names: dict[str, str], known: Lexicon) -> DataFrame:
+    """Adds a struct for each name and text column: ``hashes`` (``LEVELS`` for each subset, null
+    where the document has no term in it), and ``whole`` where it has no term of the lexicon."""
+    df = df.withColumn("__all", known.among(*[terms(F.col(text)) for text in names.values()]))
+    for i, (name, text) in enumerate(names.items()):
+        df = _with_fingerprint(df.withColumn("__terms", F.array_sort(F.get("__all", F.lit(i)))),
+                               text, name)
+    return df.drop("__all")
+
 
+def _with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     def cut(own: Column, place: int, width: int) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit((1 << width) - 1)),
                            lambda k: F.filter(own, lambda t: _bits(t, place, width) == k))
@@ -134,7 +149,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows. Further columns are not read."""
     docs = df.select(named(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     known = lexicon(df, text_col, band)
-    return with_fingerprint(docs, "text", "print", known).select(
+    return with_fingerprints(docs, {"print": "text"}, known).select(
         "doc_id", as_text(F.col("print")).alias("fingerprint"))
 
 
@@ -198,9 +213,9 @@ def edited_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = rows.withColumn("edited", F.when(F.col("extra"), F.lit("")).otherwise(F.concat(
         F.substring("text", F.lit(1), F.col("n_chars") - third),
         F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third)))).drop("next_text")
-    rows = with_fingerprint(rows, "text", "print", known).drop("text")
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_fingerprint(rows, "edited", "edited_print", known).drop("edited")
+    rows = with_fingerprints(rows, {"print": "text", "edited_print": "edited"}, known).drop(
+        "text", "edited")
     line = W.partitionBy("part").orderBy("place")
     rows = rows.withColumn("next_print", F.lead("print").over(line)).where(~F.col("extra"))
     return rows.select(
