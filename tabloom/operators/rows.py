@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabloom.functions.checkpoints import stage
 from tabloom.functions.params import (
-    choose, column_or_expression, is_text, name_list, row_hash,
+    choose, column_or_expression, flag, is_text, name_list, row_hash,
 )
 
 SAMPLED_KEYS = 4_096     # keys that one round of looking for the last of the best rows draws
@@ -31,7 +31,8 @@ def filter_rows(df: DataFrame, rules: str = "1 = 0") -> DataFrame:
 
 
 def order_rows(
-    df: DataFrame, columns: str | Iterable[str], order: str = "ASC", spread_ties: bool = True
+    df: DataFrame, columns: str | Iterable[str], order: str = "ASC",
+    spread_ties: bool | str = True,
 ) -> DataFrame:
     """Sort by columns or expressions, one direction for all of them.
 
@@ -39,13 +40,18 @@ def order_rows(
     overload. ``spread_ties`` appends the input partition number and a hash of the row to
     the sort key, so that rows with equal keys are cut into ranges as well, also where an
     earlier shuffle has brought them together, and full copies of one row by where they
-    come from. Both are the same again when a lost task is repeated.
+    come from. Both are the same again when a lost task is repeated. The hash reads all
+    columns; ``spread_ties="partition"`` appends the partition number alone, so that columns
+    nobody asks for are not read. Rows with equal keys that were in one task before the
+    sort then stay in one.
     """
+    spread = spread_ties == "partition" or flag(spread_ties)
     direction = choose(DIRECTIONS, " ".join(order.upper().split()), "direction")
     keys = [direction(column_or_expression(df, c)) for c in name_list(columns)]
-    if spread_ties and not df.isStreaming:
+    if spread and not df.isStreaming:
         keys.append(F.spark_partition_id().asc())
-        keys.append(row_hash(df).asc())
+        if spread_ties != "partition":
+            keys.append(row_hash(df).asc())
     return df.orderBy(*keys)
 
 

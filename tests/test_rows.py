@@ -116,6 +116,30 @@ def test_order_spreads_a_key_that_was_brought_together(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
+def test_order_by_partition_reads_few_columns(spark, table):
+    """Ties are spread by where rows come from, and columns nobody asks for stay unread."""
+    def read(**how) -> str:
+        plan = t.order_rows(table("orders"), "o_orderdate", **how).select("o_orderdate")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        return text[text.index("ReadSchema"):].split("\n")[0]
+    assert read(spread_ties="partition").count(":") == 2
+    assert read().count(":") > 2
+    df = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("k"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ordered = t.order_rows(df, "k", spread_ties="partition")
+        placed = ordered.withColumn("p", F.spark_partition_id())
+        assert placed.where("k = 500").select("p").distinct().count() >= 2
+        keys = [r.k for r in ordered.collect()]
+        assert len(keys) == 60_000 and keys == sorted(keys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    with pytest.raises(ValueError):
+        t.order_rows(df, "k", spread_ties="rows")
+
+
 def test_append_widens(spark, ansi):
     one = spark.sql("SELECT 1 a, 'x' b, 2 c, CAST(1.5 AS DECIMAL(4,1)) d, 1 e")
     two = spark.sql("SELECT 'y' p, 2 q, 2.5D r, CAST(2.25 AS DECIMAL(4,2)) s, 3000000000 f")
