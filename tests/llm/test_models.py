@@ -67,6 +67,55 @@ def slow_model(rows):
             for (i, _), t, h in zip(rows, tokens, held, strict=True)]
 
 
+def slow_scores(rows):
+    """Deleted interpolation written plainly: token by token, probabilities as they are."""
+    tokens = [(t or "").encode().lower().split() + [b" "] for _, t in rows]
+    folds = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 for i, _ in rows]
+    pairs = [list(zip([b" ", *t[:-1]], t, strict=True)) for t in tokens]
+    def counted(wanted):
+        own = [p for p, f in zip(pairs, folds, strict=True) if wanted(f)]
+        return Counter(x for p in own for x in p), Counter(w for p in own for _, w in p)
+    two, one = counted(lambda f: f != 2)
+    two_off, one_off = counted(lambda f: f == 3)
+    n, off = sum(one.values()), sum(one_off.values())
+    rare = 1 / (len(one) + 1)
+    told = {}
+    for (v, w), times in two_off.items():
+        c = one[v] - one_off[v]
+        told.setdefault(c.bit_length(), []).append((times, (
+            (two[v, w] - two_off[v, w]) / c if c else 0.0,
+            (one[w] - one_off[w]) / max(1, n - off), rare)))
+    def fit(data, start, lean):
+        weights = start
+        for _ in range(40):
+            sums = [5 * x for x in lean]
+            for times, p in data:
+                mixed = [a * b for a, b in zip(weights, p, strict=True)]
+                sums = [s + times * m / sum(mixed) for s, m in zip(sums, mixed, strict=True)]
+            weights = [s / sum(sums) for s in sums]
+        return weights
+    even = [1 / 3] * 3
+    every = fit([x for own in told.values() for x in own], even, even)
+    weights = {k: fit(own, every, every) for k, own in told.items()}
+    def chance(v, w):
+        own = weights.get(one[v].bit_length(), every)
+        return (own[0] * (two[v, w] / one[v] if one[v] else 0.0)
+                + own[1] * one[w] / max(1, n) + own[2] * rare)
+    return [sum(math.log10(chance(*x)) for x in p) for p in pairs]
+
+
+def test_scores_by_brute_force(table, edges):
+    # The operator learns from probabilities gathered in half octaves, hence the tolerance.
+    for df, block in ((edges, 50), (table("documents"), 20_000)):
+        rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+        found = model_scores(df, block=block, per_range=5_000).collect()
+        want = zip(rows, slow_model(rows), slow_scores(rows), strict=True)
+        key = lambda r: (str(r[0]), r[2], r[5])
+        plain = sorted(((*m[:6], score) for _, m, score in want), key=key)
+        for got, w in zip(sorted(map(tuple, found), key=key), plain, strict=True):
+            assert got[6] == pytest.approx(w[6], rel=0.01)
+
+
 def test_language_model(table, edges, nothing):
     assert model_scores(nothing).count() == 0
     for df, block in ((edges, 50), (table("documents"), 20_000)):
