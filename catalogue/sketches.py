@@ -6,26 +6,45 @@ from catalogue import add, load
 DAY = "date_trunc('day', ts)"
 
 
-def daily(spark, sf, sketch, col, **more):
-    """One state per day and type of event."""
-    events = t.filter_rows(load(spark, sf, "events"), "event_type IS NOT NULL").selectExpr(
+def kept_events(spark, sf):
+    return t.filter_rows(load(spark, sf, "events"), "event_type IS NOT NULL").selectExpr(
         "event_type", f"{DAY} AS day", "user_id", "value", "event_id")
-    return t.sketch_states(events, "event_type, day",
-                           [{"sketch": sketch, "col": col, "col_name": "state", **more}])
 
 
-def merged(spark, sf, sketch, col, asks, merge=None, **more):
-    """Numbers read off the daily states, merged by type of event."""
-    states = daily(spark, sf, sketch, col, **more)
-    whole = t.merge_sketches(states, "event_type", [
-        {"sketch": merge or sketch, "col": "state", "col_name": "state", **more}])
+def merged_states(spark, sf, sketches, most=None):
+    """States per day and type of event, merged by type; also by part, where ``most`` values of
+    ``user_id`` are allowed in one."""
+    events, part = kept_events(spark, sf), "" if most is None else ", part"
+    if most is not None:
+        events = t.deal_values(events, "user_id", most)
+    daily = t.sketch_states(events, "event_type, day" + part, sketches)
+    return t.merge_sketches(daily, "event_type" + part, [
+        {**e, "sketch": e.get("merge", e["sketch"]), "col": e["col_name"]} for e in sketches])
+
+
+def merged(spark, sf, sketch, col, asks, merge=None, most=None, **more):
+    """Numbers read off the merged states."""
+    whole = merged_states(spark, sf, [{"sketch": sketch, "merge": merge or sketch, "col": col,
+                                       "col_name": "state", **more}], most)
     return t.drop_columns(t.sketch_values(whole, [
         {"sketch": merge or sketch, "col": "state", "new_column": name, **more, **ask}
         for name, ask in asks.items()]), "state")
 
 
-# Sketches are exact as long as a group has fewer distinct values than they have entries; the
-# ends of a quantile sketch and its count always are.
+def most_frequent(spark, sf):
+    """The parts' numbers of users are known to be below what a state keeps, or an error."""
+    whole = merged_states(spark, sf, [
+        {"sketch": "frequent", "col": "user_id", "col_name": "state"},
+        {"sketch": "distinct_set", "col": "user_id", "col_name": "held", "size": 13}], most=2**13)
+    read = t.sketch_values(whole, [
+        {"sketch": "frequent", "col": "state", "ask": "top", "argument": 1, "new_column": "top"},
+        {"sketch": "distinct_set", "col": "held", "ask": "exact", "size": 13, "new_column": "users"}])
+    return t.group_rows(t.filter_rows(read, "users >= 0"), "event_type", [
+        {"agg_func": "max", "col": "get(top, 0).count", "col_name": "most"}])
+
+
+# Sketches are exact as long as a group has fewer distinct values than they have entries, which
+# parts of the values see to; the ends of a quantile sketch and its count always are.
 add("group_kll_merge", lambda spark, sf: merged(
     spark, sf, "quantiles", "user_id", {
         "n": {"ask": "count"}, "least": {"ask": "quantile", "argument": 0},
@@ -58,9 +77,7 @@ add("group_bitmap_and", lambda spark, sf: merged(
          FROM events GROUP BY 1, 2) JOIN (
          SELECT event_type, count(DISTINCT date_trunc('day', ts)) AS all_days FROM events GROUP BY 1)
        USING (event_type) GROUP BY 1""")
-add("group_frequent_merge", lambda spark, sf: merged(
-    spark, sf, "frequent", "user_id", {"top": {"ask": "top", "argument": 1}}).selectExpr(
-        "event_type", "top[0].count AS most"),
+add("group_frequent_merge", most_frequent,
     """SELECT event_type, max(n) AS most FROM (
        SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1""")
 

@@ -4,10 +4,14 @@
 groups out of them, ``sketch_values`` reads numbers off them. So a table that grows by the day
 is read once: the states of its days, a few kilobytes each, give any month or year. Merging
 states gives what one state over all rows would give, up to a sketch's stated error.
+
+Where an exact number is needed of more values than a sketch keeps, ``deal_values`` cuts them into
+parts that each fit one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping
 from typing import Any, NamedTuple
 
@@ -32,13 +36,17 @@ class Sketch(NamedTuple):
 MEMBER = ("bitmap_construct_agg(CASE WHEN {x} BETWEEN 0 AND 32767 THEN bitmap_bit_position({x} + 1) "
           "WHEN {x} IS NOT NULL THEN raise_error('a bitmap holds numbers from 0 to 32767') END)")
 
+# A set that is not whole any more holds its nominal entries at least, and so tells of as many.
+EXACT = ("CASE WHEN theta_sketch_estimate({x}) < shiftleft(1L, {n}) THEN theta_sketch_estimate({x}) "
+         "WHEN {x} IS NOT NULL THEN raise_error('a set has more values than its sketch keeps') END")
+
 # ``{a}`` is the argument of a question. Sizes: log2 of the nominal entries for the distinct
 # counts, k of the quantile sketch, counters of the frequent items; a bitmap has none.
 SKETCHES = {
     "distinct": Sketch("hll_sketch_agg({x}, {n})", "hll_union_agg({x})", 12, {
         "count": "hll_sketch_estimate({x})"}),
     "distinct_set": Sketch("theta_sketch_agg({x}, {n})", "theta_union_agg({x}, {n})", 12, {
-        "count": "theta_sketch_estimate({x})"}),
+        "count": "theta_sketch_estimate({x})", "exact": EXACT}),
     "common_set": Sketch("theta_sketch_agg({x}, {n})", "theta_intersection_agg({x})", 12, {
         "count": "theta_sketch_estimate({x})"}),
     "quantiles": Sketch("kll_sketch_agg_{t}({x}, {n})", "kll_merge_agg_{t}({x}, {n})", 200, {
@@ -108,13 +116,14 @@ def merge_sketches(df: DataFrame, index: str | Iterable[str],
 
 
 def sketch_values(df: DataFrame, items: Iterable[Mapping[str, Any]]) -> DataFrame:
-    """Add ``[{sketch, col, ask, argument, numbers, new_column}]``, read off states ``col``.
+    """Add ``[{sketch, col, ask, argument, numbers, size, new_column}]``, read off states ``col``.
 
-    ``ask`` is ``count`` (of all but ``frequent``), ``quantile`` (``argument`` is a fraction),
+    ``ask`` is ``count`` (of all but ``frequent``), ``exact`` (of a ``distinct_set`` of that ``size``:
+    the count, an error where it would be an estimate), ``quantile`` (``argument`` is a fraction),
     ``rank`` (of a number) or ``top`` (how many values).
     """
     for e in items:
-        sketch, _ = _entry(e)
+        sketch, size = _entry(e)
         form = choose(sketch.ask, e["ask"].strip().lower(), "question")
         kind, argument = _kind(e), ""
         if "{a}" in form:
@@ -122,10 +131,34 @@ def sketch_values(df: DataFrame, items: Iterable[Mapping[str, Any]]) -> DataFram
             argument = str(integer(number)) if e["ask"] == "top" else f"CAST({number!r} AS DOUBLE)"
             if e["ask"] == "rank":
                 argument = f"CAST({number!r} AS {kind})"
-        value = F.expr(form.format(x=_quoted(e["col"]), a=argument, t=kind))
+        value = F.expr(form.format(x=_quoted(e["col"]), a=argument, t=kind, n=size))
         # The state of a group without values has no quantiles.
         if sketch is SKETCHES["quantiles"] and e["ask"] != "count":
             held = F.expr(sketch.ask["count"].format(x=_quoted(e["col"]), t=kind))
             value = F.when(held > 0, value)
         df = df.withColumn(e["new_column"], value)
     return df
+
+
+def deal_values(df: DataFrame, col: str, most: int, new_column: str = "part",
+                index: str | Iterable[str] = "") -> DataFrame:
+    """``df`` with the number of a part, by a hash of ``col``, so that a part has about ``most / 2``
+    distinct values of ``col``, and so fewer than ``most``.
+
+    A value is in one part only: counts of distinct values of parts add up, the most frequent
+    value is that of its part, and sketches that keep ``most`` values are exact by part, however
+    many there are in all. With ``index``, each of its combinations gets a row of nulls in every
+    part, so that an intersection by part meets the empty sets too.
+    """
+    if most < 1:
+        raise ValueError("a part must be allowed a value")
+    value = column_or_expression(df, col)
+    kinds = df.agg(F.approx_count_distinct(value, 0.01)).first()[0]
+    parts = max(1, math.ceil(2 * kinds / most))
+    dealt = df.withColumn(new_column, F.pmod(F.xxhash64(value), F.lit(parts)))
+    if not index:
+        return dealt
+    every = F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
+    keys = [column_or_expression(df, k) for k in name_list(index)]
+    return dealt.unionByName(df.select(*keys).distinct().withColumn(new_column, F.explode(every)),
+                             allowMissingColumns=True)

@@ -28,7 +28,7 @@ from tabloom.operators.rows import (
     append_rows, filter_rows, limit_rows, order_rows, preview, top_rows,
 )
 from tabloom.operators.selection import group_mode, group_percentiles
-from tabloom.operators.sketches import merge_sketches, sketch_states, sketch_values
+from tabloom.operators.sketches import deal_values, merge_sketches, sketch_states, sketch_values
 from tabloom.operators.text import (
     concat_columns, format_text, replace_text, split_column, text_operations,
 )
@@ -43,7 +43,7 @@ OPERATORS: dict[str, Callable[..., DataFrame]] = {
         append_rows, column_constant_numeric, column_column_numeric, calculate, replace_text,
         format_text, concat_columns, split_column, text_operations, date_operations,
         map_column, map_cases, join_tables, group_rows, group_percentiles, group_mode, sketch_states, merge_sketches,
-        sketch_values, window_columns,
+        sketch_values, deal_values, window_columns,
     )
 }
 

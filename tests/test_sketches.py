@@ -102,6 +102,24 @@ def test_aggregates_of_any_name(spark, days):
             run(name, col)
 
 
+def test_dealt_values_are_counted_exactly(days):
+    """Sets and frequent values of 16 entries, of groups with hundreds of values."""
+    sketches = [{"sketch": "distinct_set", "col": "v", "col_name": "t", "size": 4},
+                {"sketch": "frequent", "col": "v", "col_name": "f", "size": 16}]
+    own = [{**k, "col": k["col_name"]} for k in sketches]
+    asks = [{**own[0], "ask": "exact", "new_column": "n"},
+            {**own[1], "ask": "top", "argument": 1, "new_column": "top"}]
+    dealt = t.deal_values(days, "v", 8)
+    found = t.sketch_values(t.merge_sketches(t.sketch_states(
+        dealt, "g, day, part", sketches), "g, part", own), asks).groupBy("g").agg(
+            F.sum("n").alias("n"), F.max(F.expr("get(top, 0).count")).alias("most")).collect()
+    counts = days.where("v IS NOT NULL").groupBy("g", "v").count()
+    want = counts.groupBy("g").agg(F.count("v").alias("n"), F.max("count").alias("most")).collect()
+    assert sorted(found) == sorted(want)
+    with pytest.raises(Exception, match="more values than its sketch keeps"):
+        t.sketch_values(t.sketch_states(days, "g", sketches[:1]), asks[:1]).collect()
+
+
 def test_steps_read_by_several(spark, days):
     steps = [
         {"id": "a", "op": "filter_rows", "input": "days", "params": {"rules": "rand() < 0.5"}},
