@@ -43,6 +43,14 @@ def most_frequent(spark, sf):
         {"agg_func": "max", "col": "get(top, 0).count", "col_name": "most"}])
 
 
+def middle_user(spark, sf):
+    sketch = {"sketch": "quantiles", "col": "user_id", "col_name": "state", "numbers": "bigint",
+              "size": 65535}
+    return t.exact_quantiles(
+        kept_events(spark, sf), "event_type", "user_id", merged_states(spark, sf, [sketch]),
+        {"middle": 0.5}, numbers="bigint", size=65535)
+
+
 # Sketches are exact as long as a group has fewer distinct values than they have entries, which
 # parts of the values see to; the ends of a quantile sketch and its count always are.
 add("group_kll_merge", lambda spark, sf: merged(
@@ -51,9 +59,7 @@ add("group_kll_merge", lambda spark, sf: merged(
         "most": {"ask": "quantile", "argument": 1}}, numbers="bigint"),
     """SELECT event_type, count(user_id) AS n, min(user_id) AS least, max(user_id) AS most
        FROM events GROUP BY 1""")
-add("group_kll_exact", lambda spark, sf: merged(
-    spark, sf, "quantiles", "user_id", {"middle": {"ask": "quantile", "argument": 0.5}},
-    numbers="bigint", size=65535),
+add("group_kll_exact", middle_user,
     """SELECT event_type, percentile_disc(0.5) WITHIN GROUP (ORDER BY user_id) AS middle
        FROM events GROUP BY 1""")
 add("group_theta_union", lambda spark, sf: merged(

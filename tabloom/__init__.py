@@ -14,7 +14,7 @@ from tabloom.operators.rows import (
 )
 from tabloom.operators.selection import group_mode, group_percentiles
 from tabloom.operators.sketches import (
-    deal_values, merge_sketches, sketch_states, sketch_values,
+    deal_values, exact_quantiles, merge_sketches, sketch_states, sketch_values,
 )
 from tabloom.operators.text import (
     concat_columns, format_text, replace_text, split_column, text_operations,
@@ -28,7 +28,7 @@ from tabloom.sources.views import drop_view, publish_view, scan_view
 __all__ = [
     "OPERATORS", "append_rows", "calculate", "change_column_type", "column_column_numeric",
     "column_constant_numeric", "concat_columns", "connection_options", "constant_columns",
-    "date_operations", "deal_values", "drop_columns", "drop_view", "fill_null", "filter_rows", "format_text",
+    "date_operations", "deal_values", "drop_columns", "drop_view", "exact_quantiles", "fill_null", "filter_rows", "format_text",
     "group_mode", "group_percentiles", "group_rows", "join_tables", "limit_rows", "map_cases", "map_column", "merge_sketches",
     "order_rows",
     "preview", "publish_view", "read_csv", "read_jdbc", "read_tenant_csv", "rename_columns",

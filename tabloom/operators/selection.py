@@ -65,7 +65,7 @@ def _selected(values: DataFrame, sizes: DataFrame, wanted: Mapping[str, float],
             F.floor("p.place"), F.ceil("p.place")))).alias("rank"))
     asked = stage(asked, "asked")
     ranks = asked.where("rank < m").select("g", "rank").distinct()
-    known = _values_at(values.where(~F.isnan("x")), ranks, held)
+    known = values_at(values.where(~F.isnan("x")), ranks, held)
     at = asked.join(known, ["g", "rank"], "left").withColumn(
         "x", F.coalesce("x", F.lit(float("nan"))))
     part = F.col("place") - F.floor("place")
@@ -82,23 +82,37 @@ def _near(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.join(targets, "g").where((F.col("x") >= F.col("low")) & (F.col("x") <= F.col("high")))
 
 
-def _values_at(rows: DataFrame, ranks: DataFrame, held: int) -> DataFrame:
+def listed_values(rows: DataFrame, few: DataFrame, kind: str) -> DataFrame:
+    """``g, rank, x`` for targets ``g, rank, low, high, below`` that few values are within."""
+    each = _near(rows, few).groupBy("g", "rank", "below", "x").agg(F.count("x").alias("many"))
+    listed = each.groupBy("g", "rank", "below").agg(
+        F.sort_array(F.collect_list(F.struct("x", "many"))).alias("v"))
+    passed = F.aggregate(
+        "v", F.struct(F.col("below").alias("to"), F.lit(None).cast(kind).alias("x")),
+        lambda a, v: F.struct((a["to"] + v["many"]).alias("to"), F.when(
+            a["x"].isNotNull(), a["x"]).when(a["to"] + v["many"] > F.col("rank"), v["x"])
+            .alias("x")))
+    return listed.select("g", "rank", passed["x"].alias("x"))
+
+
+def values_at(rows: DataFrame, ranks: DataFrame, held: int, kind: str = "double") -> DataFrame:
     """``g, rank, x``: the value at each rank (from 0) of its group's sorted values.
 
     Targets are a few for each large group, so that their number is bounded by the rows over
-    ``held``.
+    ``held``. Values are of ``kind``, ``double`` or ``bigint``.
     """
-    ends = F.lit(float("inf"))
-    open_ = stage(ranks.withColumns({"low": -ends, "high": ends, "below": F.lit(0).cast("long"),
+    least, most = {"double": (float("-inf"), float("inf")), "bigint": (-2**63, 2**63 - 1)}[kind]
+    open_ = stage(ranks.withColumns({"low": F.lit(least).cast(kind),
+                                     "high": F.lit(most).cast(kind), "below": F.lit(0).cast("long"),
                                      "wide": F.lit(1)}), "targets")
     found: list[DataFrame] = []
     while not open_.isEmpty():
         sketched = _near(rows, open_).groupBy("g", "rank").agg(
-            F.expr(f"kll_sketch_agg_double(x, {SKETCH})").alias("s"), F.count("x").alias("n"),
+            F.expr(f"kll_sketch_agg_{kind}(x, {SKETCH})").alias("s"), F.count("x").alias("n"),
             F.min("x").alias("least"), F.max("x").alias("most"))
         asked = ", ".join(f"{k / STEPS!r}D" for k in range(STEPS + 1))
         histogram = stage(sketched.withColumn("marks", F.expr(
-            f"kll_sketch_get_quantile_double(s, array({asked}))")).drop("s"), "histograms")
+            f"kll_sketch_get_quantile_{kind}(s, array({asked}))")).drop("s"), "histograms")
         at = (F.col("rank") - F.col("below")) / F.col("n") * STEPS
         down, up = F.floor(at) - F.col("wide"), F.ceil(at) + F.col("wide")
         tried = stage(histogram.join(open_, ["g", "rank"]).withColumns({
@@ -125,15 +139,7 @@ def _values_at(rows: DataFrame, ranks: DataFrame, held: int) -> DataFrame:
         # Values that come often count once, so they are few however many rows hold them.
         settled = F.col("sure") & (F.col("kinds") <= held)
         few = judged.where(~F.col("one") & settled)
-        each = _near(rows, few).groupBy("g", "rank", "below", "x").agg(F.count("x").alias("many"))
-        listed = each.groupBy("g", "rank", "below").agg(
-            F.sort_array(F.collect_list(F.struct("x", "many"))).alias("v"))
-        passed = F.aggregate(
-            "v", F.struct(F.col("below").alias("to"), F.lit(None).cast("double").alias("x")),
-            lambda a, v: F.struct((a["to"] + v["many"]).alias("to"), F.when(
-                a["x"].isNotNull(), a["x"]).when(a["to"] + v["many"] > F.col("rank"), v["x"])
-                .alias("x")))
-        found.append(listed.select("g", "rank", passed["x"].alias("x")))
+        found.append(listed_values(rows, few, kind))
         open_ = judged.where(~F.col("one") & ~settled).drop("one", "sure", "kinds")
         if not open_.isEmpty():
             open_ = stage(open_, "targets")

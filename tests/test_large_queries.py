@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oracle import difference
 
-NAMES = ["group_frequent_merge"]
+NAMES = ["group_frequent_merge", "group_kll_exact"]
 
 
 @pytest.fixture(scope="module")

@@ -1,3 +1,5 @@
+import math
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +122,28 @@ def test_dealt_values_are_counted_exactly(days):
         t.sketch_values(t.sketch_states(days, "g", sketches[:1]), asks[:1]).collect()
 
 
+@pytest.mark.parametrize("kind,size,held", [("bigint", 8, 5), ("bigint", 200, 100_000),
+                                            ("double", 200, 50)])
+def test_exact_quantiles(spark, kind, size, held):
+    """Coarse states, bounds that miss, numbers beyond 2**53, and groups without state or values."""
+    i = F.col("id")
+    x = F.when(i % 13 != 0, F.lit(2**60) + F.pmod(F.xxhash64(i), F.lit(5_000))).cast(kind)
+    df = spark.range(20_000).select(
+        F.when(i % 4 == 0, "a").when(i % 4 == 1, "b").when(i % 4 == 2, None).otherwise("n").alias("k"),
+        F.when(i % 4 != 3, x).alias("v"))
+    states = t.sketch_states(df.where("k IS NULL OR k = 'a'"), "k", [
+        {"sketch": "quantiles", "col": "v", "col_name": "state", "numbers": kind, "size": size}])
+    asks = {"p0": 0.0, "p3": 0.3, "p5": 0.5, "p10": 1.0}
+    found = t.exact_quantiles(df, "k", "v", states, asks, size=size, numbers=kind, held=held)
+    values = {k: sorted(r.v for r in df.where(F.col("k").eqNullSafe(F.lit(k))).collect()
+                        if r.v is not None) for k in ("a", "b", None, "n")}
+    exact = {(k, *[v[max(math.ceil(f * len(v)) - 1, 0)] if v else None for f in asks.values()])
+             for k, v in values.items()}
+    assert {tuple(r) for r in found.collect()} == exact
+    with pytest.raises(ValueError):
+        t.exact_quantiles(df, "k", "v", states, {"p": 2.0})
+
+
 def test_steps_read_by_several(spark, days):
     steps = [
         {"id": "a", "op": "filter_rows", "input": "days", "params": {"rules": "rand() < 0.5"}},
