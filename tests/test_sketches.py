@@ -122,6 +122,20 @@ def test_dealt_values_are_counted_exactly(days):
         t.sketch_values(t.sketch_states(days, "g", sketches[:1]), asks[:1]).collect()
 
 
+def test_dealt_intersections_meet_empty_sets(spark):
+    rows = [("a", v) for v in range(200)] + [("b", v) for v in range(0, 200, 3)] + [("c", 6), ("c", 7)]
+    df = t.deal_values(spark.createDataFrame(rows, "k string, v int"), "v", 8, index="k")
+    common = t.merge_sketches(t.sketch_states(df, "k, part", [
+        {"sketch": "common_set", "col": "v", "col_name": "s"}]), "part", [
+            {"sketch": "common_set", "col": "s", "col_name": "s"}])
+    found = t.sketch_values(common, [
+        {"sketch": "common_set", "col": "s", "ask": "count", "new_column": "n"}]).agg(F.sum("n"))
+    assert found.first()[0] == 1
+    assert t.deal_values(df.where("v < 0"), "v", 8).count() == 0
+    with pytest.raises(ValueError):
+        t.deal_values(df, "v", 0)
+
+
 @pytest.mark.parametrize("kind,size,held", [("bigint", 8, 5), ("bigint", 200, 100_000),
                                             ("double", 200, 50)])
 def test_exact_quantiles(spark, kind, size, held):
