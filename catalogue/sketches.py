@@ -78,8 +78,9 @@ add("group_kll_merge", lambda spark, sf: merged(
 add("group_kll_exact", middle_user,
     """SELECT event_type, percentile_disc(0.5) WITHIN GROUP (ORDER BY user_id) AS middle
        FROM events GROUP BY 1""")
-add("group_theta_union", lambda spark, sf: merged(
-    spark, sf, "distinct_set", "user_id", {"users": {"ask": "count"}}, size=16),
+add("group_theta_union", lambda spark, sf: t.group_rows(merged(
+    spark, sf, "distinct_set", "user_id", {"users": {"ask": "exact"}}, most=2**16, size=16),
+    "event_type", [{"agg_func": "sum", "col": "users", "col_name": "users"}]),
     "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 add("group_theta_common", users_of_all_types,
     """SELECT count(*) AS users FROM (SELECT user_id FROM events GROUP BY 1

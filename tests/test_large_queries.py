@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from oracle import difference
 
-NAMES = ["group_frequent_merge", "group_kll_exact", "group_theta_common"]
+NAMES = ["group_frequent_merge", "group_kll_exact", "group_theta_common", "group_theta_union"]
 
 
 @pytest.fixture(scope="module")
