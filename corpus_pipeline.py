@@ -21,6 +21,9 @@ from tabloom.llm.simhash import similar_documents
 #: From this score on a document counts as good.
 GOOD = 0.7
 
+#: So many bits may two SimHash fingerprints of near duplicates differ by.
+RADIUS = 2
+
 #: SQL can't express a trained classifier, XXH64 or a tokenizer's merges.
 ORACLE_SQL = None
 
@@ -53,15 +56,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates (similarity 0.8 or more of five-word shingles) the one with the
-    smallest id.
+    """Of near duplicates the one with the smallest id: of texts that op1_simhash links (SimHash
+    fingerprints of three-word shingles, ``RADIUS`` differing bits or fewer), or whose sets of five-word
+    shingles have a similarity of 0.8 or more, be it through others.
 
     Texts without words, null ones too, are alike; of repeated rows one stays; a null id is the
     largest; texts of any length are compared whole; an empty table stays empty.
     """
     with phase(spark, "near_dedup"):
         found = similar_documents(docs, "doc_id", "text", _whole_rows(docs),
-                                  again=F.col("__document.text"))
+                                  again=F.col("__document.text"), radius=RADIUS)
     return found.where("kept").select("__document.*")
 
 

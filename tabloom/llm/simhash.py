@@ -16,7 +16,8 @@ edges of a spanning forest, never all its pairs.
 A radius of a few bits only finds texts that hardly differ: at a similarity of 0.8 (of sets of
 five-word shingles) about ten bits do, too many for bands. ``similar_documents`` therefore takes
 its buckets from minima of shingle hashes, compares bits of these within them by the same
-bit-sliced counting at a wide radius (repeats count for nothing), and decides by the sets.
+bit-sliced counting at a wide radius (repeats count for nothing), and decides by the sets. With a
+``radius`` it links by the fingerprints of ``near_duplicates`` as well.
 """
 
 from __future__ import annotations
@@ -245,17 +246,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       fingerprint_column(named(text_col), width).alias("fp"), *more)
     prints = stage(texts.withColumn("__row", F.monotonically_increasing_id()), "prints")
     classes = stage(_classes(prints, "fp"), "classes")
-    found = (_buckets(classes.select("fp"), radius, bucket)
-             .repartition(_parts(df), "mask", "value").sortWithinPartitions("mask", "value")
-             .select("mask", "value", "fp")
-             .mapInArrow(_compare(radius, lanes), "a long, b long"))
-    labelled = _labelled(prints, classes, stage(components(found), "roots"), "fp")
+    labelled = _labelled(prints, classes, _linked(classes.select("fp"), radius, bucket, lanes), "fp")
     rest = [c for c in prints.columns if c not in ("doc_id", "fp", "__row")]
     return labelled.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
         "kept", *[named(c) for c in rest])
 
 
+def _linked(prints: DataFrame, radius: int, bucket: int, lanes: int) -> DataFrame:
+    """``node`` and ``root`` of the distinct fingerprints ``fp`` that are linked to others."""
+    found = (_buckets(prints, radius, bucket)
+             .repartition(_parts(prints), "mask", "value").sortWithinPartitions("mask", "value")
+             .select("mask", "value", "fp")
+             .mapInArrow(_compare(radius, lanes), "a long, b long"))
+    return stage(components(found), "roots")
+
+
 def _parts(df: DataFrame) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism,
                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -484,10 +490,20 @@ def _joined(rows: DataFrame, compared: Callable[[DataFrame], DataFrame], crowd:
     return stage(components(compared(pairs).union(roots)), "roots")
 
 
+def _print_edges(own: DataFrame, radius: int, bucket: int, lanes: int) -> DataFrame:
+    """Edges ``a, b`` between ids of rows ``__print, __id`` whose fingerprints hang together."""
+    roots = _linked(own.select(F.col("__print").alias("fp")).distinct(), radius, bucket, lanes)
+    rooted = stage(own.join(roots.withColumnRenamed("node", "__print"), "__print", "left").select(
+        "__id", F.coalesce("root", "__print").alias("root")), "rooted")
+    least = stage(rooted.groupBy("root").agg(F.min("__id").alias("b")), "least")
+    return rooted.join(least, "root").select(F.col("__id").alias("a"), "b").where("a != b")
+
+
 def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       *more: Column, width: int = 5, similarity: float = 0.8,
                       slack: float = 0.15, crowd: int = CROWD, lanes: int = LANES,
-                      again: Column | None = None) -> DataFrame:
+                      again: Column | None = None, radius: int | None = None,
+                      print_width: int = 3, bucket: int = BUCKET) -> DataFrame:
     """Like ``near_duplicates``, for texts whose sets of shingles have a similarity (shared by
     all) of ``similarity`` or more: ``doc_id, fingerprint, component_id, kept`` and ``more``.
 
@@ -496,14 +512,19 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole sets of hashed shingles, made from their texts, which alone decides. Buckets, and groups of candidates, of
     more than ``crowd`` different texts are compared in chunks, each with every other one unless
     that can join nothing more (see ``_joined``). ``again`` tells where the text is among
-    ``more``; otherwise it is written out besides. Texts without words are alike. Nulls,
+    ``more``; otherwise it is written out besides. With a ``radius``, rows that ``near_duplicates`` links
+    (of ``print_width``, ``radius`` and ``bucket``) hang together too, whatever their sets, and the
+    fingerprint returned is that one. Texts without words are alike. Nulls,
     repeated rows, null ids and empty tables as in ``near_duplicates``.
     """
     spark = df.sparkSession
     kept_text = [] if again is not None else [named(text_col).alias("__text")]
     again = F.col("__text") if again is None else again
     texts = df.select(named(id_col).cast("long").alias("doc_id"),
-                      _sketches(named(text_col), width).alias("__s"), *kept_text, *more)
+                      _sketches(named(text_col), width).alias("__s"),
+                      *([] if radius is None else [
+                          fingerprint_column(named(text_col), print_width).alias("__print")]),
+                      *kept_text, *more)
     prints = stage(texts.select(
         "*", F.col("__s.same").alias("__id"),
         F.monotonically_increasing_id().alias("__row")), "prints")
@@ -542,8 +563,14 @@ def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release_shuffles(spark)
     roots = _joined(rows, checked, crowd)
     release_shuffles(spark)
+    if radius is not None:
+        own = stage(prints.select("__print", "__id").distinct(), "own")
+        roots = stage(components(_print_edges(own, radius, bucket, lanes).union(roots)), "roots")
+        release_shuffles(spark)
     labelled = _labelled(prints, classes, roots, "__id")
-    rest = [c for c in prints.columns if c not in ("doc_id", "__s", "__id", "__row", "__text")]
+    rest = [c for c in prints.columns
+            if c not in ("doc_id", "__s", "__print", "__id", "__row", "__text")]
+    shown = F.col("__s.fp" if radius is None else "__print")
     return labelled.select(
-        "doc_id", F.lpad(F.lower(F.hex("__s.fp")), 16, "0").alias("fingerprint"), "component_id",
+        "doc_id", F.lpad(F.lower(F.hex(shown)), 16, "0").alias("fingerprint"), "component_id",
         "kept", *[named(c) for c in rest])

@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm_helpers import EDGE_TEXTS, edges, nothing, rows_of  # noqa: F401
 from tabloom.llm import imatch
 from tabloom.llm.exact import exact_duplicates, text_digest
@@ -192,6 +193,43 @@ def test_sets_decide_at_the_limit(spark, crowd):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_the_pipeline_links_by_simhash_too(spark):
+    """Fingerprints link what sets do not, sets what fingerprints do not, and both make one group."""
+    rng = random.Random(10)
+    words = lambda n: [f"w{rng.randrange(50_000)}" for _ in range(n)]
+    line, rows = words(13) * 200, {9: " ".join(words(300))}
+    rows[1], rows[2] = (" ".join(line + words(30)) for _ in range(2))
+    rows[3] = " ".join(line[13:13 * 90] + rows[2].split()[2600:] + ["end"])
+    base = words(300)
+    rows[5] = " ".join(base)
+    rows[6] = " ".join(w if k % 50 else f"x{k}" for k, w in enumerate(base))
+
+    def apart(a, b):
+        return bin(slow_simhash(rows[a]) ^ slow_simhash(rows[b])).count("1")
+
+    def alike(a, b):
+        x, y = ({tuple(rows[i].split()[k:k + 5]) for k in range(len(rows[i].split()) - 4)} for i in (a, b))
+        return len(x & y) / len(x | y)
+
+    assert apart(1, 2) <= 2 and alike(1, 2) < 0.8
+    assert apart(5, 6) > 2 and alike(5, 6) >= 0.8 and alike(2, 3) >= 0.8
+    df = spark.createDataFrame([(i, t) for i, t in rows.items()], "doc_id long, text string")
+    left = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {i: rows[i] for i in (1, 5, 9)}
+    found = {r["doc_id"]: r for r in similar_documents(df, radius=2, bucket=1, lanes=2).collect()}
+    assert {i: r["component_id"] for i, r in found.items()} == {1: 1, 2: 1, 3: 1, 5: 5, 6: 5, 9: 9}
+    assert all(r["fingerprint"] == f"{slow_simhash(rows[i]):016x}" for i, r in found.items())
+    # Without the fingerprints, or without the sets, a pair stays apart.
+    assert {r["component_id"] for r in similar_documents(df).collect()} == {1, 2, 5, 9}
+
+
+def test_the_pipeline_on_odd_rows(edges, nothing, spark):
+    assert similar_documents(nothing, radius=2).count() == 0
+    found = similar_documents(edges, radius=2).collect()
+    assert len(found) == edges.count()
+    assert sum(r["kept"] for r in found) == len({r["component_id"] for r in found})
+
+
 def test_exact_duplicates(edges, nothing):
     assert exact_duplicates(nothing).count() == 0
     found = rows_of(exact_duplicates(edges, "doc_id", "text", F.col("kept").alias("own"),
