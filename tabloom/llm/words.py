@@ -4,7 +4,8 @@ A pattern is compiled to a deterministic transducer over character classes, whos
 tell where words begin. A batch of text is dealt into equal chunks; every chunk gives the map
 from each state it may begin in to the state it ends in, and a parallel prefix scan composes
 the maps, which tells each chunk's true first state. All chunks then run side by side and emit
-their word starts.
+their word starts. A chunk's last characters alone give its map where they lead from every state
+to the same one; they do once a word ends or begins there.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 
 LANES = 4_096       # chunks that run side by side
+LAST = 32           # characters of a chunk from which its map is sought first
 KEPT = 300_000      # words that a task remembers
 LONGEST = 64        # characters of a word that is remembered
 
@@ -119,6 +122,17 @@ def composed(maps: np.ndarray) -> np.ndarray:
     return maps
 
 
+def _maps(grid: np.ndarray, go: np.ndarray, last: int) -> np.ndarray:
+    """The state each chunk (a column) ends in, by the state it begins in (a row)."""
+    while True:
+        state = np.repeat(np.arange(STATES, dtype=np.intp)[:, None], grid.shape[1], axis=1)
+        for row in grid[-last:]:
+            state = go[state * CLASSES + row].astype(np.intp)
+        if last >= len(grid) or (state == state[0]).all():
+            return state
+        last *= 4
+
+
 def word_starts(kinds: np.ndarray, pattern: str = "byte_level",
                 lanes: int = LANES) -> np.ndarray:
     """Where words begin in a text given as classes, ends included as words of their own."""
@@ -129,11 +143,7 @@ def word_starts(kinds: np.ndarray, pattern: str = "byte_level",
     grid = np.full(lanes * steps, END, np.uint8)
     grid[:n] = kinds
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
-    # Every chunk from every state at once.
-    state = np.repeat(np.arange(STATES, dtype=np.intp)[:, None], lanes, axis=1)
-    for row in grid:
-        state = go[state * CLASSES + row]
-        state = state.astype(np.intp)
+    state = _maps(grid, go, LAST)
     after = composed(np.ascontiguousarray(state.T).astype(np.uint8))[:, NONE]
     now = np.concatenate([[NONE], after[:-1]]).astype(np.intp)
     out = np.empty((steps, lanes), np.uint8)
@@ -195,8 +205,9 @@ def words_of(texts: list[str], pattern: str) -> Words:
     if pattern == "lower_words":
         real &= (first != SPACE) & (first != WHITE)
     starts, stops = starts[real], stops[real]
-    _, index, place = np.unique(_keys(chars, starts, stops), return_index=True,
-                                return_inverse=True)
+    place = pa.array(_keys(chars, starts, stops)).dictionary_encode().indices.to_numpy()
+    index = np.empty(place.max(initial=-1) + 1, np.int64)
+    index[place] = np.arange(len(place))
     distinct = [whole[a:b] for a, b in zip(starts[index].tolist(), stops[index].tolist(),
                                            strict=True)]
     return Words(distinct, place, np.searchsorted(ends, starts))
@@ -212,3 +223,11 @@ def forget(known: dict, new: list[str], distinct: int) -> None:
     for word in new:
         if full or len(word) > LONGEST:
             del known[word]
+
+
+def remember(known: dict, new: list[str], values: list, distinct: int) -> None:
+    """Keep what ``forget`` would leave of the new words, without taking the others in first."""
+    if len(known) + len(new) <= KEPT:
+        known.update((w, v) for w, v in zip(new, values, strict=True) if len(w) <= LONGEST)
+    elif 2 * len(new) > distinct:
+        known.clear()

@@ -68,6 +68,38 @@ def test_state_maps_compose():
     assert (word_starts(kinds, lanes=1) == word_starts(kinds, lanes=613)).all()
 
 
+@pytest.mark.parametrize("pattern", ["byte_level", "lower_words"])
+def test_chunks_that_end_in_one_long_word(pattern):
+    rng = np.random.default_rng(1)
+    for longest in (1, 40, 300, 2_000):     # beyond the characters a map is sought from
+        kinds = np.repeat(rng.integers(0, 10, 60), rng.integers(1, longest + 1, 60))
+        kinds = kinds.astype(np.uint8)
+        for lanes in (2, 7, 50):
+            assert (word_starts(kinds, pattern, lanes) == word_starts(kinds, pattern, 1)).all()
+
+
+@pytest.mark.parametrize(("file", "kind"), [(BYTES, "byte_level"), (WORDS, "lower_words")])
+def test_new_words_go_to_the_library_in_few_texts(file, kind, monkeypatch):
+    handed, whole = [], Encoder._whole
+    monkeypatch.setattr(Encoder, "_whole", lambda self, t: handed.extend(t) or whole(self, t))
+    texts = ["".join(f" w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}" for k in range(3_000)),
+             " it's 'llama  two\n\nlines \x1cé\x85 ' \u2028x 'S rock'n'roll <|end 12 345"]
+    for together in (1, 3, 500):
+        monkeypatch.setattr("tabloom.llm.encoding.TOGETHER", together)
+        handed.clear()
+        assert [x.tolist() for x in Encoder(file, kind).ids(texts)] == library(file, texts)
+    assert len(handed) < 50
+
+
+def test_words_whose_ids_cannot_be_cut_go_one_by_one():
+    texts = [" some words of a text's", " and more words"]
+    for file, kind in ((BYTES, "byte_level"), (WORDS, "lower_words")):
+        for size in (0, 1, 2):
+            known = Encoder(file, kind)
+            known.size[:] = size
+            assert [x.tolist() for x in known.ids(texts)] == library(file, texts)
+
+
 def test_token_counts(edges, nothing):
     assert token_counts(nothing, BYTES).count() == 0
     rows = [(r["doc_id"], r["text"] or "") for r in edges.collect()]
